@@ -195,3 +195,138 @@ def case_reason(spark, sf_dir):
         F.when(o.o_orderkey % S.RAGGED_MOD == 0, F.lit("raw line")).alias(CORRUPT_COL),
     )
     return Q.route(framed, ["order_id", "priority"]).select("o_orderkey", REASON_COL)
+
+
+# ------------------------------------------------------------------ bronze jobs
+BRONZE_TABLES = ("orders", "customer", "part", "supplier", "lineitem")
+BATCH = "b-0001"
+
+
+def _bronze_counts_sql(name: str) -> str:
+    r = S.oracle_reason(name)
+    return f"""
+    SELECT '{S.STANDINS[name].contract}' AS source,
+           CASE WHEN r IS NULL THEN 'clean' ELSE 'quarantine' END AS _status,
+           COALESCE(r, 'clean') AS reason, COUNT(*) AS n_rows
+    FROM (SELECT {r} AS r FROM {name}) GROUP BY 1, 2, 3"""
+
+
+@query("bronze_ingest", " UNION ALL ".join(_bronze_counts_sql(n) for n in BRONZE_TABLES))
+def bronze_ingest(spark, sf_dir):
+    from lakelayer.plans import bronze as B
+
+    root = scratch_path(spark, "bronze")
+    out = None
+    for name in BRONZE_TABLES:
+        s = S.STANDINS[name]
+        raw = S.write_raw_csv(spark, sf_dir, name, scratch_path(spark, f"raw-{name}"))
+        res = B.ingest(spark, s.contract, raw, f"{root}/{s.contract}", BATCH)
+        counts = (
+            res.table.read()
+            .groupBy(Q.STATUS_COL, F.coalesce(F.col(REASON_COL), F.lit(Q.CLEAN)).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(F.lit(s.contract).alias("source"), Q.STATUS_COL, "reason", "n_rows")
+        )
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+@query(
+    "bronze_technical",
+    f"""
+    SELECT '{BATCH}' AS _batch_id,
+           CASE WHEN r IS NULL THEN 'clean' ELSE 'quarantine' END AS _status,
+           COUNT(*) AS n_rows, COUNT(*) AS n_source_file, COUNT(*) AS n_ingested_at,
+           1 AS n_batches
+    FROM (SELECT {S.oracle_reason('orders')} AS r FROM orders) GROUP BY 1, 2
+    """,
+)
+def bronze_technical(spark, sf_dir):
+    """Technical columns, and idempotence: the batch is ingested twice."""
+    from lakelayer.plans import bronze as B
+
+    raw = S.write_raw_csv(spark, sf_dir, "orders", scratch_path(spark, "raw-orders"))
+    root = scratch_path(spark, "bronze-orders")
+    B.ingest(spark, "orders_raw", raw, root, BATCH)
+    res = B.ingest(spark, "orders_raw", raw, root, BATCH)
+    return (
+        res.table.read()
+        .groupBy("_batch_id", Q.STATUS_COL)
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("_source_file").alias("n_source_file"),
+            F.count(B.INGESTED_AT).alias("n_ingested_at"),
+            F.count_distinct(B.INGESTED_AT).alias("n_batches"),
+        )
+    )
+
+
+# ------------------------------------------------------------------ sinks
+def _orders_with_month(spark, sf_dir):
+    o = S.load(spark, sf_dir, "orders")
+    return o.withColumn("order_year_month", F.date_format("o_orderdate", "yyyy-MM"))
+
+
+ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+
+@query(
+    "sink_append",
+    f"""
+    SELECT {ORDERS_COLS}, CASE WHEN year(o_orderdate) < 1998 THEN 'b1' ELSE 'b2' END AS _batch_id
+    FROM orders
+    """,
+)
+def sink_append(spark, sf_dir):
+    """Two batches appended, the second one twice: the rerun replaces itself."""
+    from lakelayer.sinks.store import PathTable
+
+    o = S.load(spark, sf_dir, "orders")
+    t = PathTable(spark, scratch_path(spark, "sink-append"))
+    t.append(o.filter(F.year("o_orderdate") < 1998), batch_id="b1")
+    t.append(o.filter(F.year("o_orderdate") >= 1998), batch_id="b2")
+    t.append(o.filter(F.year("o_orderdate") >= 1998), batch_id="b2")
+    return t.read().select(*ORDERS_COLS.split(", "), "_batch_id")
+
+
+@query("sink_overwrite", f"SELECT {ORDERS_COLS} FROM orders WHERE o_orderstatus = 'F'")
+def sink_overwrite(spark, sf_dir):
+    from lakelayer.sinks.store import PathTable
+
+    o = S.load(spark, sf_dir, "orders")
+    t = PathTable(spark, scratch_path(spark, "sink-overwrite"))
+    t.overwrite(o)
+    t.overwrite(o.filter(F.col("o_orderstatus") == "F"))
+    return t.read().select(*ORDERS_COLS.split(", "))
+
+
+@query(
+    "sink_overwrite_partition",
+    f"""
+    SELECT {ORDERS_COLS}, strftime(o_orderdate, '%Y-%m') AS order_year_month
+    FROM orders WHERE year(o_orderdate) <> 1996
+    UNION ALL
+    SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice * 2, 2) AS o_totalprice,
+           o_orderdate, o_orderpriority, strftime(o_orderdate, '%Y-%m') AS order_year_month
+    FROM orders WHERE year(o_orderdate) = 1996 AND o_orderstatus = 'F'
+    """,
+)
+def sink_overwrite_partition(spark, sf_dir):
+    """Months of 1996 replaced by a revised frame; an empty frame changes nothing;
+    every other month is kept as written."""
+    from lakelayer.sinks.store import PathTable
+
+    o = _orders_with_month(spark, sf_dir)
+    t = PathTable(spark, scratch_path(spark, "sink-partition"), partition_by=["order_year_month"])
+    t.overwrite(o)
+    revised = o.filter((F.year("o_orderdate") == 1996) & (F.col("o_orderstatus") == "F")).withColumn(
+        "o_totalprice", F.round(F.col("o_totalprice") * 2, 2)
+    )
+    t.overwrite_partitions(revised)
+    t.overwrite_partitions(revised.limit(0))
+    return t.read().select(*ORDERS_COLS.split(", "), F.col("order_year_month").cast("string").alias("order_year_month"))
+
+
+@query("distinct_partitions", "SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS order_year_month FROM orders")
+def distinct_partitions(spark, sf_dir):
+    return _orders_with_month(spark, sf_dir).select("order_year_month").distinct()
