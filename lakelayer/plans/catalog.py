@@ -330,3 +330,227 @@ def sink_overwrite_partition(spark, sf_dir):
 @query("distinct_partitions", "SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS order_year_month FROM orders")
 def distinct_partitions(spark, sf_dir):
     return _orders_with_month(spark, sf_dir).select("order_year_month").distinct()
+
+
+# ------------------------------------------------------------------ merges (SCD1 / SCD2)
+AS_OF_1 = "2024-01-01"
+AS_OF_2 = "2024-02-01"
+CUST_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+CUST_TRACKED = ["c_nationkey", "c_mktsegment"]
+NEW_KEY_OFFSET = 1_000_000
+
+
+def customer_next_snapshot(c: DataFrame) -> DataFrame:
+    """Next full snapshot: keys ending in 0 change segment (tracked) and balance,
+    keys ending in 3 change balance only (untracked), keys ending in 9 vanish,
+    keys ending in 5 are copied under a new key."""
+    k = F.col("c_custkey")
+    changed = c.select(
+        "c_custkey",
+        "c_name",
+        "c_nationkey",
+        F.when(k % 10 == 0, F.col("c_acctbal") + 100)
+        .when(k % 10 == 3, F.col("c_acctbal") + 1)
+        .otherwise(F.col("c_acctbal"))
+        .alias("c_acctbal"),
+        F.when(k % 10 == 0, F.lit("RETAIL")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+    ).filter(k % 10 != 9)
+    new = c.filter(k % 10 == 5).select(
+        (k + NEW_KEY_OFFSET).alias("c_custkey"),
+        F.concat("c_name", F.lit("-new")).alias("c_name"),
+        "c_nationkey",
+        "c_acctbal",
+        "c_mktsegment",
+    )
+    return changed.unionByName(new)
+
+
+SNAP2_SQL = f"""
+    SELECT c_custkey, c_name, c_nationkey,
+           CASE WHEN c_custkey % 10 = 0 THEN c_acctbal + 100
+                WHEN c_custkey % 10 = 3 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+           CASE WHEN c_custkey % 10 = 0 THEN 'RETAIL' ELSE c_mktsegment END AS c_mktsegment
+    FROM customer WHERE c_custkey % 10 <> 9
+    UNION ALL
+    SELECT c_custkey + {NEW_KEY_OFFSET}, c_name || '-new', c_nationkey, c_acctbal, c_mktsegment
+    FROM customer WHERE c_custkey % 10 = 5"""
+
+
+def sql_canon(expr: str) -> str:
+    return f"COALESCE(CAST(length(CAST({expr} AS VARCHAR)) AS VARCHAR) || ':' || CAST({expr} AS VARCHAR), '~')"
+
+
+def sql_change_hash(cols: list[str]) -> str:
+    return "sha256(concat_ws('|', " + ", ".join(sql_canon(c) for c in cols) + "))"
+
+
+def sql_uuid_shape(h: str) -> str:
+    return (
+        f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
+        f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12)"
+    )
+
+
+def sql_surrogate_key(cols: list[str], namespace: str = "") -> str:
+    parts = ([f"'{namespace}'"] if namespace else []) + [sql_canon(c) for c in cols]
+    return sql_uuid_shape("sha256(concat_ws('|', " + ", ".join(parts) + "))")
+
+
+def sql_scd2_enrich(src: str, as_of: str, key: str, tracked: list[str], cols: list[str], sk: str) -> str:
+    return f"""
+    SELECT {sql_surrogate_key([key, f"DATE '{as_of}'"])} AS {sk}, {', '.join(cols)},
+           {sql_change_hash(tracked)} AS _scd2_hash, DATE '{as_of}' AS valid_from,
+           DATE '9999-12-31' AS valid_to, TRUE AS is_current
+    FROM ({src})"""
+
+
+SCD2_COLS_SQL = "customer_sk, " + ", ".join(CUST_COLS) + ", _scd2_hash, valid_from, valid_to, is_current"
+SCD2_CTES = f"""
+WITH snap2 AS ({SNAP2_SQL}),
+initial AS ({sql_scd2_enrich('SELECT * FROM customer', AS_OF_1, 'c_custkey', CUST_TRACKED, CUST_COLS, 'customer_sk')}),
+enriched AS ({sql_scd2_enrich('SELECT * FROM snap2', AS_OF_2, 'c_custkey', CUST_TRACKED, CUST_COLS, 'customer_sk')}),
+closed AS (
+    SELECT t.customer_sk, {', '.join('t.' + c for c in CUST_COLS)}, t._scd2_hash, t.valid_from,
+           CASE WHEN s.c_custkey IS NOT NULL AND t.is_current AND s._scd2_hash <> t._scd2_hash
+                THEN DATE '{AS_OF_2}' - 1 ELSE t.valid_to END AS valid_to,
+           CASE WHEN s.c_custkey IS NOT NULL AND t.is_current AND s._scd2_hash <> t._scd2_hash
+                THEN FALSE ELSE t.is_current END AS is_current
+    FROM initial t LEFT JOIN enriched s ON s.c_custkey = t.c_custkey),
+new_versions AS (
+    SELECT s.* FROM enriched s LEFT JOIN initial t ON t.c_custkey = s.c_custkey AND t.is_current
+    WHERE t._scd2_hash IS DISTINCT FROM s._scd2_hash),
+merged AS (
+    SELECT {SCD2_COLS_SQL} FROM closed UNION ALL SELECT {SCD2_COLS_SQL} FROM new_versions)
+"""
+
+
+def _scd2_inputs(spark, sf_dir):
+    from lakelayer.operators import merge as M
+
+    c = S.load(spark, sf_dir, "customer").select(*CUST_COLS)
+    initial = M.scd2_initial(c, "c_custkey", CUST_TRACKED, AS_OF_1, sk_col="customer_sk")
+    return initial, customer_next_snapshot(c)
+
+
+@query(
+    "merge_scd1",
+    f"""
+    WITH snap2 AS ({SNAP2_SQL})
+    SELECT * FROM customer t WHERE NOT EXISTS (SELECT 1 FROM snap2 s WHERE s.c_custkey = t.c_custkey)
+    UNION ALL SELECT * FROM snap2
+    """,
+)
+def merge_scd1_q(spark, sf_dir):
+    """Upsert of the next snapshot into a path table, committed as a new version."""
+    from lakelayer.operators import merge as M
+    from lakelayer.sinks.store import PathTable
+
+    c = S.load(spark, sf_dir, "customer").select(*CUST_COLS)
+    t = PathTable(spark, scratch_path(spark, "scd1-customer"))
+    t.overwrite(c)
+    t.overwrite(M.merge_scd1(t.read(), customer_next_snapshot(c), "c_custkey"))
+    return t.read()
+
+
+@query("scd2_enrich", SCD2_CTES + f"SELECT {SCD2_COLS_SQL} FROM enriched")
+def scd2_enrich_q(spark, sf_dir):
+    from lakelayer.operators import merge as M
+
+    _, snap2 = _scd2_inputs(spark, sf_dir)
+    return M.scd2_enrich(snap2, "c_custkey", CUST_TRACKED, AS_OF_2, sk_col="customer_sk")
+
+
+@query("scd2_initial", SCD2_CTES + f"SELECT {SCD2_COLS_SQL} FROM initial")
+def scd2_initial_q(spark, sf_dir):
+    initial, _ = _scd2_inputs(spark, sf_dir)
+    return initial
+
+
+@query("scd2_close", SCD2_CTES + f"SELECT {SCD2_COLS_SQL} FROM closed")
+def scd2_close_q(spark, sf_dir):
+    from lakelayer.operators import merge as M
+
+    initial, snap2 = _scd2_inputs(spark, sf_dir)
+    return M.scd2_close(initial, snap2, "c_custkey", CUST_TRACKED, AS_OF_2, sk_col="customer_sk")
+
+
+@query("scd2_new_versions", SCD2_CTES + f"SELECT {SCD2_COLS_SQL} FROM new_versions")
+def scd2_new_versions_q(spark, sf_dir):
+    from lakelayer.operators import merge as M
+
+    initial, snap2 = _scd2_inputs(spark, sf_dir)
+    return M.scd2_new_versions(initial, snap2, "c_custkey", CUST_TRACKED, AS_OF_2, sk_col="customer_sk")
+
+
+@query("merge_scd2", SCD2_CTES + f"SELECT {SCD2_COLS_SQL} FROM merged")
+def merge_scd2_q(spark, sf_dir):
+    """Initial load then one merge, each committed as a version of a path table."""
+    from lakelayer.operators import merge as M
+    from lakelayer.sinks.store import PathTable
+
+    initial, snap2 = _scd2_inputs(spark, sf_dir)
+    t = PathTable(spark, scratch_path(spark, "scd2-customer"))
+    t.overwrite(initial)
+    t.overwrite(M.scd2_merge(t.read(), snap2, "c_custkey", CUST_TRACKED, AS_OF_2, sk_col="customer_sk", validate=True))
+    return t.read()
+
+
+@query("scd2_current", SCD2_CTES + "SELECT c_custkey, customer_sk FROM merged WHERE is_current")
+def scd2_current_q(spark, sf_dir):
+    from lakelayer.operators import merge as M
+
+    initial, snap2 = _scd2_inputs(spark, sf_dir)
+    merged = M.scd2_merge(initial, snap2, "c_custkey", CUST_TRACKED, AS_OF_2, sk_col="customer_sk")
+    return M.scd2_current_keys(merged, "c_custkey", ["customer_sk"])
+
+
+# ------------------------------------------------------------------ scalars
+@query(
+    "scalar_hash",
+    f"""
+    SELECT c_custkey,
+           sha256(concat_ws('|', c_name, c_mktsegment)) AS concat_hash,
+           {sql_change_hash(['c_nationkey', 'c_mktsegment', 'c_name'])} AS safe_hash
+    FROM customer
+    """,
+)
+def scalar_hash(spark, sf_dir):
+    from lakelayer.functions.hashing import change_hash
+
+    c = S.load(spark, sf_dir, "customer")
+    return c.select(
+        "c_custkey",
+        change_hash(["c_name", "c_mktsegment"], mode="concat").alias("concat_hash"),
+        change_hash(["c_nationkey", "c_mktsegment", "c_name"]).alias("safe_hash"),
+    )
+
+
+@query(
+    "scalar_date",
+    f"""
+    SELECT o_orderkey,
+           CAST(o_orderdate AS DATE) - 1 AS day_before,
+           DATE '9999-12-31' AS open_end,
+           DATE '{AS_OF_2}' - 1 AS closed_at,
+           date_diff('day', CAST(o_orderdate AS DATE), DATE '{AS_OF_2}') AS age_days
+    FROM orders
+    """,
+)
+def scalar_date(spark, sf_dir):
+    o = S.load(spark, sf_dir, "orders")
+    as_of = F.lit(AS_OF_2).cast("date")
+    return o.select(
+        "o_orderkey",
+        F.date_sub(F.col("o_orderdate").cast("date"), 1).alias("day_before"),
+        F.lit("9999-12-31").cast("date").alias("open_end"),
+        F.date_sub(as_of, 1).alias("closed_at"),
+        F.datediff(as_of, F.col("o_orderdate").cast("date")).alias("age_days"),
+    )
+
+
+@query("surrogate_key", f"SELECT c_custkey, {sql_surrogate_key(['c_custkey'], 'customer')} AS customer_sk FROM customer")
+def surrogate_key_q(spark, sf_dir):
+    from lakelayer.functions.keys import surrogate_key
+
+    c = S.load(spark, sf_dir, "customer")
+    return c.select("c_custkey", surrogate_key(["c_custkey"], namespace="customer").alias("customer_sk"))
