@@ -554,3 +554,340 @@ def surrogate_key_q(spark, sf_dir):
 
     c = S.load(spark, sf_dir, "customer")
     return c.select("c_custkey", surrogate_key(["c_custkey"], namespace="customer").alias("customer_sk"))
+
+
+# ------------------------------------------------------------------ silver
+LINEITEM_COLS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+DEDUP_ORDER_SQL = "l_shipdate DESC, " + ", ".join(
+    f"{c} DESC" for c in LINEITEM_COLS if c not in ("l_orderkey", "l_linenumber", "l_shipdate")
+)
+DEDUP_SQL = f"""
+    SELECT {', '.join(LINEITEM_COLS)} FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {DEDUP_ORDER_SQL}) AS rn
+        FROM lineitem) WHERE rn = 1"""
+
+
+@query("silver_dedup", DEDUP_SQL)
+def silver_dedup(spark, sf_dir):
+    from lakelayer.operators.dedup import dedup_latest
+
+    return dedup_latest(S.load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@query(
+    "silver_clean",
+    """
+    SELECT c_custkey, NULLIF(trim(c_name), '') AS c_name, c_nationkey, c_acctbal,
+           NULLIF(lower(trim(c_mktsegment)), '') AS c_mktsegment
+    FROM customer
+    """,
+)
+def silver_clean(spark, sf_dir):
+    from lakelayer.plans.silver import clean_strings
+
+    c = S.load(spark, sf_dir, "customer")
+    return clean_strings(c, trim=["c_name", "c_mktsegment"], lower=["c_mktsegment"])
+
+
+DQ_RULES_SQL = [
+    ("positive:l_quantity", "l_quantity IS NULL OR l_quantity <= 0"),
+    ("in_range:l_discount", "l_discount IS NULL OR l_discount < 0 OR l_discount > 0.1"),
+    ("in_range:l_tax", "l_tax IS NULL OR l_tax < 0 OR l_tax > 0.08"),
+    ("in_set:l_returnflag", "l_returnflag IS NULL OR l_returnflag NOT IN ('A', 'N', 'R')"),
+    ("not_null:l_shipdate", "l_shipdate IS NULL"),
+]
+
+
+def _dq_sql() -> str:
+    aggs = ", ".join(f"count(*) FILTER (WHERE {cond}) AS f{i}" for i, (_, cond) in enumerate(DQ_RULES_SQL))
+    base = f"""WITH c AS (SELECT count(*) AS n_rows, {aggs},
+        count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS fu FROM lineitem)"""
+    parts = [f"SELECT '{name}' AS rule, n_rows, f{i} AS n_failed, f{i} = 0 AS passed FROM c" for i, (name, _) in enumerate(DQ_RULES_SQL)]
+    parts.append("SELECT 'unique:l_orderkey,l_linenumber' AS rule, n_rows, fu AS n_failed, fu = 0 AS passed FROM c")
+    return base + "\n" + "\nUNION ALL ".join(parts)
+
+
+@query("dq_report", _dq_sql())
+def dq_report_q(spark, sf_dir):
+    from lakelayer.operators.dq import Rule, report
+
+    rules = [
+        Rule.positive("l_quantity"),
+        Rule.in_range("l_discount", 0, 0.1),
+        Rule.in_range("l_tax", 0, 0.08),
+        Rule.in_set("l_returnflag", ["A", "N", "R"]),
+        Rule.not_null("l_shipdate"),
+        Rule.unique_key("l_orderkey", "l_linenumber"),
+    ]
+    return report(S.load(spark, sf_dir, "lineitem"), rules)
+
+
+def _lookup_sql() -> str:
+    from lakelayer.plans.warehouse import CATEGORY_LABELS
+
+    vals = ", ".join(f"('{k}', '{v}')" for k, v in sorted(CATEGORY_LABELS.items()))
+    return f"(SELECT * FROM (VALUES {vals}) AS t(code, label))"
+
+
+@query(
+    "silver_translate",
+    f"""
+    SELECT p_partkey, p_type, COALESCE(lk.label, lower(p_type)) AS category
+    FROM part LEFT JOIN {_lookup_sql()} lk ON p_type = lk.code
+    """,
+)
+def silver_translate(spark, sf_dir):
+    from lakelayer.operators.lookup import lookup_table, translate
+    from lakelayer.plans.warehouse import CATEGORY_LABELS
+
+    lk, n = lookup_table(spark, CATEGORY_LABELS)
+    p = S.load(spark, sf_dir, "part")
+    return translate(p, lk, "p_type", "category", lookup_rows=n).select("p_partkey", "p_type", "category")
+
+
+SPEND_SQL = "(SELECT o_custkey, sum(o_totalprice) AS spend FROM orders GROUP BY o_custkey)"
+SEGMENT_SQL = (
+    "CASE WHEN spend IS NULL THEN 'none' WHEN spend >= 3000000 THEN 'high' "
+    "WHEN spend >= 1500000 THEN 'mid' ELSE 'low' END"
+)
+
+
+@query(
+    "customer_segment",
+    f"SELECT c_custkey, {SEGMENT_SQL} AS segment FROM customer LEFT JOIN {SPEND_SQL} s ON c_custkey = s.o_custkey",
+)
+def customer_segment(spark, sf_dir):
+    from lakelayer.plans.silver import spend_segment
+
+    c = S.load(spark, sf_dir, "customer")
+    return spend_segment(c, S.load(spark, sf_dir, "orders"), "c_custkey", "o_custkey", "o_totalprice").select(
+        "c_custkey", "segment"
+    )
+
+
+@query("geo_median", "SELECT c_nationkey, median(c_acctbal) AS median_acctbal FROM customer GROUP BY c_nationkey")
+def geo_median(spark, sf_dir):
+    from lakelayer.plans.warehouse import geo_medians
+
+    return geo_medians(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ rollups
+PAYMENTS_SQL = """
+    SELECT user_id, round(sum(value), 2) AS payment_value, count(*) AS n_payments,
+           CAST(count(*) AS INTEGER) AS payment_installments,
+           max(CASE WHEN rn = 1 THEN payment_type END) AS payment_type
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id DESC) AS rn
+          FROM (SELECT *, ['credit_card', 'boleto', 'voucher', 'debit_card'][(CAST(props->>'$.k' AS INTEGER) % 4) + 1]
+                          AS payment_type
+                FROM events WHERE event_type = 'purchase'))
+    GROUP BY user_id"""
+REVIEWS_SQL = """
+    SELECT user_id, review_score, n_reviews FROM (
+        SELECT user_id, (CAST(props->>'$.k' AS INTEGER) % 5) + 1 AS review_score,
+               row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn,
+               count(*) OVER (PARTITION BY user_id) AS n_reviews
+        FROM events WHERE event_type = 'click') WHERE rn = 1"""
+
+
+@query("payments_rollup", PAYMENTS_SQL)
+def payments_rollup(spark, sf_dir):
+    from lakelayer.plans.warehouse import payments
+
+    return payments(spark, sf_dir)
+
+
+@query("reviews_rollup", REVIEWS_SQL)
+def reviews_rollup(spark, sf_dir):
+    from lakelayer.plans.warehouse import reviews
+
+    return reviews(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ gold
+def sql_easter(year: str) -> str:
+    """Easter Sunday of ``year`` (an integer column) by the Gregorian computus."""
+    return f"""(SELECT make_date(yy, (h + l - 7 * m + 114) // 31, ((h + l - 7 * m + 114) % 31) + 1) FROM (
+        SELECT yy, h, l, (a + 11 * h + 22 * l) // 451 AS m FROM (
+          SELECT yy, a, h, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM (
+            SELECT yy, a, e, i, k, (19 * a + b - d - g + 15) % 30 AS h FROM (
+              SELECT yy, a, b, e, i, k, b // 4 AS d, (b - (b + 8) // 25 + 1) // 3 AS g FROM (
+                SELECT {year} AS yy, {year} % 19 AS a, {year} // 100 AS b, ({year} // 100) % 4 AS e,
+                       ({year} % 100) // 4 AS i, ({year} % 100) % 4 AS k))))))"""
+
+
+def _dim_date_sql() -> str:
+    return f"""
+    WITH span AS (SELECT min(CAST(o_orderdate AS DATE)) AS s, max(CAST(o_orderdate AS DATE)) AS e FROM orders),
+    days AS (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_id FROM span),
+    yrs AS (SELECT y, {sql_easter('y')} AS easter FROM (SELECT DISTINCT CAST(year(date_id) AS INTEGER) AS y FROM days))
+    SELECT {sql_surrogate_key(['date_id'], 'date')} AS date_sk, date_id,
+           CAST(year(date_id) AS INTEGER) AS year, CAST(month(date_id) AS INTEGER) AS month,
+           CAST(quarter(date_id) AS INTEGER) AS quarter, CAST(isodow(date_id) AS INTEGER) AS day_of_week,
+           dayname(date_id) AS day_name, monthname(date_id) AS month_name,
+           isodow(date_id) >= 6 AS is_weekend,
+           (strftime(date_id, '%m-%d') IN ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02', '11-15', '12-25')
+            OR (strftime(date_id, '%m-%d') = '11-20' AND year(date_id) >= 2024)
+            OR date_id = easter - 2) AS is_holiday_br
+    FROM days JOIN yrs ON CAST(year(date_id) AS INTEGER) = yrs.y"""
+
+
+@query("dim_date", _dim_date_sql())
+def dim_date_q(spark, sf_dir):
+    from lakelayer.plans.gold import dim_date_for
+
+    return dim_date_for(S.load(spark, sf_dir, "orders"), "o_orderdate")
+
+
+WH_AS_OF = "2024-01-01"
+WH_CTES = f"""
+WITH items AS (
+    SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id, l_suppkey AS seller_id,
+           CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS price, l_extendedprice * l_tax AS freight_value,
+           l_shipdate AS delivered_ts, l_extendedprice / l_quantity AS unit_price
+    FROM ({DEDUP_SQL})),
+ord AS (
+    SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status, o_orderdate AS purchase_ts,
+           CAST(o_orderdate AS DATE) + {30} AS estimated_delivery_ts
+    FROM orders),
+customers AS (
+    SELECT c_custkey AS customer_id, c_name AS customer_name, n_name AS state, c_nationkey AS zip_code,
+           {SEGMENT_SQL} AS segment
+    FROM customer LEFT JOIN {SPEND_SQL} s ON c_custkey = s.o_custkey LEFT JOIN nation ON c_nationkey = n_nationkey),
+dim_customer AS (
+    SELECT {sql_surrogate_key(['customer_id', f"DATE '{WH_AS_OF}'"])} AS customer_sk, *,
+           {sql_change_hash(['state', 'segment'])} AS _scd2_hash, DATE '{WH_AS_OF}' AS valid_from,
+           DATE '9999-12-31' AS valid_to, TRUE AS is_current
+    FROM customers),
+latest AS (
+    SELECT product_id, unit_price FROM (
+        SELECT product_id, unit_price,
+               row_number() OVER (PARTITION BY product_id ORDER BY delivered_ts DESC, order_id DESC, order_item_id DESC) AS rn
+        FROM items) WHERE rn = 1),
+products AS (
+    SELECT p_partkey AS product_id, p_name AS name, COALESCE(lk.label, lower(p_type)) AS category, unit_price,
+           CAST(round(unit_price * 100) AS BIGINT) AS unit_price_cents, p_size AS weight_g
+    FROM part LEFT JOIN {_lookup_sql()} lk ON p_type = lk.code LEFT JOIN latest ON p_partkey = latest.product_id),
+dim_product AS (
+    SELECT {sql_surrogate_key(['product_id', f"DATE '{WH_AS_OF}'"])} AS product_sk, *,
+           {sql_change_hash(['category', 'unit_price_cents', 'weight_g'])} AS _scd2_hash, DATE '{WH_AS_OF}' AS valid_from,
+           DATE '9999-12-31' AS valid_to, TRUE AS is_current
+    FROM products),
+dim_seller AS (
+    SELECT {sql_surrogate_key(['s_suppkey'], 'seller')} AS seller_sk, s_suppkey AS seller_id, s_name AS seller_name,
+           n_name AS state, s_nationkey AS zip_code
+    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
+lat AS (SELECT c_nationkey, median(c_acctbal) AS lat FROM customer GROUP BY c_nationkey),
+lng AS (SELECT s_nationkey, median(s_acctbal) AS lng FROM supplier GROUP BY s_nationkey),
+dim_geography AS (
+    SELECT {sql_surrogate_key(['n_nationkey'], 'geo')} AS geo_sk, n_nationkey AS zip_code, n_name AS city,
+           r_name AS state, lat, lng
+    FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
+         LEFT JOIN lat ON n_nationkey = lat.c_nationkey LEFT JOIN lng ON n_nationkey = lng.s_nationkey),
+payments AS ({PAYMENTS_SQL}),
+reviews AS ({REVIEWS_SQL}),
+fact AS (
+    SELECT {sql_surrogate_key(['i.order_id', 'i.order_item_id'], 'order_item')} AS order_sk,
+           dc.customer_sk, dp.product_sk, ds.seller_sk,
+           {sql_surrogate_key(['CAST(o.purchase_ts AS DATE)'], 'date')} AS date_sk, dg.geo_sk,
+           i.order_id, i.order_item_id, i.quantity, i.price, i.freight_value,
+           p.payment_value, p.payment_installments, p.payment_type, r.review_score, o.order_status,
+           date_diff('day', CAST(o.purchase_ts AS DATE), CAST(i.delivered_ts AS DATE)) AS delivery_days,
+           date_diff('day', CAST(o.estimated_delivery_ts AS DATE), CAST(i.delivered_ts AS DATE)) AS delay_days,
+           strftime(o.purchase_ts, '%Y-%m') AS order_year_month
+    FROM items i JOIN ord o ON i.order_id = o.order_id
+         LEFT JOIN dim_customer dc ON dc.customer_id = o.customer_id
+         LEFT JOIN dim_product dp ON dp.product_id = i.product_id
+         LEFT JOIN dim_seller ds ON ds.seller_id = i.seller_id
+         LEFT JOIN dim_geography dg ON dg.zip_code = dc.zip_code
+         LEFT JOIN payments p ON p.user_id = o.customer_id
+         LEFT JOIN reviews r ON r.user_id = o.customer_id)
+"""
+
+
+@query("dim_customer", WH_CTES + "SELECT * FROM dim_customer")
+def dim_customer_q(spark, sf_dir):
+    from lakelayer.plans import warehouse as W
+
+    return W.dim_customer(spark, sf_dir)
+
+
+@query("dim_product", WH_CTES + "SELECT * FROM dim_product")
+def dim_product_q(spark, sf_dir):
+    from lakelayer.plans import warehouse as W
+
+    return W.dim_product(spark, sf_dir)
+
+
+@query("dim_seller", WH_CTES + "SELECT * FROM dim_seller")
+def dim_seller_q(spark, sf_dir):
+    from lakelayer.plans import warehouse as W
+
+    return W.dim_seller(spark, sf_dir)
+
+
+@query("dim_geography", WH_CTES + "SELECT * FROM dim_geography")
+def dim_geography_q(spark, sf_dir):
+    from lakelayer.plans import warehouse as W
+
+    return W.dim_geography(spark, sf_dir)
+
+
+@query("fact_orders", WH_CTES + "SELECT * FROM fact")
+def fact_orders_q(spark, sf_dir):
+    from lakelayer.plans import warehouse as W
+
+    return W.fact_orders(spark, sf_dir)
+
+
+@query(
+    "fact_delivery",
+    WH_CTES
+    + """SELECT order_year_month, count(*) AS n_items, sum(delivery_days) AS delivery_days,
+       sum(delay_days) AS delay_days, count(*) FILTER (WHERE delay_days > 0) AS late_items
+       FROM fact GROUP BY order_year_month""",
+)
+def fact_delivery(spark, sf_dir):
+    from lakelayer.plans import warehouse as W
+
+    f = W.fact_orders(spark, sf_dir)
+    return f.groupBy("order_year_month").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.sum("delivery_days").alias("delivery_days"),
+        F.sum("delay_days").alias("delay_days"),
+        F.count_if(F.col("delay_days") > 0).alias("late_items"),
+    )
+
+
+@query(
+    "revenue_by_month",
+    WH_CTES
+    + """SELECT order_year_month, count(*) AS n_items, count(DISTINCT order_id) AS n_orders,
+       round(sum(price), 2) AS revenue FROM fact GROUP BY order_year_month""",
+)
+def revenue_by_month(spark, sf_dir):
+    from lakelayer.plans import gold as G
+    from lakelayer.plans import warehouse as W
+
+    return G.monthly_revenue(W.fact_orders(spark, sf_dir))
+
+
+@query(
+    "fact_pruned",
+    WH_CTES + "SELECT * FROM fact WHERE order_year_month BETWEEN '1996-01' AND '1996-06'",
+)
+def fact_pruned(spark, sf_dir):
+    """The fact written partitioned by month; a half-year read touches only
+    those month directories (``PartitionFilters`` in the scan)."""
+    from lakelayer.plans import warehouse as W
+    from lakelayer.sinks.store import PathTable
+
+    t = PathTable(spark, scratch_path(spark, "fact-orders"), partition_by=["order_year_month"])
+    t.overwrite(W.fact_orders(spark, sf_dir))
+    f = t.read()
+    return f.filter(F.col("order_year_month").between("1996-01", "1996-06")).withColumn(
+        "order_year_month", F.col("order_year_month").cast("string")
+    )
