@@ -61,9 +61,18 @@ def duplicate_keys(df: DataFrame, keys: str | list[str]) -> DataFrame:
 
 
 def assert_unique_keys(df: DataFrame, keys: str | list[str]) -> None:
-    dup = duplicate_keys(df, keys).limit(1).collect()
-    if dup:
-        raise DuplicateKeyError(f"source has duplicate keys on {_keys(keys)}, e.g. {dup[0].asDict()}")
+    """Raise if a key repeats or is NULL (a NULL key never matches, so it would
+    be inserted again on every run). One aggregation, at most one row returned."""
+    ks = _keys(keys)
+    bad = (
+        df.groupBy(*ks)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .filter((F.col("n_rows") > 1) | null_key_condition(ks))
+        .limit(1)
+        .collect()
+    )
+    if bad:
+        raise DuplicateKeyError(f"source has duplicate or NULL keys on {ks}, e.g. {bad[0].asDict()}")
 
 
 def null_key_condition(keys: str | list[str]) -> Column:

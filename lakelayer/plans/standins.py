@@ -79,8 +79,26 @@ def table_path(sf_dir: str, table: str) -> str:
     return f"{sf_dir.rstrip('/')}/{table}.parquet"
 
 
+# Bytes of Parquet input per task below which a scan is spread over more tasks.
+SPREAD_BYTES_PER_TASK = 1 << 20
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, table))
+    """Read a test table. A table stored as one unsplittable row group scans as
+    a single task; when the scan has fewer splits than its size warrants, rows
+    are spread round-robin over up to ``defaultParallelism`` tasks so the work
+    after the scan runs in parallel. Inputs made of many files (the normal case
+    on a cluster) already have enough splits and are returned as read."""
+    path = table_path(sf_dir, table)
+    df = spark.read.parquet(path)
+    from lakelayer.sinks.store import _fs_and_path
+
+    fs, hpath, _ = _fs_and_path(spark, path)
+    size = fs.getContentSummary(hpath).getLength()
+    want = min(spark.sparkContext.defaultParallelism, max(1, size // SPREAD_BYTES_PER_TASK))
+    if want > 1 and df.rdd.getNumPartitions() < want:
+        df = df.repartition(int(want))
+    return df
 
 
 # ------------------------------------------------------------------ Spark side

@@ -73,7 +73,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = load(spark, sf_dir, "nation")
     r = load(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,3 +105,9 @@ def test_scd2_merge_plan_has_one_join(spark):
     t = M.scd2_initial(_snap(spark, [(1, "x", "A", 0)]), "k", ["city"], D1)
     plan = M.scd2_merge(t, _snap(spark, [(1, "y", "A", 0)]), "k", ["city"], D2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Join") == 1 or "BroadcastHashJoin" in plan or "SortMergeJoin" in plan
+
+
+def test_null_source_key_raises(spark):
+    t = M.scd2_initial(_snap(spark, [(1, "x", "A", 0)]), "k", ["city"], D1)
+    with pytest.raises(M.DuplicateKeyError, match="NULL"):
+        M.scd2_merge(t, _snap(spark, [(None, "x", "A", 0)]), "k", ["city"], D2, validate=True)
