@@ -84,20 +84,24 @@ SPREAD_BYTES_PER_TASK = 1 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Read a test table. A table stored as one unsplittable row group scans as
-    a single task; when the scan has fewer splits than its size warrants, rows
-    are spread round-robin over up to ``defaultParallelism`` tasks so the work
-    after the scan runs in parallel. Inputs made of many files (the normal case
-    on a cluster) already have enough splits and are returned as read."""
-    path = table_path(sf_dir, table)
-    df = spark.read.parquet(path)
+    return spark.read.parquet(table_path(sf_dir, table))
+
+
+def spread(spark: SparkSession, df: DataFrame, sf_dir: str, table: str) -> DataFrame:
+    """Spread a scan that has fewer splits than its size warrants.
+
+    A test table stored as one row group scans as a single task. Where the work
+    after the scan is heavy per row (building text lines), rows are spread
+    round-robin over up to ``defaultParallelism`` tasks; this also makes the
+    written export several files, so reading it back is parallel. Inputs made
+    of many files already have enough splits and are returned unchanged."""
     from lakelayer.sinks.store import _fs_and_path
 
-    fs, hpath, _ = _fs_and_path(spark, path)
+    fs, hpath, _ = _fs_and_path(spark, table_path(sf_dir, table))
     size = fs.getContentSummary(hpath).getLength()
     want = min(spark.sparkContext.defaultParallelism, max(1, size // SPREAD_BYTES_PER_TASK))
     if want > 1 and df.rdd.getNumPartitions() < want:
-        df = df.repartition(int(want))
+        return df.repartition(int(want))
     return df
 
 
@@ -142,7 +146,7 @@ def raw_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     s = STANDINS[name]
-    df = load(spark, sf_dir, s.table)
+    df = spread(spark, load(spark, sf_dir, s.table), sf_dir, s.table)
     cells = [F.coalesce(_csv_field(v), F.lit("")) for v in raw_cells(df, s).values()]
     line = F.concat_ws(",", *cells)
     line = F.when(F.col(s.key) % RAGGED_MOD == 0, F.concat(line, F.lit("," + RAGGED_TAIL))).otherwise(line)
