@@ -41,8 +41,10 @@ def clean_strings(
 
 
 def normalise_zip(df: DataFrame, source_col: str, width: int = 5, out_col: str = "zip_code") -> DataFrame:
-    """Zip prefixes as zero-padded text under one name for every source."""
-    return df.withColumn(out_col, F.lpad(F.trim(F.col(source_col).cast("string")), width, "0"))
+    """Zip prefixes as text under one name for every source; prefixes that lost
+    their leading zeros (read as numbers somewhere upstream) are padded back."""
+    z = F.trim(F.col(source_col).cast("string"))
+    return df.withColumn(out_col, F.when(F.length(z) < width, F.lpad(z, width, "0")).otherwise(z))
 
 
 def spend_segment(
@@ -62,3 +64,39 @@ def spend_segment(
     for lo, label in SEGMENT_BANDS:
         seg = seg.when(F.col("_spend") >= lo, F.lit(label))
     return j.withColumn(out_col, seg.otherwise(F.lit(SEGMENT_BANDS[-1][1]))).drop("_ck", "_spend")
+
+
+def silver_upsert(
+    spark,
+    source,
+    key: list[str],
+    order_by: list,
+    silver_root: str,
+    trim: list[str] = (),
+    lower: list[str] = (),
+    upper: list[str] = (),
+    rules: list = (),
+    quality_mode: str = "warn",
+):
+    """Clean -> dedup -> quality -> SCD1 upsert into ``silver_root``.
+
+    The deduplicated frame is checkpointed (to the session's checkpoint folder)
+    so the quality report and the merge read it instead of recomputing the
+    lineage; in ``fail`` mode nothing is committed when a rule fails.
+    Returns ``(table, report_rows)``."""
+    from lakelayer.operators import dq
+    from lakelayer.operators.merge import merge_scd1
+    from lakelayer.session import checkpoint_root
+    from lakelayer.sinks.store import PathTable
+
+    cleaned = clean_strings(source, trim=list(trim), lower=list(lower), upper=list(upper))
+    deduped = dedup_latest(cleaned, key, order_by)
+    checkpoint_root(spark)
+    staged = deduped.checkpoint()
+    report = dq.enforce(staged, list(rules), quality_mode) if rules else []
+    table = PathTable(spark, silver_root)
+    if table.exists():
+        table.overwrite(merge_scd1(table.read(), staged, key))
+    else:
+        table.overwrite(staged)
+    return table, report
