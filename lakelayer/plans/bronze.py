@@ -50,7 +50,8 @@ def ingest(
     header: bool | None = None,
 ) -> IngestResult:
     c = get_contract(contract) if isinstance(contract, str) else contract
-    table = PathTable(spark, table_root, partition_by=[BATCH_COL, Q.STATUS_COL])
+    # one batch id and two statuses per write: no rebalance shuffle needed
+    table = PathTable(spark, table_root, partition_by=[BATCH_COL, Q.STATUS_COL], rebalance=False)
     frame = bronze_frame(spark, c, path, header=header)
     observed, obs = Q.observe_counts(frame, name=f"bronze-{c.name}-{batch_id}")
     table.append(observed, batch_id=batch_id)

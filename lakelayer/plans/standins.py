@@ -147,7 +147,12 @@ def raw_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     s = STANDINS[name]
     df = spread(spark, load(spark, sf_dir, s.table), sf_dir, s.table)
-    cells = [F.coalesce(_csv_field(v), F.lit("")) for v in raw_cells(df, s).values()]
+    types = {f.name: f.type for f in s.spec().fields}
+    # only text cells can hold a separator or a quote; numbers and dates never do
+    cells = [
+        F.coalesce(_csv_field(v) if types[n] == "string" else v, F.lit(""))
+        for n, v in raw_cells(df, s).items()
+    ]
     line = F.concat_ws(",", *cells)
     line = F.when(F.col(s.key) % RAGGED_MOD == 0, F.concat(line, F.lit("," + RAGGED_TAIL))).otherwise(line)
     return df.select(line.alias("value"))

@@ -46,11 +46,17 @@ class PathTable:
         root: str,
         partition_by: list[str] | tuple[str, ...] = (),
         fmt: str = "parquet",
+        rebalance: bool = True,
     ):
+        """``rebalance``: cluster rows by the partition columns before a
+        partitioned write. Turn it off when the partition columns take only a
+        few values per write (a batch id and a status): every task then writes
+        at most that many files anyway, and the shuffle would be wasted."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
         self.fmt = fmt
+        self.rebalance = rebalance
 
     # ---- versions -------------------------------------------------------
     def versions(self) -> list[int]:
@@ -83,6 +89,12 @@ class PathTable:
 
     # ---- writes ---------------------------------------------------------
     def _writer(self, df: DataFrame, mode: str, partition_by: list[str]):
+        if partition_by and self.rebalance:
+            # Group rows by partition value before writing, so each task writes
+            # few directories (no small-file explosion); AQE splits a hot
+            # partition value into several advisory-sized tasks and coalesces
+            # small ones.
+            df = df.hint("rebalance", *partition_by)
         w = df.write.format(self.fmt).mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -52,7 +52,7 @@ def bronze_stream(
     tagged = Q.with_status(typed).withColumn(INGESTED_AT, F.current_timestamp())
 
     def write_batch(batch_df, epoch_id: int) -> None:
-        table = PathTable(batch_df.sparkSession, table_root, partition_by=[BATCH_COL, Q.STATUS_COL])
+        table = PathTable(batch_df.sparkSession, table_root, partition_by=[BATCH_COL, Q.STATUS_COL], rebalance=False)
         table.append(batch_df, batch_id=f"epoch-{epoch_id:08d}")
 
     w = tagged.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
