@@ -13,8 +13,9 @@ join: both sides shuffle on the order key), then looks each item up in the
 dimensions. SCD2 dimensions are joined *as of the purchase date* (key equal
 and date inside the version's interval; the first version of a key is open
 to the past, since the first load dates every version on the load day).
-Dimension sides are left to AQE (broadcast when small at run time); the date
-key is computed, not joined, because it is a pure function of the date.
+A dimension side is broadcast only after a row count shows it at most
+``DIM_BROADCAST_ROWS``; larger ones are shuffle-joined (AQE splits a hot key).
+The date key is computed, not joined, because it is a pure function of the date.
 The fact is written partitioned by ``order_year_month`` and rewritten per
 touched month (``PathTable.overwrite_partitions``).
 """
@@ -28,9 +29,13 @@ from pyspark.sql import functions as F
 
 from lakelayer.functions.calendar import is_br_national_holiday
 from lakelayer.functions.keys import surrogate_key
+from lakelayer.operators.lookup import bounded_broadcast
 from lakelayer.operators.merge import IS_CURRENT, VALID_FROM, VALID_TO
 from lakelayer.sinks.store import PathTable
 
+# A dimension side is broadcast only when counted at or below this many rows
+# (a few tens of bytes each after projection); larger ones use a shuffle join.
+DIM_BROADCAST_ROWS = 1_000_000
 DATE_START = "2015-01-01"
 DATE_END = "2030-12-31"
 OPEN_PAST = "0001-01-01"
@@ -87,11 +92,26 @@ def first_version_open(dim: DataFrame, key: str) -> DataFrame:
     return dim.withColumn("_from_eff", F.when(first, F.lit(OPEN_PAST).cast("date")).otherwise(F.col(VALID_FROM)))
 
 
-def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_date: str, take: list[str]) -> DataFrame:
-    """Left join each fact row to the dimension version valid on its date."""
+def point_in_time_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    fact_date: str,
+    take: list,
+    broadcast_rows: int | None = DIM_BROADCAST_ROWS,
+) -> DataFrame:
+    """Left join each fact row to the dimension version valid on its date.
+
+    The join is an equi join on the key with a range residual. The dimension
+    side is broadcast when counted at most ``broadcast_rows`` rows, so the fact
+    is not reshuffled; otherwise both sides shuffle on the key (AQE splits a
+    hot key on the fact side)."""
     d = first_version_open(dim, dim_key).select(
         F.col(dim_key).alias("_dk"), "_from_eff", F.col(VALID_TO).alias("_to"), *take
     )
+    if broadcast_rows:
+        d = bounded_broadcast(d, max_rows=broadcast_rows)
     cond = (
         (fact[fact_key] == d["_dk"])
         & (F.col(fact_date).cast("date") >= d["_from_eff"])
@@ -110,6 +130,7 @@ def fact_orders(
     payments: DataFrame | None = None,
     reviews: DataFrame | None = None,
     order_rollup_key: str = "order_id",
+    broadcast_rows: int | None = DIM_BROADCAST_ROWS,
 ) -> DataFrame:
     """Order-item fact.
 
@@ -122,12 +143,15 @@ def fact_orders(
     ``reviews`` (review_score) are rolled up and keyed by ``order_rollup_key``
     of the orders frame.
     """
+    def small(df):
+        return bounded_broadcast(df, max_rows=broadcast_rows) if broadcast_rows else df
+
     f = items.join(orders, "order_id", "inner")
-    f = point_in_time_join(f, dim_customer, "customer_id", "customer_id", "purchase_ts", ["customer_sk", F.col("zip_code").alias("_cust_zip")])
-    f = point_in_time_join(f, dim_product, "product_id", "product_id", "purchase_ts", ["product_sk"])
-    seller = dim_seller.select(F.col("seller_id").alias("_sid"), "seller_sk")
+    f = point_in_time_join(f, dim_customer, "customer_id", "customer_id", "purchase_ts", ["customer_sk", F.col("zip_code").alias("_cust_zip")], broadcast_rows)
+    f = point_in_time_join(f, dim_product, "product_id", "product_id", "purchase_ts", ["product_sk"], broadcast_rows)
+    seller = small(dim_seller.select(F.col("seller_id").alias("_sid"), "seller_sk"))
     f = f.join(seller, f["seller_id"] == seller["_sid"], "left").drop("_sid")
-    geo = dim_geography.select(F.col("zip_code").alias("_zip"), "geo_sk")
+    geo = small(dim_geography.select(F.col("zip_code").alias("_zip"), "geo_sk"))
     f = f.join(geo, f["_cust_zip"] == geo["_zip"], "left").drop("_zip", "_cust_zip")
     if payments is not None:
         p = payments.select(F.col(order_rollup_key).alias("_pk"), "payment_value", "payment_installments", "payment_type")
