@@ -121,3 +121,17 @@ def test_second_day_versions_customers(built):
     old_sk = versions[0].customer_sk
     assert f.join(dc.select("customer_sk", "customer_id"), "customer_sk").filter(F.col("customer_id") == "c3").select("customer_sk").distinct().collect()[0][0] == old_sk
     assert f.count() == sum(1 + i % 3 for i in range(N_ORDERS))
+
+
+def test_cli_runs_all_layers(spark, tmp_path, capsys):
+    import json
+
+    from lakelayer import cli
+
+    files, _ = generate(tmp_path / "landing")
+    rc = cli.main(["all", "--landing", str(tmp_path / "landing"), "--lake", str(tmp_path / "lake"),
+                   "--batch-id", "b1", "--as-of", "2024-01-01"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rc == 0 and set(out) == {"bronze", "silver", "gold"}
+    assert out["bronze"]["olist_orders"] == {"total": N_ORDERS, "clean": N_ORDERS, "quarantine": 0}
+    assert out["gold"]["fact_orders"]
