@@ -1,6 +1,6 @@
 """Command-line entry point for the marketplace pipeline.
 
-    spark-submit --py-files lakelayer.zip lakelayer/cli.py all --landing s3://bucket/raw/ --lake s3://bucket/lake/ \
+    spark-submit --py-files lakelayer.zip lakelayer/cli.py all --landing <landing-dir> --lake <lake-dir> \
         --batch-id 2024-01-01 [--as-of 2024-01-01] [--quality fail]
 
 ``bronze`` ingests ``<landing>/<source>.csv`` (or a directory per source) for
