@@ -237,7 +237,7 @@ def bronze_ingest(spark, sf_dir):
     SELECT '{BATCH}' AS _batch_id,
            CASE WHEN r IS NULL THEN 'clean' ELSE 'quarantine' END AS _status,
            COUNT(*) AS n_rows, COUNT(*) AS n_source_file, COUNT(*) AS n_ingested_at,
-           1 AS n_batches
+           CAST(1 AS BIGINT) AS n_batches
     FROM (SELECT {S.oracle_reason('orders')} AS r FROM orders) GROUP BY 1, 2
     """,
 )
@@ -532,7 +532,7 @@ def scalar_hash(spark, sf_dir):
            CAST(o_orderdate AS DATE) - 1 AS day_before,
            DATE '9999-12-31' AS open_end,
            DATE '{AS_OF_2}' - 1 AS closed_at,
-           date_diff('day', CAST(o_orderdate AS DATE), DATE '{AS_OF_2}') AS age_days
+           CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '{AS_OF_2}') AS INTEGER) AS age_days
     FROM orders
     """,
 )
@@ -795,8 +795,8 @@ fact AS (
            {sql_surrogate_key(['CAST(o.purchase_ts AS DATE)'], 'date')} AS date_sk, dg.geo_sk,
            i.order_id, i.order_item_id, i.quantity, i.price, i.freight_value,
            p.payment_value, p.payment_installments, p.payment_type, r.review_score, o.order_status,
-           date_diff('day', CAST(o.purchase_ts AS DATE), CAST(i.delivered_ts AS DATE)) AS delivery_days,
-           date_diff('day', CAST(o.estimated_delivery_ts AS DATE), CAST(i.delivered_ts AS DATE)) AS delay_days,
+           CAST(date_diff('day', CAST(o.purchase_ts AS DATE), CAST(i.delivered_ts AS DATE)) AS INTEGER) AS delivery_days,
+           CAST(date_diff('day', CAST(o.estimated_delivery_ts AS DATE), CAST(i.delivered_ts AS DATE)) AS INTEGER) AS delay_days,
            strftime(o.purchase_ts, '%Y-%m') AS order_year_month
     FROM items i JOIN ord o ON i.order_id = o.order_id
          LEFT JOIN dim_customer dc ON dc.customer_id = o.customer_id
@@ -846,8 +846,8 @@ def fact_orders_q(spark, sf_dir):
 @query(
     "fact_delivery",
     WH_CTES
-    + """SELECT order_year_month, count(*) AS n_items, sum(delivery_days) AS delivery_days,
-       sum(delay_days) AS delay_days, count(*) FILTER (WHERE delay_days > 0) AS late_items
+    + """SELECT order_year_month, count(*) AS n_items, CAST(sum(delivery_days) AS BIGINT) AS delivery_days,
+       CAST(sum(delay_days) AS BIGINT) AS delay_days, count(*) FILTER (WHERE delay_days > 0) AS late_items
        FROM fact GROUP BY order_year_month""",
 )
 def fact_delivery(spark, sf_dir):

@@ -48,3 +48,6 @@ def test_query_matches_oracle(spark, con, name):
     srows = sorted((tuple(_norm(r[c]) for c in order) for r in sdf.collect()), key=repr)
     drows = sorted((tuple(_norm(r[dcols.index(c)]) for c in order) for r in rel.fetchall()), key=repr)
     assert srows == drows
+    from tools.oracle_check import type_mismatches
+
+    assert type_mismatches(sdf, rel) == []
