@@ -8,9 +8,11 @@ Dimensions
 * ``dim_seller``, ``dim_geography`` (SCD1): ``operators.merge.merge_scd1``.
 
 Fact
-``fact_orders`` joins items to orders on the order key (the one large-to-large
-join: both sides shuffle on the order key), then looks each item up in the
-dimensions. SCD2 dimensions are joined *as of the purchase date* (key equal
+``fact_orders`` first attaches the order-grain lookups (customer as of the
+purchase date, geography, payments, reviews) to the orders, then joins items
+to the enriched orders on the order key (the one large-to-large join: both
+sides shuffle on the order key), then looks each item up in the product and
+seller dimensions. SCD2 dimensions are joined *as of the purchase date* (key equal
 and date inside the version's interval; the first version of a key is open
 to the past, since the first load dates every version on the load day).
 A dimension side is broadcast only after a row count shows it at most
@@ -146,23 +148,27 @@ def fact_orders(
     def small(df):
         return bounded_broadcast(df, max_rows=broadcast_rows) if broadcast_rows else df
 
-    f = items.join(orders, "order_id", "inner")
-    f = point_in_time_join(f, dim_customer, "customer_id", "customer_id", "purchase_ts", ["customer_sk", F.col("zip_code").alias("_cust_zip")], broadcast_rows)
-    f = point_in_time_join(f, dim_product, "product_id", "product_id", "purchase_ts", ["product_sk"], broadcast_rows)
-    seller = small(dim_seller.select(F.col("seller_id").alias("_sid"), "seller_sk"))
-    f = f.join(seller, f["seller_id"] == seller["_sid"], "left").drop("_sid")
+    # Order-grain lookups first: customer (as of the purchase date), its
+    # geography, payments and reviews attach to the orders, which are several
+    # times fewer and narrower than the items. The items then meet the
+    # enriched orders in the one large join, on the order key.
+    o = point_in_time_join(orders, dim_customer, "customer_id", "customer_id", "purchase_ts", ["customer_sk", F.col("zip_code").alias("_cust_zip")], broadcast_rows)
     geo = small(dim_geography.select(F.col("zip_code").alias("_zip"), "geo_sk"))
-    f = f.join(geo, f["_cust_zip"] == geo["_zip"], "left").drop("_zip", "_cust_zip")
+    o = o.join(geo, o["_cust_zip"] == geo["_zip"], "left").drop("_zip", "_cust_zip")
     if payments is not None:
         p = payments.select(F.col(order_rollup_key).alias("_pk"), "payment_value", "payment_installments", "payment_type")
-        f = f.join(p, f[order_rollup_key] == p["_pk"], "left").drop("_pk")
+        o = o.join(p, o[order_rollup_key] == p["_pk"], "left").drop("_pk")
     else:
-        f = f.withColumns({"payment_value": F.lit(None).cast("double"), "payment_installments": F.lit(None).cast("int"), "payment_type": F.lit(None).cast("string")})
+        o = o.withColumns({"payment_value": F.lit(None).cast("double"), "payment_installments": F.lit(None).cast("int"), "payment_type": F.lit(None).cast("string")})
     if reviews is not None:
         r = reviews.select(F.col(order_rollup_key).alias("_rk"), "review_score")
-        f = f.join(r, f[order_rollup_key] == r["_rk"], "left").drop("_rk")
+        o = o.join(r, o[order_rollup_key] == r["_rk"], "left").drop("_rk")
     else:
-        f = f.withColumn("review_score", F.lit(None).cast("int"))
+        o = o.withColumn("review_score", F.lit(None).cast("int"))
+    f = items.join(o, "order_id", "inner")
+    f = point_in_time_join(f, dim_product, "product_id", "product_id", "purchase_ts", ["product_sk"], broadcast_rows)
+    seller = small(dim_seller.select(F.col("seller_id").alias("_sid"), "seller_sk"))
+    f = f.join(seller, f["seller_id"] == seller["_sid"], "left").drop("_sid")
     purchase = F.col("purchase_ts").cast("date")
     return f.select(
         surrogate_key(["order_id", "order_item_id"], namespace="order_item").alias("order_sk"),
