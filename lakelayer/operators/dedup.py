@@ -16,17 +16,11 @@ from pyspark.sql import functions as F
 
 def dedup_latest(df: DataFrame, keys: str | list[str], order_by: list[str | Column]) -> DataFrame:
     ks = [keys] if isinstance(keys, str) else list(keys)
-    order_cols = []
-    order_names = set()
-    for i, o in enumerate(order_by):
-        if isinstance(o, str):
-            order_cols.append(F.col(o).alias(f"_o{i}"))
-            order_names.add(o)
-        else:
-            order_cols.append(o.alias(f"_o{i}"))
+    order_cols = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order_by)]
     rest = [c for c in df.columns if c not in ks]
-    tie = [F.col(c).alias(f"_t_{c}") for c in rest if c not in order_names]
-    packed = F.struct(*order_cols, *tie, *[F.col(c).alias(c) for c in rest])
+    # The row itself follows the order fields and breaks their ties: named
+    # order columns compare equal there, the others in column order.
+    packed = F.struct(*order_cols, *[F.col(c).alias(c) for c in rest])
     best = df.groupBy(*ks).agg(F.max(packed).alias("_best"))
     return best.select(*ks, *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
 

@@ -84,7 +84,13 @@ SPREAD_BYTES_PER_TASK = 1 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, table))
+    """The table as a DataFrame; one read (file listing, footer schema) per
+    session and path, reused by every plan built in that session."""
+    path = table_path(sf_dir, table)
+    reads = spark.__dict__.setdefault("_lakelayer_reads", {})
+    if path not in reads:
+        reads[path] = spark.read.parquet(path)
+    return reads[path]
 
 
 def spread(spark: SparkSession, df: DataFrame, sf_dir: str, table: str) -> DataFrame:
