@@ -6,8 +6,10 @@ held by one task. Here:
 
 1. One partial aggregation gives each group's count, min and max.
 2. Groups with at most ``small_group_rows`` values take Spark's exact
-   ``median`` (bounded buffer). The rows are picked with a semi join against
-   the small groups, which AQE splits if a skewed group lands in it.
+   ``median`` (bounded buffer). When there is no larger group (the usual
+   case) that is one aggregation over the input. Otherwise the large groups'
+   rows are removed by an anti join against their keys, broadcast once a
+   count bounds them (at most rows / ``small_group_rows`` keys).
 3. Larger groups are narrowed instead of collected. For each of the two
    middle ranks the value range is cut into ``buckets`` equal slices; a
    partial aggregation counts rows per slice (at most ``buckets`` rows per
@@ -15,7 +17,9 @@ held by one task. Here:
    the range shrinks to it. When the slice holds one distinct value, or at
    most ``small_group_rows`` rows, the value at the rank is read exactly.
    The narrowing state (two rows per large group) is checkpointed each round
-   into the session's checkpoint folder, so the lineage stays short.
+   into the session's checkpoint folder, so the lineage stays short, and is
+   broadcast to the scan after a count: a hot group's rows are filtered
+   where they are read and never shuffled whole to one task.
 
 The median of an even count is the midpoint of the two middle values, as
 ``percentile(v, 0.5)`` interpolates.
@@ -26,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakelayer.operators.lookup import bounded_broadcast
 from lakelayer.session import checkpoint_root
 
 
@@ -41,6 +46,7 @@ def grouped_median(
     small_group_rows: int = 1_000_000,
     buckets: int = 1024,
     max_rounds: int = 64,
+    max_broadcast_groups: int = 100_000,
 ) -> DataFrame:
     g = list(group_cols)
     base = df.select(*g, F.col(value_col).cast("double").alias("_v")).filter(
@@ -49,18 +55,23 @@ def grouped_median(
     stats = base.groupBy(*g).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
-    small_keys = stats.filter(F.col("_n") <= small_group_rows).select(*g)
-    small = base.join(small_keys, on=g, how="left_semi").groupBy(*g).agg(F.median("_v").alias(out_col))
-
     large = stats.filter(F.col("_n") > small_group_rows)
     checkpoint_root(df.sparkSession)
     large = large.checkpoint()
-    if large.isEmpty():
-        return small
-    return small.unionByName(_large_group_medians(base, large, g, out_col, small_group_rows, buckets, max_rounds))
+    n_large = large.count()
+    if n_large == 0:
+        # Every group is small: no row needs routing, one aggregation does it.
+        return base.groupBy(*g).agg(F.median("_v").alias(out_col))
+    # Each large group has more than small_group_rows rows, so their number
+    # is at most rows / small_group_rows; the broadcast is checked against it.
+    large_keys = bounded_broadcast(large.select(*g), max_rows=max_broadcast_groups, known_rows=n_large)
+    small = base.join(large_keys, on=g, how="left_anti").groupBy(*g).agg(F.median("_v").alias(out_col))
+    return small.unionByName(
+        _large_group_medians(base, large, g, out_col, small_group_rows, buckets, max_rounds, max_broadcast_groups)
+    )
 
 
-def _large_group_medians(base, large, g, out_col, small_rows, buckets, max_rounds) -> DataFrame:
+def _large_group_medians(base, large, g, out_col, small_rows, buckets, max_rounds, max_bc) -> DataFrame:
     # One state row per (group, target rank t): wanted 0-based rank _k, range
     # [_lo, _hi], rows below the range _below, rows inside the range _cnt.
     targets = F.explode(
@@ -78,16 +89,19 @@ def _large_group_medians(base, large, g, out_col, small_rows, buckets, max_round
         state = state.checkpoint()
         resolved.append(state.filter(done_cond))
         active = state.filter(~done_cond)
-        if active.isEmpty():
+        n_active = active.count()
+        if n_active == 0:
             state = None
             break
-        state = _narrow(base, active, g, buckets)
+        # Two state rows per large group: broadcast after the count, so the
+        # rows of a hot group are filtered where they are read, not shuffled.
+        state = _narrow(base, bounded_broadcast(active, max_rows=2 * max_bc, known_rows=n_active), g, buckets)
     if state is not None:  # rounds exhausted: read the remaining ranges exactly
         resolved.append(state)
     done = resolved[0]
     for r in resolved[1:]:
         done = done.unionByName(r)
-    values = _read_ranks(base, done, g)
+    values = _read_ranks(base, done, g, 2 * large.count(), 2 * max_bc)
     return values.groupBy(*g).agg(
         _midpoint(F.min(F.when(F.col("_t") == 0, F.col("_val"))), F.max(F.when(F.col("_t") == 1, F.col("_val")))).alias(out_col)
     )
@@ -118,9 +132,10 @@ def _narrow(base, active, g, buckets) -> DataFrame:
     )
 
 
-def _read_ranks(base, done, g) -> DataFrame:
+def _read_ranks(base, done, g, n_state, max_bc) -> DataFrame:
     single = done.filter(F.col("_lo") == F.col("_hi")).select(*g, "_t", F.col("_lo").alias("_val"))
-    rest = done.filter(F.col("_lo") != F.col("_hi"))
+    # At most two state rows per large group (n_state bounds them).
+    rest = bounded_broadcast(done.filter(F.col("_lo") != F.col("_hi")), max_rows=max_bc, known_rows=n_state)
     rows = base.join(rest, on=g, how="inner").filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
     picked = rows.groupBy(*g, "_t", "_k", "_below").agg(F.sort_array(F.collect_list("_v")).alias("_vals"))
     picked = picked.select(*g, "_t", F.element_at("_vals", (F.col("_k") - F.col("_below") + 1).cast("int")).alias("_val"))
