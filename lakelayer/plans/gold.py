@@ -113,7 +113,10 @@ def point_in_time_join(
         F.col(dim_key).alias("_dk"), "_from_eff", F.col(VALID_TO).alias("_to"), *take
     )
     if broadcast_rows:
-        d = bounded_broadcast(d, max_rows=broadcast_rows)
+        # The window keeps every row, so the dimension's own count is the
+        # size (a footer read for a written table, no window shuffle).
+        n = dim.limit(broadcast_rows + 1).count()
+        d = bounded_broadcast(d, max_rows=broadcast_rows, known_rows=n)
     cond = (
         (fact[fact_key] == d["_dk"])
         & (F.col(fact_date).cast("date") >= d["_from_eff"])
