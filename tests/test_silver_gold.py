@@ -22,6 +22,28 @@ def test_dedup_keeps_latest_with_total_order(spark):
     assert got == [(1, 1, "2024-01-03", "c"), (2, 1, "2024-01-01", "d")]
 
 
+def test_dedup_matches_brute_force_with_ties_and_nulls(spark):
+    """Survivor = greatest (order..., then every other column in column order),
+    NULL below any value, as Spark orders structs."""
+    rnd = random.Random(11)
+    pick = lambda xs: rnd.choice(xs)
+    rows = [
+        (pick([1, 2, 3]), pick(["2024-01-01", "2024-01-02", None]), pick([None, 0, 5, 9]), pick(["a", "b", None]))
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(rows, "k int, ts string, n int, v string")
+    got = sorted(dedup_latest(df, "k", ["ts"]).collect(), key=lambda r: r.k)
+
+    def rank(r):
+        return tuple((0,) if x is None else (1, x) for x in (r[1], r[2], r[3]))
+
+    want = {}
+    for r in rows:
+        if r[0] not in want or rank(r) > rank(want[r[0]]):
+            want[r[0]] = r
+    assert [tuple(r) for r in got] == [want[k] for k in sorted(want)]
+
+
 def test_dedup_is_an_aggregate_not_a_window(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
     plan = dedup_latest(df, "k", ["ts"])._jdf.queryExecution().executedPlan().toString()
