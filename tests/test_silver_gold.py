@@ -133,3 +133,13 @@ def test_fact_pruned_scan_uses_partition_filters(spark):
     df = QUERIES["fact_pruned"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year_month" in plan
+
+
+def test_staged_tables_live_under_the_checkpoint_dir(spark):
+    from lakelayer.plans.warehouse import staged
+
+    df = staged(spark, spark.range(5).withColumnRenamed("id", "k"), "probe")
+    root = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    files = df.inputFiles()
+    assert files and all(root in f for f in files)
+    assert sorted(r.k for r in df.collect()) == [0, 1, 2, 3, 4]
