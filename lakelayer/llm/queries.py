@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import packing, tokenbin
+from lakelayer.llm import packing, pii, quality, tokenbin, urlfilter
 from lakelayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,16 @@ def op1_token_files(spark, sf_dir):
     return tokenbin.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op2_quality_ledger(spark, sf_dir):
+    rows = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")), quality.STANDARD)
+    measured = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select("doc_id", *measured, quality.fails(quality.BASE).alias("base_failed"), "kept")
+
+
+ORACLE["op2_quality_ledger"] = quality.ORACLE_SQL
+
+
 @query
 def op5_packing(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
@@ -40,3 +50,26 @@ def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.tokenise(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
     digest = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(digest).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+#: The rule list of the URL contract.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query
+def op6_url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLE["op6_url_filter"] = urlfilter.ORACLE_SQL
+
+
+@query
+def op8_pii(spark, sf_dir):
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(base, x -> x.kind = '{k.name}')) AS bigint) AS n_{k.name}") for k in pii.KINDS if k.base]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
+ORACLE["op8_pii"] = pii.ORACLE_SQL
