@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.llm.common import narrow
+from lakelayer.llm.common import narrow, staged
 
 THRESHOLD = 0.6
 CONTEXT_SCORE = 0.25
@@ -117,11 +117,12 @@ def _with_spans(df: DataFrame) -> DataFrame:
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``base`` and ``spans`` (arrays of kind,
-    start, end, score; by kind in the order of ``KINDS``, then by start)."""
+    start, end, score; by kind in the order of ``KINDS``, then by start). Stored once,
+    so that filters on spans do not repeat the search."""
     rows = narrow(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     base = ", ".join(f"spans_{k.name}" for k in KINDS if k.base)
     every = ", ".join(f"spans_{k.name}" for k in KINDS)
-    return _with_spans(rows).selectExpr("doc_id", f"concat({base}) AS base", f"concat({every}) AS spans")
+    return staged(_with_spans(rows).selectExpr("doc_id", f"concat({base}) AS base", f"concat({every}) AS spans"), "pii-spans")
 
 
 def joined(spans: str) -> Column:

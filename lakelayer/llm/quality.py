@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.llm.common import narrow
+from lakelayer.llm.common import narrow, staged
 
 #: Fixed values of the measurements: white space, symbol characters, window length.
 WHITE = "[\\x20\\x09-\\x0D]+"
@@ -106,12 +106,14 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Measurements and the ``failed`` bitmask over all rules."""
+    """Measurements and the ``failed`` bitmask over all rules, stored once. Stored,
+    because a later filter on the bits would else be pushed below the measurements,
+    which repeats their expressions."""
     bits = [F.when(F.expr(cond), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, cond in enumerate(RULES.values())]
     failed = bits[0]
     for b in bits[1:]:
         failed = failed.bitwiseOR(b)
-    return measure(docs, id_col, text_col).withColumn("failed", failed)
+    return staged(measure(docs, id_col, text_col).withColumn("failed", failed), "quality-ledger")
 
 
 def fails(policy: Policy) -> Column:
