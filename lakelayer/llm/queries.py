@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import packing, pii, quality, tokenbin, urlfilter
+from lakelayer.llm import langid, mixing, packing, pii, quality, search, simhash, tokenbin, toxicity, urlfilter
 from lakelayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,47 @@ def op8_pii(spark, sf_dir):
 
 
 ORACLE["op8_pii"] = pii.ORACLE_SQL
+
+
+@query
+def op3_toxicity_chain(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+#: Target weights of the languages under every domain; other nodes weigh 1.
+LANGUAGE_WEIGHTS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+MIX_SEED = 17
+
+
+def mixed(docs: DataFrame, max_epochs: float) -> DataFrame:
+    """The tree domain (the letters a source's name starts with), language, source."""
+    levels = {"domain": F.regexp_extract(F.coalesce(F.col("source"), F.lit("")), "^[A-Za-z]*", 0), "language": F.col("lang"), "leaf_source": F.col("source")}
+    domains = [r[0] for r in docs.select(levels["domain"]).distinct().limit(1000).collect()]
+    weights = {(d, lang): w for d in domains for lang, w in LANGUAGE_WEIGHTS.items()}
+    return mixing.mix(docs, levels, weights, max_epochs=max_epochs, seed=MIX_SEED)
+
+
+@query
+def op4_source_mix(spark, sf_dir):
+    chosen = mixed(table(spark, sf_dir, "documents"), max_epochs=4)
+    return chosen.select("row.doc_id", "domain", F.col("language").alias("lang"), F.col("leaf_source").alias("source"), F.col("tokens").alias("n_tokens"), "epochs")
+
+
+@query
+def op7_simhash_near_duplicates(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
+    return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op9_bm25_top_k(spark, sf_dir):
+    return search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, k=10)
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    predicted = langid.predict(docs, langid.train(docs, ~held_out))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
