@@ -1,8 +1,8 @@
 """Toxicity by a classifier chain.
 
 The categories are predicted one after another (by default low quality, then
-toxic). Each is a sparse linear model over the distinct words of a text plus the
-probabilities of the earlier categories. For training, those probabilities are out
+toxic). Each is a sparse linear model over the distinct words and
+word stems of a text plus the probabilities of the earlier categories. For training, those probabilities are out
 of fold: the rows are dealt to folds by a hash of their id, and a row's earlier
 probabilities come from models that have not seen its fold, so a later model does
 not learn to trust an earlier one's memory of its own training rows. The decision
@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 from lakelayer.llm.common import narrow, staged
 from lakelayer.llm.linear import Rows, ftrl, logits
 
-MAX_LABELLED = 12_000
+MAX_LABELLED = 8_000
 MAX_VOCABULARY = 30_000
 MIN_DOCS = 5
 FOLDS = 3
+STEM = 5
 L1, L2 = 2.0, 0.1
 
 #: Category and its positive condition over the label columns, in the chain's order.
@@ -46,7 +47,10 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(_WORD.findall((text or "").lower()))
+    """Distinct lower-case words, and the stems (first five letters, marked by ~) of
+    the longer ones, so that an unseen form of a known word counts as well."""
+    words = set(_WORD.findall((text or "").lower()))
+    return words | {w[:STEM] + "~" for w in words if len(w) > STEM}
 
 
 @dataclass
