@@ -3,7 +3,8 @@
 Each rule is a condition that is true for a *failing* row. All rules are
 counted by a single ``agg`` (one scan, partial aggregation, one tiny shuffle),
 then unpivoted to one row per rule. ``unique`` rules count surplus rows of a
-key with ``count - count(distinct key)`` inside the same aggregation.
+key with ``count - count(distinct key)`` inside the same aggregation; the key is
+counted as a struct, so a NULL key is a key like any other.
 
 ``enforce`` reads the report (one row per rule, a bounded result) and, in
 ``fail`` mode, raises when any rule has failures; in ``warn`` mode it returns
@@ -58,7 +59,7 @@ def report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     for i, r in enumerate(rules):
         if r.unique:
             aggs.append(
-                (F.count(F.lit(1)) - F.count_distinct(*[F.col(c) for c in r.unique])).alias(f"_f{i}")
+                (F.count(F.lit(1)) - F.count_distinct(F.struct(*[F.col(c) for c in r.unique]))).alias(f"_f{i}")
             )
         else:
             aggs.append(F.count_if(r.failing).alias(f"_f{i}"))

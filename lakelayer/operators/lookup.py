@@ -15,7 +15,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 

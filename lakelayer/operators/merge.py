@@ -40,6 +40,10 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+class OutOfOrderError(ValueError):
+    pass
+
+
 def _keys(keys: str | list[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -75,6 +79,13 @@ def assert_unique_keys(df: DataFrame, keys: str | list[str]) -> None:
         raise DuplicateKeyError(f"source has duplicate or NULL keys on {ks}, e.g. {bad[0].asDict()}")
 
 
+def assert_not_earlier(target: DataFrame, as_of: Column) -> None:
+    """Raise if a current version starts after ``as_of`` (one column is read)."""
+    late = target.filter(F.col(IS_CURRENT)).agg(F.max(VALID_FROM).alias("m")).filter(F.col("m") > as_of).collect()
+    if late:
+        raise OutOfOrderError(f"a current version starts on {late[0]['m']}, after the snapshot's date")
+
+
 def null_key_condition(keys: str | list[str]) -> Column:
     cond = F.lit(False)
     for k in _keys(keys):
@@ -85,8 +96,10 @@ def null_key_condition(keys: str | list[str]) -> Column:
 # ---------------------------------------------------------------- SCD1
 def merge_scd1(target: DataFrame, source: DataFrame, keys: str | list[str]) -> DataFrame:
     """Upsert: matched keys take the source row, new keys are inserted,
-    target-only keys are kept. Columns follow the target's order."""
+    target-only keys are kept. Columns follow the target's order. Duplicate and
+    NULL source keys raise."""
     ks = _keys(keys)
+    assert_unique_keys(source, ks)
     kept = target.join(source.select(*ks), on=ks, how="left_anti")
     cols = target.columns
     missing = [c for c in cols if c not in source.columns]
@@ -138,7 +151,7 @@ def _flags(as_of: Column):
     t_here = F.col("_t").isNotNull()
     s_here = F.col("_s").isNotNull()
     changed = t_here & s_here & ~F.col(f"_t.{HASH_COL}").eqNullSafe(F.col(f"_s.{HASH_COL}"))
-    same_day = changed & (F.col(f"_t.{VALID_FROM}") >= as_of)
+    same_day = changed & (F.col(f"_t.{VALID_FROM}") == as_of)
     return t_here, s_here, changed, same_day
 
 
@@ -162,7 +175,7 @@ def scd2_merge(
     as_of=None,
     hash_mode: str = "safe",
     sk_col: str | None = None,
-    validate: bool = False,
+    validate: bool = True,
 ) -> DataFrame:
     """The whole next state of an SCD2 table.
 
@@ -172,11 +185,15 @@ def scd2_merge(
       ``as_of`` (a second change the same day) it is replaced instead, so no
       interval ends before it starts;
     * new key: inserted.
+
+    Duplicate or NULL source keys raise, and so does a snapshot older than a
+    current version: history is only ever extended at its end.
     """
     ks = _keys(keys)
+    d = _as_of(as_of)
     if validate:
         assert_unique_keys(source, ks)
-    d = _as_of(as_of)
+        assert_not_earlier(target, d)
     enriched = scd2_enrich(source, ks, tracked, d, hash_mode, sk_col)
     cols = target.columns
     missing = [c for c in cols if c not in enriched.columns]
@@ -207,7 +224,7 @@ def scd2_close(target: DataFrame, source: DataFrame, keys, tracked, as_of=None,
     s = enriched.select(*ks, F.col(HASH_COL).alias("_s_hash"))
     j = current.join(s, on=ks, how="left")
     changed = F.col("_s_hash").isNotNull() & ~F.col(HASH_COL).eqNullSafe(F.col("_s_hash"))
-    same_day = changed & (F.col(VALID_FROM) >= d)
+    same_day = changed & (F.col(VALID_FROM) == d)
     closed = j.filter(~same_day).select(
         *[
             F.when(changed, F.date_sub(d, 1)).otherwise(F.col(VALID_TO)).alias(c)

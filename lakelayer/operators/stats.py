@@ -22,7 +22,9 @@ held by one task. Here:
    where they are read and never shuffled whole to one task.
 
 The median of an even count is the midpoint of the two middle values, as
-``percentile(v, 0.5)`` interpolates.
+``percentile(v, 0.5)`` interpolates. Groups and values are those of the plain
+aggregate: NULL is a group, a group of NULL values has a NULL median, and NaN is
+the largest value.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from lakelayer.session import checkpoint_root
 
 
 def _midpoint(lo_v, hi_v):
-    return lo_v + (hi_v - lo_v) * F.lit(0.5)
+    return F.when(lo_v == hi_v, lo_v).otherwise(lo_v * F.lit(0.5) + hi_v * F.lit(0.5))
 
 
 def grouped_median(
@@ -45,72 +47,91 @@ def grouped_median(
     out_col: str = "median",
     small_group_rows: int = 1_000_000,
     buckets: int = 1024,
-    max_rounds: int = 64,
     max_broadcast_groups: int = 100_000,
 ) -> DataFrame:
     g = list(group_cols)
-    base = df.select(*g, F.col(value_col).cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
+    rows = df.select(*g, F.col(value_col).cast("double").alias("_v"))
+    base = rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    real = F.when(~F.isnan("_v"), F.col("_v"))
+    stats = rows.groupBy(*g).agg(
+        F.count("_v").alias("_all"), F.count(real).alias("_n"), F.min(real).alias("_lo"), F.max(real).alias("_hi")
     )
-    stats = base.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    large = stats.filter(F.col("_n") > small_group_rows)
+    large = stats.filter(F.col("_all") > small_group_rows)
     checkpoint_root(df.sparkSession)
     large = large.checkpoint()
     n_large = large.count()
     if n_large == 0:
         # Every group is small: no row needs routing, one aggregation does it.
-        return base.groupBy(*g).agg(F.median("_v").alias(out_col))
+        return rows.groupBy(*g).agg(F.median("_v").alias(out_col))
     # Each large group has more than small_group_rows rows, so their number
     # is at most rows / small_group_rows; the broadcast is checked against it.
     large_keys = bounded_broadcast(large.select(*g), max_rows=max_broadcast_groups, known_rows=n_large)
-    small = base.join(large_keys, on=g, how="left_anti").groupBy(*g).agg(F.median("_v").alias(out_col))
+    small = rows.join(_renamed(large_keys, g), _same(rows, g), "left_anti").groupBy(*g).agg(F.median("_v").alias(out_col))
     return small.unionByName(
-        _large_group_medians(base, large, g, out_col, small_group_rows, buckets, max_rounds, max_broadcast_groups)
+        _large_group_medians(base, large, g, out_col, small_group_rows, buckets, max_broadcast_groups)
     )
 
 
-def _large_group_medians(base, large, g, out_col, small_rows, buckets, max_rounds, max_bc) -> DataFrame:
+def _renamed(df, g) -> DataFrame:
+    return df.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(g)})
+
+
+def _same(df, g):
+    """Equal groups, NULL being a group like any other."""
+    cond = F.lit(True)
+    for i, c in enumerate(g):
+        cond = cond & df[c].eqNullSafe(F.col(f"_g{i}"))
+    return cond
+
+
+def _large_group_medians(base, large, g, out_col, small_rows, buckets, max_bc) -> DataFrame:
     # One state row per (group, target rank t): wanted 0-based rank _k, range
     # [_lo, _hi], rows below the range _below, rows inside the range _cnt.
     targets = F.explode(
         F.array(
-            F.struct(F.lit(0).alias("_t"), F.floor((F.col("_n") - 1) / 2).cast("bigint").alias("_k")),
-            F.struct(F.lit(1).alias("_t"), F.floor(F.col("_n") / 2).cast("bigint").alias("_k")),
+            F.struct(F.lit(0).alias("_t"), F.floor((F.col("_all") - 1) / 2).cast("bigint").alias("_k")),
+            F.struct(F.lit(1).alias("_t"), F.floor(F.col("_all") / 2).cast("bigint").alias("_k")),
         )
     )
     state = large.select(*g, "_lo", "_hi", "_n", targets.alias("_tk")).select(
         *g, "_tk._t", "_tk._k", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_cnt")
     )
+    # NaN sorts after every number, as in the plain aggregate.
+    beyond = state.filter(F.col("_k") >= F.col("_cnt")).select(*g, "_t", F.lit(float("nan")).alias("_val"))
+    state = state.filter(F.col("_k") < F.col("_cnt"))
     resolved = []
-    for _ in range(max_rounds):
+    # Every round drops at least one distinct value of each open range.
+    while True:
         done_cond = (F.col("_lo") == F.col("_hi")) | (F.col("_cnt") <= small_rows)
         state = state.checkpoint()
         resolved.append(state.filter(done_cond))
         active = state.filter(~done_cond)
         n_active = active.count()
         if n_active == 0:
-            state = None
             break
         # Two state rows per large group: broadcast after the count, so the
         # rows of a hot group are filtered where they are read, not shuffled.
         state = _narrow(base, bounded_broadcast(active, max_rows=2 * max_bc, known_rows=n_active), g, buckets)
-    if state is not None:  # rounds exhausted: read the remaining ranges exactly
-        resolved.append(state)
     done = resolved[0]
     for r in resolved[1:]:
         done = done.unionByName(r)
-    values = _read_ranks(base, done, g, 2 * large.count(), 2 * max_bc)
+    values = _read_ranks(base, done, g, 2 * large.count(), 2 * max_bc).unionByName(beyond)
     return values.groupBy(*g).agg(
         _midpoint(F.min(F.when(F.col("_t") == 0, F.col("_val"))), F.max(F.when(F.col("_t") == 1, F.col("_val")))).alias(out_col)
     )
 
 
+def _matched(base, state, g) -> DataFrame:
+    joined = base.join(_renamed(state, g), _same(base, g), "inner")
+    return joined.drop(*[f"_g{i}" for i in range(len(g))])
+
+
 def _narrow(base, active, g, buckets) -> DataFrame:
-    joined = base.join(active, on=g, how="inner").filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    joined = _matched(base, active, g).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
     width = F.col("_hi") / 2 - F.col("_lo") / 2
-    pos = (F.col("_v") / 2 - F.col("_lo") / 2) / width * buckets
+    # Halves keep wide ranges finite; where they vanish, the lowest value is set apart.
+    above = F.when(F.col("_v") == F.col("_lo"), 0).otherwise(buckets)
+    pos = F.when(width > 0, (F.col("_v") / 2 - F.col("_lo") / 2) / width * buckets).otherwise(above)
     b = F.least(F.greatest(F.floor(pos).cast("int"), F.lit(0)), F.lit(buckets - 1))
     hist = joined.groupBy(*g, "_t", "_k", "_below", b.alias("_b")).agg(
         F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
@@ -136,7 +157,7 @@ def _read_ranks(base, done, g, n_state, max_bc) -> DataFrame:
     single = done.filter(F.col("_lo") == F.col("_hi")).select(*g, "_t", F.col("_lo").alias("_val"))
     # At most two state rows per large group (n_state bounds them).
     rest = bounded_broadcast(done.filter(F.col("_lo") != F.col("_hi")), max_rows=max_bc, known_rows=n_state)
-    rows = base.join(rest, on=g, how="inner").filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    rows = _matched(base, rest, g).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
     picked = rows.groupBy(*g, "_t", "_k", "_below").agg(F.sort_array(F.collect_list("_v")).alias("_vals"))
     picked = picked.select(*g, "_t", F.element_at("_vals", (F.col("_k") - F.col("_below") + 1).cast("int")).alias("_val"))
     return single.unionByName(picked)

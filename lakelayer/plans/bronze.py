@@ -4,12 +4,12 @@ One job per source file set, one pass over the input:
 
     typed = contract read (+ _source_file) with _quarantine_reason
     tagged = + _status (clean | quarantine) + _ingested_at
-    write tagged, partitioned by (_batch_id, _status), dynamic overwrite
+    write tagged, partitioned by (_batch_id, _status), replacing the batch
 
 Clean rows and rejects are pruned reads of that one dataset (``clean`` /
 ``quarantine`` below); the counts come from ``observe`` on the same write, so
 nothing is recomputed, cached or counted in a separate action. Re-running a
-batch replaces its partitions instead of appending duplicates.
+batch replaces all its rows, clean and rejected, instead of appending duplicates.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ class IngestResult:
     quarantine_rows: int
 
 
-def bronze_frame(spark: SparkSession, contract: Contract, path: str | list[str], header: bool | None = None) -> DataFrame:
-    typed = read_csv_contract(spark, path, contract, header=header, source_file=True)
+def bronze_frame(spark: SparkSession, contract: Contract, path: str | list[str], header: bool | None = None, match_by_name: bool = False) -> DataFrame:
+    typed = read_csv_contract(spark, path, contract, header=header, match_by_name=match_by_name, source_file=True)
     return Q.with_status(typed).withColumn(INGESTED_AT, F.current_timestamp())
 
 
@@ -48,11 +48,12 @@ def ingest(
     table_root: str,
     batch_id: str,
     header: bool | None = None,
+    match_by_name: bool = False,
 ) -> IngestResult:
     c = get_contract(contract) if isinstance(contract, str) else contract
     # one batch id and two statuses per write: no rebalance shuffle needed
     table = PathTable(spark, table_root, partition_by=[BATCH_COL, Q.STATUS_COL], rebalance=False)
-    frame = bronze_frame(spark, c, path, header=header)
+    frame = bronze_frame(spark, c, path, header=header, match_by_name=match_by_name)
     observed, obs = Q.observe_counts(frame, name=f"bronze-{c.name}-{batch_id}")
     table.append(observed, batch_id=batch_id)
     m = obs.get

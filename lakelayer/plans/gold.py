@@ -115,7 +115,7 @@ def point_in_time_join(
     if broadcast_rows:
         # The window keeps every row, so the dimension's own count is the
         # size (a footer read for a written table, no window shuffle).
-        n = dim.limit(broadcast_rows + 1).count()
+        n = dim.count()
         d = bounded_broadcast(d, max_rows=broadcast_rows, known_rows=n)
     cond = (
         (fact[fact_key] == d["_dk"])

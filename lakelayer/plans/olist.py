@@ -55,31 +55,44 @@ def run_bronze(spark: SparkSession, files: dict[str, str], root: str, batch_id:
     return B.run_all(spark, {n: files[n] for n in SOURCES if n in files}, f"{root}/bronze", batch_id)
 
 
+#: What decides between rows of one key before the event's own order: the later
+#: batch, and of one batch its later ingestion.
+BATCH_ORDER = ["_batch_id", "_ingested_at"]
+
+
 def _bronze_clean(spark, root, name) -> DataFrame:
     t = PathTable(spark, f"{root}/bronze/{name}")
-    return B.clean(t).drop(*[c for c in TECHNICAL if c != "_ingested_at"])
+    return B.clean(t).drop(*[c for c in TECHNICAL if c not in BATCH_ORDER])
+
+
+def _not_merged(spark, src: DataFrame, silver_root: str) -> DataFrame:
+    """Rows ingested after the last ones that silver has seen."""
+    t = PathTable(spark, silver_root)
+    seen = t.read().agg(F.max("_ingested_at")).first()[0] if t.exists() else None
+    return src if seen is None else src.filter(F.col("_ingested_at") > F.lit(seen))
 
 
 def run_silver(spark: SparkSession, root: str, quality_mode: str = "warn") -> dict[str, list]:
     reports = {}
     for name, spec in silver_specs().items():
-        src = _bronze_clean(spark, root, name).drop("_ingested_at")
+        src = _not_merged(spark, _bronze_clean(spark, root, name), f"{root}/silver/{name}")
         for zip_col in ("zip_code",):
             if zip_col in src.columns:
                 src = SV.normalise_zip(src, zip_col)
         _, rep = SV.silver_upsert(
-            spark, src, spec["key"], spec["order_by"], f"{root}/silver/{name}",
+            spark, src, spec["key"], [*BATCH_ORDER, *spec["order_by"]], f"{root}/silver/{name}",
             trim=spec.get("trim", ()), lower=spec.get("lower", ()), upper=spec.get("upper", ()),
-            rules=spec.get("rules", ()), quality_mode=quality_mode,
+            rules=spec.get("rules", ()), quality_mode=quality_mode, latest_wins=True,
         )
         reports[name] = rep
-    geo = SV.normalise_zip(_bronze_clean(spark, root, "olist_geolocation").drop("_ingested_at"), "zip_code_prefix", out_col="zip_code")
-    PathTable(spark, f"{root}/silver/olist_geolocation").overwrite(geo.drop("zip_code_prefix"))
+    # Points have no key: the same point in several batches counts once.
+    geo = SV.normalise_zip(_bronze_clean(spark, root, "olist_geolocation").drop(*BATCH_ORDER), "zip_code_prefix", out_col="zip_code")
+    PathTable(spark, f"{root}/silver/olist_geolocation").overwrite(geo.drop("zip_code_prefix").distinct())
     return reports
 
 
 def silver(spark, root, name) -> DataFrame:
-    return PathTable(spark, f"{root}/silver/{name}").read()
+    return PathTable(spark, f"{root}/silver/{name}").read().drop(*BATCH_ORDER)
 
 
 def run_gold(spark: SparkSession, root: str, as_of: str, category_lookup: DataFrame | None = None, lookup_rows: int | None = None) -> dict[str, PathTable]:

@@ -77,12 +77,14 @@ def silver_upsert(
     upper: list[str] = (),
     rules: list = (),
     quality_mode: str = "warn",
+    latest_wins: bool = False,
 ):
     """Clean -> dedup -> quality -> SCD1 upsert into ``silver_root``.
 
     The deduplicated frame is checkpointed (to the session's checkpoint folder)
     so the quality report and the merge read it instead of recomputing the
-    lineage; in ``fail`` mode nothing is committed when a rule fails.
+    lineage; in ``fail`` mode nothing is committed when a rule fails. With
+    ``latest_wins`` stored and new rows of a key are compared in ``order_by``.
     Returns ``(table, report_rows)``."""
     from lakelayer.operators import dq
     from lakelayer.operators.merge import merge_scd1
@@ -96,7 +98,11 @@ def silver_upsert(
     report = dq.enforce(staged, list(rules), quality_mode) if rules else []
     table = PathTable(spark, silver_root)
     if table.exists():
-        table.overwrite(merge_scd1(table.read(), staged, key))
+        if latest_wins:
+            # A stored row yields only to one that is later in the same order.
+            table.overwrite(dedup_latest(table.read().unionByName(staged), key, order_by))
+        else:
+            table.overwrite(merge_scd1(table.read(), staged, key))
     else:
         table.overwrite(staged)
     return table, report

@@ -48,11 +48,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system; it is
     read, never replaced. Only when it is unset (tests, a laptop) is a local
-    directory created and registered.
+    directory created and registered; on any other master that is an error.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="lakelayer-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)

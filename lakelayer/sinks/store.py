@@ -20,11 +20,15 @@ A single writer per table is assumed; there is no concurrency control.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BATCH_COL = "_batch_id"
 _VERSION_PREFIX = "v="
+_TYPES_FILE = "_partition_types.json"
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -85,7 +89,35 @@ class PathTable:
         p = self.current_path()
         if p is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.format(self.fmt).load(p)
+        df = self.spark.read.format(self.fmt).load(p)
+        written = self._written_types(p)
+        if not written:
+            return df
+        # Partition values are read with the types they were written with, not
+        # with types guessed from directory names.
+        fields = [T.StructField(f.name, written.get(f.name, f.dataType), True) for f in df.schema.fields]
+        return self.spark.read.format(self.fmt).schema(T.StructType(fields)).load(p)
+
+    def _written_types(self, path: str) -> dict[str, T.DataType]:
+        fs, hpath, jvm = _fs_and_path(self.spark, f"{path}/{_TYPES_FILE}")
+        if not fs.exists(hpath):
+            return {}
+        stream = fs.open(hpath)
+        try:
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return {f.name: f.dataType for f in T.StructType.fromJson(json.loads(text)).fields}
+
+    def _store_types(self, path: str, df: DataFrame, cols: list[str]) -> None:
+        if not cols:
+            return
+        fs, hpath, _ = _fs_and_path(self.spark, f"{path}/{_TYPES_FILE}")
+        out = fs.create(hpath, True)
+        try:
+            out.write(bytearray(T.StructType([df.schema[c] for c in cols]).json().encode()))
+        finally:
+            out.close()
 
     # ---- writes ---------------------------------------------------------
     def _writer(self, df: DataFrame, mode: str, partition_by: list[str]):
@@ -107,6 +139,7 @@ class PathTable:
         self._writer(df, "overwrite", self.partition_by).option(
             "partitionOverwriteMode", "static"
         ).save(path)
+        self._store_types(path, df, self.partition_by)
         return path
 
     def overwrite_partitions(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
@@ -127,8 +160,9 @@ class PathTable:
         return current
 
     def append(self, df: DataFrame, batch_id: str | None = None) -> str:
-        """Append rows. With ``batch_id`` the rows are tagged and the write is
-        an idempotent replacement of that batch's partition."""
+        """Append rows. With ``batch_id`` the rows are tagged and the write replaces
+        everything an earlier run of that batch wrote, whatever its other
+        partition values were."""
         if batch_id is None:
             current = self.current_path()
             if current is None:
@@ -139,4 +173,9 @@ class PathTable:
         cols = [BATCH_COL] + [c for c in self.partition_by if c != BATCH_COL]
         if BATCH_COL not in self.partition_by:
             self.partition_by = cols
-        return self.overwrite_partitions(tagged, cols)
+        current = self.current_path()
+        if current is None:
+            return self.overwrite(tagged)
+        escaped = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(batch_id))
+        self._writer(df.drop(BATCH_COL), "overwrite", cols[1:]).option("partitionOverwriteMode", "static").save(f"{current}/{BATCH_COL}={escaped}")
+        return current

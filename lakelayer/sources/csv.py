@@ -7,8 +7,10 @@ query projects, so a ragged line is flagged even when only two columns are
 selected downstream; this removes the need to cache the parsed file.
 
 Fields are matched to file columns by position, as a CSV with a header is read
-by default. With ``match_by_name=True`` the header of the files is read first
-(one line) and each contract field is located by its ``source_name``.
+by default. With ``match_by_name=True`` the header of the first file is read (one
+line) and each contract field is located by its ``source_name``; Spark checks the
+header of every file against it and fails on a different order, so columns are
+never swapped silently (such files are read one order at a time).
 """
 
 from __future__ import annotations
@@ -24,8 +26,13 @@ SOURCE_FILE_COL = "_source_file"
 
 
 def _reader(spark: SparkSession, contract: Contract, header: bool | None):
+    return csv_options(spark.read, contract, header)
+
+
+def csv_options(reader, contract: Contract, header: bool | None):
+    """The contract's options on a batch or stream reader."""
     r = (
-        spark.read.option("header", str(contract.header if header is None else header).lower())
+        reader.option("header", str(contract.header if header is None else header).lower())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COL)
         .option("columnPruning", "false")
@@ -50,16 +57,14 @@ def read_csv_raw(
         file_header = (
             spark.read.option("header", "true").option("inferSchema", "false").csv(paths[0]).columns
         )
-        by_source = {f.header: f.name for f in contract.fields}
         unknown = [f.header for f in contract.fields if f.header not in file_header]
         if unknown:
             raise ValueError(f"contract {contract.name}: header lacks {unknown}")
         schema = T.StructType(
-            [T.StructField(by_source.get(h, f"_extra_{i}"), T.StringType(), True) for i, h in enumerate(file_header)]
-            + [T.StructField(CORRUPT_COL, T.StringType(), True)]
+            [T.StructField(h, T.StringType(), True) for h in file_header] + [T.StructField(CORRUPT_COL, T.StringType(), True)]
         )
-        df = _reader(spark, contract, True).schema(schema).csv(paths)
-        return df.select(*contract.names, CORRUPT_COL)
+        df = _reader(spark, contract, True).option("enforceSchema", "false").schema(schema).csv(paths)
+        return df.select(*[F.col(f"`{f.header}`").alias(f.name) for f in contract.fields], CORRUPT_COL)
     schema = T.StructType(contract.raw_schema().fields + [T.StructField(CORRUPT_COL, T.StringType(), True)])
     return _reader(spark, contract, header).schema(schema).csv(paths)
 
