@@ -3,8 +3,7 @@
 The default key is deterministic: SHA-256 of the natural key (and, for
 versioned rows, the version start) written in the 8-4-4-4-12 shape of a UUID.
 A retried task or a re-run produces the same key, unlike ``uuid()``, which is
-re-drawn on every evaluation. ``random_key`` is there when a random key is
-wanted anyway.
+re-drawn on every evaluation.
 """
 
 from __future__ import annotations
@@ -32,7 +31,3 @@ def surrogate_key(cols: list[str | Column], namespace: str = "") -> Column:
     if namespace:
         parts.insert(0, F.lit(namespace))
     return uuid_shape(F.sha2(F.concat_ws("|", *parts), 256))
-
-
-def random_key() -> Column:
-    return F.expr("uuid()")

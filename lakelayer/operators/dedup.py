@@ -23,8 +23,3 @@ def dedup_latest(df: DataFrame, keys: str | list[str], order_by: list[str | Colu
     packed = F.struct(*order_cols, *[F.col(c).alias(c) for c in rest])
     best = df.groupBy(*ks).agg(F.max(packed).alias("_best"))
     return best.select(*ks, *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
-
-
-def dedup_exact(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """Drop rows that repeat entirely (or on ``subset``); also partial-aggregated."""
-    return df.dropDuplicates(subset) if subset else df.distinct()

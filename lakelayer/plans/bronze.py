@@ -68,12 +68,12 @@ def quarantine(table: PathTable) -> DataFrame:
     return table.read().filter(F.col(Q.STATUS_COL) == Q.QUARANTINE)
 
 
-def run_all(spark: SparkSession, sources: dict[str, str | list[str]], root: str, batch_id: str, header: bool | None = None) -> dict[str, IngestResult]:
+def run_all(spark: SparkSession, sources: dict[str, str | list[str]], root: str, batch_id: str, header: bool | None = None, match_by_name: bool = False) -> dict[str, IngestResult]:
     """Ingest several contracts, one after the other, each into ``root/<contract>``.
 
     A failure stops the remaining ones (the batch can be re-run: each write is
     idempotent per batch id)."""
     return {
-        name: ingest(spark, name, path, f"{root.rstrip('/')}/{name}", batch_id, header=header)
+        name: ingest(spark, name, path, f"{root.rstrip('/')}/{name}", batch_id, header=header, match_by_name=match_by_name)
         for name, path in sources.items()
     }

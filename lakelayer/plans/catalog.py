@@ -853,7 +853,7 @@ def fact_orders_q(spark, sf_dir):
 def fact_delivery(spark, sf_dir):
     from lakelayer.plans import warehouse as W
 
-    f = W.fact_orders(spark, sf_dir)
+    f = W.order_items(spark, sf_dir)
     return f.groupBy("order_year_month").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.sum("delivery_days").alias("delivery_days"),
@@ -872,7 +872,7 @@ def revenue_by_month(spark, sf_dir):
     from lakelayer.plans import gold as G
     from lakelayer.plans import warehouse as W
 
-    return G.monthly_revenue(W.fact_orders(spark, sf_dir))
+    return G.monthly_revenue(W.order_items(spark, sf_dir))
 
 
 @query(
@@ -891,3 +891,7 @@ def fact_pruned(spark, sf_dir):
     return f.filter(F.col("order_year_month").between("1996-01", "1996-06")).withColumn(
         "order_year_month", F.col("order_year_month").cast("string")
     )
+
+
+# Registers the queries over several batches and snapshots.
+from lakelayer.plans import catalog_batches as _batches  # noqa: E402,F401

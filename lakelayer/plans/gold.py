@@ -101,14 +101,14 @@ def point_in_time_join(
     dim_key: str,
     fact_date: str,
     take: list,
-    broadcast_rows: int | None = DIM_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Left join each fact row to the dimension version valid on its date.
 
-    The join is an equi join on the key with a range residual. The dimension
-    side is broadcast when counted at most ``broadcast_rows`` rows, so the fact
-    is not reshuffled; otherwise both sides shuffle on the key (AQE splits a
-    hot key on the fact side)."""
+    The join is an equi join on the key with a range residual. Spark chooses its
+    strategy by the dimension's bytes, and AQE splits a hot key on the fact side.
+    With ``broadcast_rows`` the dimension is counted first and broadcast up to
+    that many rows."""
     d = first_version_open(dim, dim_key).select(
         F.col(dim_key).alias("_dk"), "_from_eff", F.col(VALID_TO).alias("_to"), *take
     )
@@ -135,7 +135,8 @@ def fact_orders(
     payments: DataFrame | None = None,
     reviews: DataFrame | None = None,
     order_rollup_key: str = "order_id",
-    broadcast_rows: int | None = DIM_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
+    allocate_payments: bool = False,
 ) -> DataFrame:
     """Order-item fact.
 
@@ -146,7 +147,9 @@ def fact_orders(
     customer dimension also carries ``zip_code`` for the geography lookup.
     ``payments`` (payment_value, payment_installments, payment_type) and
     ``reviews`` (review_score) are rolled up and keyed by ``order_rollup_key``
-    of the orders frame.
+    of the orders frame. ``allocate_payments`` adds ``payment_value_alloc``: the
+    payment shared over the rows of its key by price and freight (equally where these sum
+    to zero), so that a sum over the fact counts it once.
     """
     def small(df):
         return bounded_broadcast(df, max_rows=broadcast_rows) if broadcast_rows else df
@@ -168,6 +171,16 @@ def fact_orders(
         o = o.join(r, o[order_rollup_key] == r["_rk"], "left").drop("_rk")
     else:
         o = o.withColumn("review_score", F.lit(None).cast("int"))
+    weight = F.col("price") + F.coalesce(F.col("freight_value"), F.lit(0.0))
+    if allocate_payments:
+        # Totals attach at order grain too, so the item rows are not shuffled again.
+        totals = items.groupBy("order_id").agg(F.sum(weight).alias("_wsum"), F.count(F.lit(1)).alias("_nitems"))
+        if order_rollup_key != "order_id":
+            of_order = orders.select("order_id", order_rollup_key)
+            totals = totals.join(of_order, "order_id").groupBy(order_rollup_key).agg(F.sum("_wsum").alias("_wsum"), F.sum("_nitems").alias("_nitems"))
+        o = o.join(totals, order_rollup_key, "left")
+    share = F.when(F.col("_wsum") != 0, weight / F.col("_wsum")).otherwise(1.0 / F.col("_nitems"))
+    allocated = [(F.col("payment_value") * share).alias("payment_value_alloc")] if allocate_payments else []
     f = items.join(o, "order_id", "inner")
     f = point_in_time_join(f, dim_product, "product_id", "product_id", "purchase_ts", ["product_sk"], broadcast_rows)
     seller = small(dim_seller.select(F.col("seller_id").alias("_sid"), "seller_sk"))
@@ -186,16 +199,31 @@ def fact_orders(
         "price",
         "freight_value",
         "payment_value",
+        *allocated,
         "payment_installments",
         "payment_type",
         "review_score",
         "order_status",
-        F.datediff(F.col("delivered_ts").cast("date"), purchase).alias("delivery_days"),
-        F.datediff(F.col("delivered_ts").cast("date"), F.col("estimated_delivery_ts").cast("date")).alias("delay_days"),
-        F.date_format("purchase_ts", "yyyy-MM").alias("order_year_month"),
+        *_order_measures(),
     )
 
 
+def _order_measures() -> list:
+    """Delivery and delay in days, and the month of purchase."""
+    delivered = F.col("delivered_ts").cast("date")
+    return [
+        F.datediff(delivered, F.col("purchase_ts").cast("date")).alias("delivery_days"),
+        F.datediff(delivered, F.col("estimated_delivery_ts").cast("date")).alias("delay_days"),
+        F.date_format("purchase_ts", "yyyy-MM").alias("order_year_month"),
+    ]
+
+
+def order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The fact's rows with the measures that need no dimension: reports on prices and
+    delivery join items and orders only."""
+    return items.join(orders, "order_id", "inner").select("order_id", "order_item_id", "price", *_order_measures())
+
+
 def monthly_revenue(fact: DataFrame) -> DataFrame:
     return fact.groupBy("order_year_month").agg(
         F.count(F.lit(1)).alias("n_items"),

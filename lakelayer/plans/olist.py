@@ -148,6 +148,7 @@ def run_gold(spark: SparkSession, root: str, as_of: str, category_lookup: DataFr
     fact = G.fact_orders(
         it, o, tables["dim_customer"].read(), tables["dim_product"].read(), tables["dim_seller"].read(),
         tables["dim_geography"].read(), payments=payments, reviews=reviews, order_rollup_key="order_id",
+        allocate_payments=True,
     )
     ft = PathTable(spark, f"{root}/gold/fact_orders", partition_by=["order_year_month"])
     ft.overwrite_partitions(fact)

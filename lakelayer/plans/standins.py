@@ -98,13 +98,16 @@ def _text_of(col: str, type_name: str):
     return c.cast("string")
 
 
-def raw_cells(df: DataFrame, s: StandIn) -> dict:
-    """Contract field -> raw text column with the faults applied (no ragged lines)."""
+def raw_cells(df: DataFrame, s: StandIn, faults: bool = True) -> dict:
+    """Contract field -> raw text column, with the faults unless ``faults`` is off (no ragged lines)."""
     k = F.col(s.key)
     c = s.spec()
     cells = {}
     for i, (f, src) in enumerate(zip(c.fields, s.columns)):
         text = _text_of(src, f.type)
+        cells[f.name] = text
+        if not faults:
+            continue
         if i == 0:
             text = F.when(k % NULL_KEY_MOD == 0, F.lit(None).cast("string")).otherwise(text)
         if f.name == s.bad_number:
@@ -122,23 +125,25 @@ def raw_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.select(*[v.alias(n) for n, v in raw_cells(df, s).items()])
 
 
-def raw_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def raw_lines(spark: SparkSession, sf_dir: str, name: str, faults: bool = True) -> DataFrame:
     s = STANDINS[name]
     df = load(spark, sf_dir, s.table)
     types = {f.name: f.type for f in s.spec().fields}
     # only text cells can hold a separator or a quote; numbers and dates never do
     cells = [
         F.coalesce(_csv_field(v) if types[n] == "string" else v, F.lit(""))
-        for n, v in raw_cells(df, s).items()
+        for n, v in raw_cells(df, s, faults).items()
     ]
     line = F.concat_ws(",", *cells)
+    if not faults:
+        return df.select(line.alias("value"))
     line = F.when(F.col(s.key) % RAGGED_MOD == 0, F.concat(line, F.lit("," + RAGGED_TAIL))).otherwise(line)
     return df.select(line.alias("value"))
 
 
-def write_raw_csv(spark: SparkSession, sf_dir: str, name: str, path: str) -> str:
-    """Materialise the dirty export as headerless CSV text files under ``path``."""
-    raw_lines(spark, sf_dir, name).write.mode("overwrite").text(path)
+def write_raw_csv(spark: SparkSession, sf_dir: str, name: str, path: str, faults: bool = True) -> str:
+    """Materialise the export (dirty, unless ``faults`` is off) as headerless CSV text files under ``path``."""
+    raw_lines(spark, sf_dir, name, faults).write.mode("overwrite").text(path)
     return path
 
 

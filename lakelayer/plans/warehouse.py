@@ -5,7 +5,7 @@ products, supplier -> sellers, nation/region -> geography (the nation key
 plays the zip code), purchase events -> payments and click events -> reviews,
 both rolled up per user and joined on ``customer_id = user_id``.
 
-Each builder is lazy; nothing is collected. The SQL in ``plans.catalog``
+Nothing is collected; the builders with history or upserts write their tables. The SQL in ``plans.catalog``
 states the same results independently.
 """
 
@@ -24,6 +24,7 @@ from lakelayer.plans import gold as G
 from lakelayer.plans import silver as SV
 from lakelayer.plans.standins import load
 from lakelayer.session import scratch_path
+from lakelayer.sinks.store import PathTable
 
 AS_OF = "2024-01-01"
 ESTIMATED_DELIVERY_DAYS = 30
@@ -153,6 +154,55 @@ def dim_product(spark, sf_dir, item_rows: DataFrame | None = None) -> DataFrame:
     )
 
 
+# Dates of the two snapshots in the history tables.
+HISTORY_FROM = "1995-01-01"
+HISTORY_CHANGE = "1996-07-01"
+
+
+def _two_snapshots(spark, first, second, key, tracked, sk, name) -> DataFrame:
+    t = PathTable(spark, scratch_path(spark, name))
+    t.overwrite(M.scd2_initial(first, key, tracked, HISTORY_FROM, sk_col=sk))
+    t.overwrite(M.scd2_merge(t.read(), second, key, tracked, HISTORY_CHANGE, sk_col=sk))
+    return t.read()
+
+
+def dim_customer_history(spark, sf_dir) -> DataFrame:
+    """Two snapshots: in the second one every third customer moves to the segment ``vip``."""
+    c = customers(spark, sf_dir)
+    second = c.withColumn("segment", F.when(F.col("customer_id") % 3 == 0, F.lit("vip")).otherwise(F.col("segment")))
+    return _two_snapshots(spark, c, second, "customer_id", ["state", "segment"], "customer_sk", "dim-customer")
+
+
+def dim_product_history(spark, sf_dir) -> DataFrame:
+    """Two snapshots: in the second one every fourth product moves to ``clearance``."""
+    p = products(spark, sf_dir)
+    second = p.withColumn("category", F.when(F.col("product_id") % 4 == 0, F.lit("clearance")).otherwise(F.col("category")))
+    return _two_snapshots(spark, p, second, "product_id", ["category", "unit_price_cents", "weight_g"], "product_sk", "dim-product")
+
+
+def dim_seller_upsert(spark, sf_dir) -> DataFrame:
+    """A load, then an upsert in which some sellers are renamed, some are gone and some are new."""
+    s = sellers(spark, sf_dir)
+    k = F.col("seller_id")
+    renamed = F.when(k % 4 == 0, F.concat("seller_name", F.lit(" renamed"))).otherwise(F.col("seller_name"))
+    second = s.withColumn("seller_name", renamed).filter(k % 5 != 0)
+    second = second.unionByName(s.filter(k % 7 == 0).withColumn("seller_id", k + 1_000_000))
+    keyed = [surrogate_key(["seller_id"], namespace="seller").alias("seller_sk"), *s.columns]
+    t = PathTable(spark, scratch_path(spark, "dim-seller"))
+    t.overwrite(s.select(*keyed))
+    t.overwrite(M.merge_scd1(t.read(), second.select(*keyed), "seller_id"))
+    return t.read()
+
+
+def dim_geography_upsert(spark, sf_dir) -> DataFrame:
+    """A load, then an upsert that rewrites the names of the even zip codes."""
+    t = PathTable(spark, scratch_path(spark, "dim-geography"))
+    t.overwrite(dim_geography(spark, sf_dir))
+    even = t.read().filter(F.col("zip_code") % 2 == 0).withColumn("city", F.lower("city"))
+    t.overwrite(M.merge_scd1(t.read(), even, "zip_code"))
+    return t.read()
+
+
 def dim_seller(spark, sf_dir) -> DataFrame:
     s = sellers(spark, sf_dir)
     return s.select(surrogate_key(["seller_id"], namespace="seller").alias("seller_sk"), *s.columns)
@@ -175,31 +225,48 @@ def dim_geography(spark, sf_dir) -> DataFrame:
     )
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write a derived table once as Parquet under the shared checkpoint
-    folder and read it back.
-
-    The dimensions and items here are computed from the sources rather than
-    read from written tables, so the fact's size check (a row count) and its
-    joins would each compute them again. Written once, later reads start from
-    the columnar copy, and a row count needs only the file footers."""
-    path = scratch_path(spark, f"stage-{name}")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def fact_orders(spark, sf_dir) -> DataFrame:
-    # The deduplicated items feed both the product dimension (latest price)
-    # and the fact: staged once, as the silver table would be.
-    item_rows = staged(spark, items(spark, sf_dir), "items")
+def _fact(spark, sf_dir, item_rows, dim_customer, dim_product, dim_seller, dim_geography, **options) -> DataFrame:
     return G.fact_orders(
         item_rows.drop("unit_price"),
         orders(spark, sf_dir),
-        staged(spark, dim_customer(spark, sf_dir), "dim_customer"),
-        staged(spark, dim_product(spark, sf_dir, item_rows), "dim_product"),
-        staged(spark, dim_seller(spark, sf_dir), "dim_seller"),
-        staged(spark, dim_geography(spark, sf_dir), "dim_geography"),
+        dim_customer,
+        dim_product,
+        dim_seller,
+        dim_geography,
         payments=payments(spark, sf_dir).withColumnRenamed("user_id", "customer_id"),
         reviews=reviews(spark, sf_dir).withColumnRenamed("user_id", "customer_id"),
         order_rollup_key="customer_id",
+        **options,
+    )
+
+
+def fact_orders(spark, sf_dir) -> DataFrame:
+    item_rows = items(spark, sf_dir)
+    return _fact(
+        spark,
+        sf_dir,
+        item_rows,
+        dim_customer(spark, sf_dir),
+        dim_product(spark, sf_dir, item_rows),
+        dim_seller(spark, sf_dir),
+        dim_geography(spark, sf_dir),
+    )
+
+
+def fact_orders_history(spark, sf_dir) -> DataFrame:
+    """The fact over written dimensions: two versions of customers and products, upserted
+    sellers and geography, and the payment allocated to the items."""
+    return _fact(
+        spark,
+        sf_dir,
+        items(spark, sf_dir),
+        dim_customer_history(spark, sf_dir),
+        dim_product_history(spark, sf_dir),
+        dim_seller_upsert(spark, sf_dir),
+        dim_geography_upsert(spark, sf_dir),
+        allocate_payments=True,
     )
+
+
+def order_items(spark, sf_dir) -> DataFrame:
+    return G.order_items(items(spark, sf_dir), orders(spark, sf_dir))
