@@ -226,7 +226,10 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
     kept = staged(kept.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "n"), "kept-ids")
     ids = kept.groupBy("_id").agg(F.sum("n").alias("n"))
     same = docs[id_col].cast("long").eqNullSafe(F.col("_id"))
-    single = docs.join(ids.filter("n = 1 AND _id IS NOT NULL").select("_id"), docs[id_col].cast("long") == F.col("_id"), "left_semi")
+    # One plan at every size: the ids grow with the input, so they are never broadcast,
+    # and each task hashes its narrow ids instead of sorting whole texts.
+    lone = ids.filter("n = 1 AND _id IS NOT NULL").select("_id").hint("shuffle_hash")
+    single = docs.join(lone, docs[id_col].cast("long") == F.col("_id"), "left_semi")
     several = ids.filter("n > 1 OR _id IS NULL").select("_id")
     if several.isEmpty():
         return single
