@@ -16,7 +16,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces kept per generation; two generations live in a worker. Only speed depends on it.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 150_000
 #: Characters with no special treatment in either pre-tokenizer or normalizer:
 #: printable ASCII, new line, Latin-1 letters and Latin Extended-A, but not U+0130.
 _ODD = "[^\\n -~\\u00c0-\\u012f\\u0131-\\u017f]"
