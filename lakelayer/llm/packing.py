@@ -30,6 +30,8 @@ from lakelayer.llm.common import narrow, staged
 from lakelayer.llm.pieces import encoder
 
 CAPACITY = 2048
+#: Fewer than the encoder's own: in a pipeline its workers also hold other stages' models.
+CACHE_PIECES = 150_000
 _RANKS = 2**44
 
 
@@ -38,7 +40,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int =
     32-bit), and the task's number and local rank used by ``place``. Staged."""
 
     def cut(batches):
-        enc, part, seen = encoder(tokenizer_path), TaskContext.get().partitionId(), {}
+        enc, part, seen = encoder(tokenizer_path, CACHE_PIECES), TaskContext.get().partitionId(), {}
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             out = {k: [] for k in ("doc_id", "start", "length", "doc_tokens", "part", "local_rank", "ids")}

@@ -16,7 +16,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces kept per generation; two generations live in a worker. Only speed depends on it.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 400_000
 #: Characters with no special treatment in either pre-tokenizer or normalizer:
 #: printable ASCII, new line, Latin-1 letters and Latin Extended-A, but not U+0130.
 _ODD = "[^\\n -~\\u00c0-\\u012f\\u0131-\\u017f]"
@@ -40,8 +40,9 @@ def _byte_letters() -> list[str]:
 class _Pieces(dict):
     """Ids (little-endian unsigned 32-bit, as bytes) of a piece; filled when first asked for."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, limit: int):
         super().__init__()
+        self.limit = limit
         self.old: dict[str, bytes] = {}
         self.compute = compute
 
@@ -49,7 +50,7 @@ class _Pieces(dict):
         ids = self.old.get(piece)
         if ids is None:
             ids = self.compute(piece)
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[piece] = ids
@@ -60,7 +61,7 @@ class TextEncoder:
     """Encodes whole texts with the tokenizer file at ``path`` (special-token
     strings in a text are ordinary text; no special tokens are added)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
@@ -74,7 +75,7 @@ class TextEncoder:
             elif model.get("end_of_word_suffix") and [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
                 self.kind = "word"
         self.letters = _byte_letters()
-        self.pieces = _Pieces(self._byte_piece if self.kind == "byte" else self._word_piece)
+        self.pieces = _Pieces(self._byte_piece if self.kind == "byte" else self._word_piece, cache_pieces)
 
     @property
     def vocab_size(self) -> int:
@@ -123,8 +124,8 @@ class TextEncoder:
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> TextEncoder:
     """One encoder per Python worker and file, kept between tasks."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = TextEncoder(path)
+        _ENCODERS[path] = TextEncoder(path, cache_pieces)
     return _ENCODERS[path]
