@@ -40,19 +40,24 @@ def word_tokens(text: Column) -> Column:
 def allocate(leaves: DataFrame, levels: Sequence[str], weights: Mapping[tuple, float], budget: float, max_epochs: float) -> DataFrame:
     """``leaves`` (the level columns and ``tokens``) with ``budget`` tokens each.
 
-    ``weights`` maps paths from the root, as tuples, to weights; others weigh 1."""
+    ``weights`` maps paths from the root, as tuples, to weights; others weigh 1. A path
+    (None, ..., name) holds for that name under every parent; a full path goes first."""
     spark = leaves.sparkSession
     leaves = leaves.withColumn("_cap", F.col("tokens") * F.lit(float(max_epochs)))
     parents = None
     for depth in range(1, len(levels) + 1):
         path, above = list(levels[:depth]), list(levels[:depth - 1])
-        given = [(*p, float(w)) for p, w in weights.items() if len(p) == depth]
+        here = {p: float(w) for p, w in weights.items() if len(p) == depth}
+        anywhere = [(p[-1], w) for p, w in here.items() if depth > 1 and not any(x is not None for x in p[:-1])]
+        given = [(*p, w) for p, w in here.items() if all(x is not None for x in p)]
         nodes = leaves.groupBy(*path).agg(F.sum("_cap").alias("_cap"))
         if given:
             table = spark.createDataFrame(given, ", ".join(f"`{c}` string" for c in path) + ", _w double")
             nodes = nodes.join(table, path, "left")
         else:
             nodes = nodes.withColumn("_w", F.lit(None).cast("double"))
+        if anywhere:
+            nodes = nodes.join(spark.createDataFrame(anywhere, f"`{path[-1]}` string, _any double"), path[-1], "left").withColumn("_w", F.coalesce("_w", "_any")).drop("_any")
         nodes = nodes.withColumn("_w", F.coalesce("_w", F.lit(1.0))).filter("_w > 0")
         nodes = nodes.join(parents, above) if above else nodes.withColumn("_budget", F.lit(float(budget)))
         order = Window.partitionBy(*above).orderBy(F.col("_cap") / F.col("_w"), path[-1])

@@ -89,8 +89,7 @@ MIX_SEED = 17
 def mixed(docs: DataFrame, max_epochs: float) -> DataFrame:
     """The tree domain (the letters a source's name starts with), language, source."""
     levels = {"domain": F.regexp_extract(F.coalesce(F.col("source"), F.lit("")), "^[A-Za-z]*", 0), "language": F.col("lang"), "leaf_source": F.col("source")}
-    domains = [r[0] for r in docs.select(levels["domain"]).distinct().limit(1000).collect()]
-    weights = {(d, lang): w for d in domains for lang, w in LANGUAGE_WEIGHTS.items()}
+    weights = {(None, lang): w for lang, w in LANGUAGE_WEIGHTS.items()}
     return mixing.mix(docs, levels, weights, max_epochs=max_epochs, seed=MIX_SEED)
 
 

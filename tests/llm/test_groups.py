@@ -148,6 +148,26 @@ def test_search_prunes_and_stays_exact(spark):
     assert rounded((r.query_id, r.rank, r.doc_id, r.score) for r in got) == rounded(plain_search(rows, 10))
 
 
+@pytest.mark.parametrize("cells, held", [(0, 1), (3_000, 5_000), (10**7, 10**6)])
+def test_shards_agree_for_every_size_of_matrix_and_batch(cells, held, monkeypatch):
+    monkeypatch.setattr(search, "DENSE_CELLS", cells)
+    monkeypatch.setattr(search, "BATCH_SCORES", held)
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(900)], [1 / (j + 1) for j in range(900)], k=rng.randint(1, 90)))) for i in range(1, 700)]
+    rows += [(1000 + i, rows[39][1]) for i in range(30)] + [(2000, "only this")]
+    held_terms = [search._terms(t) for _, t in rows]
+    mean = sum(x[2] for x in held_terms) / len(rows)
+    df = collections.Counter(t for x in held_terms for t in x[0].tolist())
+    shard = search.Shard([i for i, _ in rows], [x[2] for x in held_terms], [x[0] for x in held_terms], [x[1] for x in held_terms], mean)
+    asked = [n for n, (i, _) in enumerate(rows) if i % 20 == 0]
+    terms = np.concatenate([held_terms[n][0] for n in asked])
+    weights = np.array([math.log(1 + (len(rows) - df[t] + 0.5) / (df[t] + 0.5)) for t in terms.tolist()])
+    at = np.concatenate([[0], np.cumsum([len(held_terms[n][0]) for n in asked])])
+    own = np.array([rows[n][0] for n in asked])
+    got = [(int(own[i]), r + 1, d, float(x)) for i, docs, scores in shard.top(own, at, terms, weights, 10) for r, (d, x) in enumerate(zip(docs, scores))]
+    assert rounded(got) == rounded(plain_search(rows, 10))
+
+
 def test_search_odd_rows(spark):
     rows = [(20, "a b"), (20, "c"), (1, None), (2, ""), (None, "a c"), (3, "B a"), (3, "b a"), (40, "nothing shared"), (60, None), (4, "a " * 50_000)]
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, score int")
@@ -196,6 +216,16 @@ def test_budgets_go_to_siblings_before_ancestors(spark):
         assert got == {k: int(v + 1e-6) for k, v in want.items()}, budget
 
 
+def test_weights_for_a_name_under_every_parent(spark):
+    tokens = {(d, l, s): 100 * (i + 1) for i, (d, l, s) in enumerate((d, l, s) for d in "abc" for l in ("en", "de") for s in "12")}
+    leaves = spark.createDataFrame([(*k, v) for k, v in tokens.items()], "d string, l string, s string, tokens long")
+    named = {(d, "en"): 3.0 for d in "abc"} | {("b", "en"): 0.5, (None, "de"): 2.0}
+    every = {(None, "en"): 3.0, ("b", "en"): 0.5} | {(d, "de"): 2.0 for d in "abc"}
+    wanted = mixing.allocate(leaves, ["d", "l", "s"], {(d, l): w for d in "abc" for l, w in (("en", 0.5 if d == "b" else 3.0), ("de", 2.0))}, 3000.0, 1.0).collect()
+    for weights in (named, every):
+        assert sorted(mixing.allocate(leaves, ["d", "l", "s"], weights, 3000.0, 1.0).collect()) == sorted(wanted)
+
+
 def test_prefixes_fill_the_budgets(spark):
     rng = random.Random(1)
     rows = [(i, "w " * rng.randint(1, 30), rng.choice(["en", "de", None]), rng.choice(["s1"] * 8 + ["s2", "s3"]), "x") for i in range(3000)]
