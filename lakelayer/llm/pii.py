@@ -8,6 +8,11 @@ its kind's score; a context word of the kind within 40 characters before or 20
 after adds 0.25. Spans of the four base kinds stay whatever their score; the added
 kinds need ``THRESHOLD``.
 
+An IBAN has no end of its own: letters and digits may follow it after a space. So
+every word end from 15 to 34 characters on is tested by mod-97 (``_ibans``); the
+length that the IBAN registry gives the country goes first, then the longest. The
+next search begins after a confirmed end, or at the next word where none is.
+
 The patterns use possessive runs and start only where a run of their first
 characters starts or the previous match ended. They match what the plain
 patterns match and take time linear in the length of a run.
@@ -50,6 +55,18 @@ _MOD97 = (
 )
 
 
+#: Characters of a country's IBANs (IBAN registry).
+IBAN_LENGTHS = (
+    "AD:24,AE:23,AL:28,AT:20,AZ:28,BA:20,BE:16,BG:22,BH:22,BI:27,BR:29,BY:28,CH:21,CR:22,CY:28,CZ:24,DE:22,DJ:27,DK:18,DO:28,EE:20,EG:29,ES:24,FI:18,FK:18,FO:18,"
+    "FR:27,GB:22,GE:22,GI:23,GL:18,GR:27,GT:28,HN:28,HR:21,HU:28,IE:22,IL:23,IQ:23,IS:26,IT:27,JO:30,KW:30,KZ:20,LB:28,LC:32,LI:21,LT:20,LU:20,LV:21,LY:25,"
+    "MC:27,MD:24,ME:22,MK:19,MN:20,MR:27,MT:31,MU:30,NI:28,NL:18,NO:15,OM:23,PK:24,PL:28,PS:29,PT:25,QA:29,RO:24,RS:22,RU:33,SA:24,SC:31,SD:18,SE:24,SI:19,"
+    "SK:24,SM:27,SO:23,ST:25,SV:28,TL:23,TN:24,TR:26,UA:29,VA:22,VG:24,XK:20,YE:30"
+)
+#: The first letter of whatever may be an IBAN; the words after it are judged one by one.
+_IBAN_START = r"(?<![A-Za-z0-9])[A-Z](?=[A-Z][0-9]{2}(?:\x20?[A-Z0-9]){11})"
+_IBAN_MOST = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -66,7 +83,7 @@ PATTERNS: dict[str, tuple[str, str]] = {
     "ip": (r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "text rlike '[0-9]\\\\.[0-9]'"),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "text rlike '[0-9][\\\\x20-]?[0-9]'"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "contains(text, '+')"),
-    "iban": (r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", "text rlike '[A-Z][A-Z][0-9][0-9]'"),
+    "iban": (_IBAN_START, "text rlike '[A-Z][A-Z][0-9][0-9]'"),
 }
 
 _PART = "cast(trim(LEADING '0' FROM p) AS string)"
@@ -76,7 +93,7 @@ KINDS = (
     Kind("ip", "ip", f"forall(split(m, '[.]'), p -> length({_PART}) <= 3 AND coalesce(try_cast({_PART} AS int), 0) <= 255)", 0.5, "ip|address|host|server|login"),
     Kind("card", "card", _card(16, 19), 0.8, "card|visa|credit|karte|tarjeta|carte"),
     Kind("phone", "phone", f"length({_DIGITS}) BETWEEN 8 AND 15", 0.6, "phone|call|tel|mobile|fax|ruf"),
-    Kind("iban", "iban", f"NOT right(g_iban[i], 1) rlike '[A-Za-z0-9]' AND NOT left(g_iban[i + 1], 1) rlike '[A-Za-z0-9]' AND {_MOD97}", 0.8, "iban|account|bank|konto|cuenta|compte", base=False),
+    Kind("iban", "iban", "true", 0.8, "iban|account|bank|konto|cuenta|compte", base=False),
     Kind("card_short", "card", _card(13, 15), 0.4, "card|visa|credit|amex|karte|tarjeta|carte", base=False),
 )
 SPAN = "struct<kind: string, start: int, end: int, score: double>"
@@ -86,6 +103,24 @@ def _literal(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _ibans() -> str:
+    """The confirmed IBANs as a struct of m, the matches, and g, the text around them,
+    from s_iban, the places where one may start."""
+    words = f"split(regexp_extract(substring(text, s + 1, 64), {_literal(_IBAN_MOST)}, 0), ' ')"
+    ends = "transform(sequence(1, size(w)), n -> array_join(slice(w, 1, n), ' '))"
+    passed = f"filter({ends}, m -> length({_IBAN}) >= 15 AND NOT substring(text, s + length(m) + 1, 1) rlike '[A-Za-z0-9]' AND {_MOD97})"
+    registered = f"get(filter(ms, m -> length({_IBAN}) = cast(try_element_at(str_to_map('{IBAN_LENGTHS}', ',', ':'), left(m, 2)) AS int)), 0)"
+    # A lambda over one element names a value that is used more than once.
+    passed = f"transform(array({words}), w -> {passed})[0]"
+    best = f"transform(array({passed}), ms -> coalesce({registered}, try_element_at(ms, -1)))[0]"
+    found = f"filter(transform(s_iban, s -> named_struct('s', s, 'm', {best})), x -> x.m IS NOT NULL)"
+    return (
+        f"aggregate({found}, named_struct('at', 0, 'm', cast(array() AS array<string>), 'g', cast(array() AS array<string>)), (a, x) -> CASE WHEN x.s >= a.at THEN "
+        "named_struct('at', x.s + length(x.m), 'm', concat(a.m, array(x.m)), 'g', concat(a.g, array(substring(text, a.at + 1, x.s - a.at)))) ELSE a END, "
+        "a -> named_struct('m', a.m, 'g', concat(a.g, array(substring(text, a.at + 1, length(text))))))"
+    )
+
+
 def _spans(kind: Kind) -> str:
     """The kind's confirmed spans from the columns m_, g_ and s_ of its pattern."""
     m, g, s = (f"{x}_{kind.source}" for x in "mgs")
@@ -111,6 +146,11 @@ def _with_spans(df: DataFrame) -> DataFrame:
         "'at', a.at + length(g_{k}[a.i]) + length(m), 'i', a.i + 1, 's', concat(a.s, array(a.at + length(g_{k}[a.i])))), a -> a.s) AS s_{k}"
     )
     df = df.selectExpr(*keep, *m, *g, *[starts.format(k=k) for k in PATTERNS])
+    # Of the IBANs only the starts are known so far.
+    others = [c for c in m + g + [f"s_{k}" for k in PATTERNS] if not c.endswith("_iban")]
+    df = df.selectExpr(*keep, *others, f"CASE WHEN size(m_iban) > 0 THEN {_ibans()} END AS _iban")
+    df = df.selectExpr(*keep, *others, f"coalesce(_iban.m, {none}) AS m_iban", f"coalesce(_iban.g, {none}) AS g_iban")
+    df = df.selectExpr(*keep, *others, "m_iban", "g_iban", starts.format(k="iban"))
     empty = f"cast(array() AS array<{SPAN}>)"
     return df.selectExpr(*keep, *[f"CASE WHEN size(m_{k.source}) > 0 THEN {_spans(k)} ELSE {empty} END AS spans_{k.name}" for k in KINDS])
 

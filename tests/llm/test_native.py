@@ -157,3 +157,23 @@ def test_digest_and_redaction(spark):
     got = {r.doc_id: r.text for r in out.collect()}
     assert got[0] is None and got[1] == "" and got[5] == "😀 [EMAIL], [EMAIL]" and got[14] == "IBAN [IBAN]."
     assert got[21] == "[PHONE]\n[PHONE]" and pii.redact(df.limit(0)).count() == 0
+
+
+IBAN_TEXTS = [
+    ("IBAN DE89 3704 0044 0532 0130 00.", ["DE89 3704 0044 0532 0130 00"]),
+    ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+    ("IBAN DE89370400440532013000 Please pay", ["DE89370400440532013000"]),
+    ("DE89370400440532013000 GB82WEST12345698765432.", ["DE89370400440532013000", "GB82WEST12345698765432"]),
+    ("😀 DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 12", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+    ("NR AB12 3456 7890 1234 DE89 3704 0044 0532 0130 00 2026 NO93 8601 1117 947 A", ["DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]),
+    ("xDE89370400440532013000 DE89370400440532013000x DE89 3704 0044 0532 0130 01 A", []),
+    ("AB12 " * 4000 + "DE89 3704 0044 0532 0130 00 X", ["DE89 3704 0044 0532 0130 00"]),
+]
+
+
+def test_ibans_before_capitals_and_numbers(spark):
+    texts = [t for t, _ in IBAN_TEXTS]
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "iban"] for r in pii.detect(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [want for _, want in IBAN_TEXTS]
+    text = {r.doc_id: r.text for r in pii.redact(docs(spark, texts)).collect()}
+    assert text[1] == "IBAN [IBAN] BIC COBADEFFXXX" and text[2] == "IBAN [IBAN] Please pay" and text[3] == "[IBAN] [IBAN]."
