@@ -7,13 +7,15 @@ page, so a decision holds for the whole connected component: a URL without a rul
 is allowed if a member has an explicit allow, else blocked if a member is blocked,
 else allowed. A URL's own rule always comes first.
 
-Graph nodes are URLs without fragment and with scheme and host in lower case.
+Graph nodes are URLs without fragment and dot segments and with scheme and host in
+lower case. Relative links are resolved against the page's URL, or its first
+``<base href>``, as in RFC 3986; links of a scheme without ``//`` (mailto) are none.
 Link targets that are no row of the table take part with their own rules.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path and no
 rule and is allowed; a null or empty text has no links; one row per input row,
 repeated ids and URLs included; an empty table gives no rows; other columns are
-not read. A text's first canonical link and first refresh count.
+not read. All canonical links and refreshes of a text count.
 """
 
 from __future__ import annotations
@@ -25,8 +27,12 @@ from lakelayer.llm.common import staged
 from lakelayer.llm.components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-CANONICAL = "(?is)<link\\b[^>]*\\brel\\s*=\\s*[\"']?canonical\\b[^>]*>"
-REFRESH = "(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*[\"']?refresh\\b[^>]*>"
+#: Tags, and what one must hold to count; ``rel`` is a list of words.
+LINK, META, BASE = "(?is)<link\\b[^>]*>", "(?is)<meta\\b[^>]*>", "(?is)<base\\b[^>]*>"
+CANONICAL = "(?is)\\brel\\s*=\\s*(?:\"[^\"]*(?<![^\\s\"])canonical(?![^\\s\"])|'[^']*(?<![^\\s'])canonical(?![^\\s'])|canonical\\b)"
+REFRESH = "(?is)\\bhttp-equiv\\s*=\\s*[\"']?\\s*refresh\\b"
+HREF = "(?is)\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)"
+GOAL = "(?is)\\burl\\s*=\\s*[\"']?([^\"'\\s>;]+)"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -38,28 +44,59 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
+def without_dots(path: Column) -> Column:
+    """The path with ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda a, x: F.when(x == ".", a).when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(x))),
+    )
+    plain = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike("^/(?:.*/)?\\.\\.?(?:/|$)"), plain).otherwise(path)
+
+
 def node(url: Column) -> Column:
     """The URL as a graph node; null where there is no ``://``."""
-    host, _ = host_and_path(url)
+    host, path = host_and_path(url)
     at = F.instr(url, "://")
     scheme = F.lower(F.substring(url, F.lit(1), at - 1))
-    rest = F.regexp_extract(F.substring(url, at + 3, F.length(url)), "^[^/?#]*([^#]*)", 1)
-    return F.when(at > 0, F.concat(scheme, F.lit("://"), host, rest))
+    query = F.regexp_extract(F.substring(url, at + 3, F.length(url)), "^[^?#]*(\\?[^#]*)", 1)
+    return F.when(at > 0, F.concat(scheme, F.lit("://"), host, without_dots(path), query))
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """``link``, relative or not, as an absolute URL (dot segments kept); null for a
+    scheme without ``//``."""
+    origin = F.regexp_extract(base, "^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(base, "^.*?://[^/?#]*([^?#]*)", 1)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, "^(.*/)", 1))
+    return (
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^(.*?:)//", 1), link))
+        .when(link.startswith("/"), F.concat(origin, link))
+        .when(link.startswith("?"), F.concat(origin, path, link))
+        .when(link.startswith("#"), F.concat(F.regexp_extract(base, "^([^#]*)", 1), link))
+        .otherwise(F.concat(origin, folder, link))
+    )
 
 
 def html_links(pages: DataFrame) -> DataFrame:
-    """(a, b) nodes from the canonical link and the refresh of each page."""
-    base = pages.filter(F.col("url").contains("://") & F.col("html").rlike("(?i)canonical|http-equiv"))
-    canonical = F.regexp_extract(F.regexp_extract("html", CANONICAL, 0), "(?is)\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)", 1)
-    refresh = F.regexp_extract(F.regexp_extract("html", REFRESH, 0), "(?is)\\burl\\s*=\\s*[\"']?([^\"'\\s>;]+)", 1)
-    target = base.select("url", F.explode(F.array(canonical, refresh)).alias("t")).filter("t <> ''")
-    origin = F.regexp_extract("url", "^(.*?://[^/?#]*)", 1)
-    absolute = (
-        F.when(F.col("t").contains("://"), F.col("t"))
-        .when(F.col("t").startswith("//"), F.concat(F.regexp_extract("url", "^(.*?:)//", 1), F.col("t")))
-        .when(F.col("t").startswith("/"), F.concat(origin, F.col("t")))
-    )
-    return target.select(node(F.col("url")).alias("a"), node(absolute).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
+    """(a, b) nodes from the canonical links and the refreshes of each page."""
+    pages = pages.filter(F.col("url").contains("://") & F.col("html").rlike("(?i)canonical|http-equiv"))
+
+    def targets(tag: str, holds: str, value: str) -> Column:
+        tags = F.filter(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: t.rlike(holds))
+        return F.transform(tags, lambda t: F.regexp_extract(t, value, 1))
+
+    links = F.concat(targets(LINK, CANONICAL, HREF), targets(META, REFRESH, GOAL))
+    base = F.regexp_extract(F.regexp_extract("html", BASE, 0), HREF, 1)
+    target = pages.select("url", base.alias("base"), F.explode(F.array_distinct(links)).alias("t")).filter("t <> ''")
+    base = F.when(F.col("base") == "", F.col("url")).otherwise(F.coalesce(resolved(F.col("base"), F.col("url")), F.col("url")))
+    target = target.select("url", "t", base.alias("base"))
+    return target.select(node(F.col("url")).alias("a"), node(resolved(F.col("t"), F.col("base"))).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
 
 
 def longest_rule(urls: DataFrame, key: str, rules: DataFrame) -> DataFrame:

@@ -101,6 +101,25 @@ def test_decisions_reach_aliases(spark):
     assert judged(spark, []) == {}
 
 
+def test_relative_links_and_every_tag_are_aliases(spark):
+    link = '<link rel="canonical" href="{}">'
+    cases = {
+        "page2.html": "http://a.com/x/page2.html", "./y": "http://a.com/x/y", "../de/1": "http://a.com/de/1", "?id=3": "http://a.com/x/1?id=3", "/u/../v/./w": "http://a.com/v/w",
+        "../../../z/..": "http://a.com/", "go?u=http://b.com/": "http://a.com/x/go?u=http://b.com/", "//A.com/k/../l": "http://a.com/l", "./m/.": "http://a.com/x/m/", "http://a.com/n/../o#f": "http://a.com/o",
+    }
+    pages = [(0, "http://a.com/x/1?q=/s/t#f", "".join(map(link.format, cases)) + '<link href=http://spam.org/1 rel="nofollow canonical">')]
+    pages += [(i, url, None) for i, url in enumerate(cases.values(), 1)]
+    pages += [
+        (50, "http://b.com", '<meta http-equiv=refresh content="5"><META http-equiv="refresh" content="0; url=sub/1">'), (51, "http://b.com/sub/1", link.format("one.html") + link.format("//spam.org/2")), (52, "http://b.com/sub/one.html", ""),
+        (60, "http://c.com/d/1", '<base href="/e/">' + link.format("2")), (61, "http://c.com/e/2", link.format("http://spam.org/3")), (62, "http://c.com/d/2", ""),
+        (70, "http://f.com/1", link.format("mailto:x@spam.org") + '<link rel="canonicals" href="http://spam.org/4"><link rel=icon href="http://spam.org/5">'), (71, "http://f.com/g/../h", link.format("#top")), (72, "http://f.com/h", link.format("http://spam.org/6")),
+        (80, "http://h.com/a?x=/../b", link.format("?x=/../b")), (81, "http://h.com/b", link.format("http://spam.org/7")),
+    ]
+    got = {i: r[3] for i, r in judged(spark, pages).items()}
+    assert [i for i in range(len(cases) + 1) if got[i] != "block"] == []
+    assert {i: got[i] for i in got if i >= 50} == {50: "block", 51: "block", 52: "block", 60: "block", 61: "block", 62: "allow", 70: "allow", 71: "block", 72: "block", 80: "allow", 81: "block"}
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
     df = spark.createDataFrame(links, "a long, b long")
