@@ -3,8 +3,9 @@
 Byte-pair merges never cross the pre-tokenizer's boundaries, so a text's ids are
 the concatenation of the ids of its space-delimited pieces. A worker therefore
 keeps the ids of the pieces it has met and asks the library only for new ones.
-The shortcut is used for texts of ordinary characters with ordinary spacing;
-any other text is encoded whole by the library, so both give the same ids.
+The shortcut is used for texts of ordinary characters with ordinary spacing and
+without a string of the file's added tokens (as ``<|endoftext|>``); any other text is
+encoded whole by the library, so both give the same ids.
 """
 
 from __future__ import annotations
@@ -58,12 +59,11 @@ class _Pieces(dict):
 
 
 class TextEncoder:
-    """Encodes whole texts with the tokenizer file at ``path`` (special-token
-    strings in a text are ordinary text; no special tokens are added)."""
+    """Encodes whole texts with the tokenizer file at ``path`` as the library does by
+    default: an added token's string in a text gives that token; none are added."""
 
     def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
@@ -74,6 +74,10 @@ class TextEncoder:
                 self.kind = "byte"
             elif model.get("end_of_word_suffix") and [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
                 self.kind = "word"
+        # White space and case may differ where tokens are looked for in the normalized text.
+        added = [r"\s+".join(map(re.escape, re.split(r"\s+", t["content"]))) for t in spec.get("added_tokens") or []]
+        loose = any(t.get("normalized") for t in spec.get("added_tokens") or [])
+        self.added = re.compile("|".join(added) or r"(?!)", re.IGNORECASE if loose else 0)
         self.letters = _byte_letters()
         self.pieces = _Pieces(self._byte_piece if self.kind == "byte" else self._word_piece, cache_pieces)
 
@@ -113,6 +117,8 @@ class TextEncoder:
         """Ids of ``text`` as little-endian unsigned 32-bit integers; null and empty give none."""
         if not text:
             return b""
+        if self.added.search(text):
+            return self.whole(text)
         if self.kind == "word" and not _ODD_CHAR.search(text):
             return b"".join(map(self.pieces.__getitem__, text.split()))
         if self.kind == "byte" and not _ODD_SPACING.search(text):

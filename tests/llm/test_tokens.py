@@ -1,5 +1,6 @@
 """Token files and packing against whole-text encoding, exact round trips and brute force."""
 
+import json
 import zlib
 
 import numpy as np
@@ -7,6 +8,7 @@ import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from lakelayer.llm import packing, queries, tokenbin
 from lakelayer.llm.pieces import TextEncoder
@@ -34,6 +36,30 @@ def test_pieces_equal_whole_random(text):
         assert ENC[file].encode(text) == ids_of(file, text)
 
 
+ADDED = ["one <|endoftext|> two", "one<|startoftext|>two", "<|endoftext|>", "a<|endoftext|><|endoftext|> b\nc", "<|ENDOFTEXT|> <|endoftext |>", "x <|startoftext|> y <|endoftext|>.", "日本 <|endoftext|>  z"]
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_added_tokens_as_a_fresh_tokenizer(file):
+    fresh = Tokenizer.from_file(P.path(file))
+    for text in ADDED + ODD:
+        assert ENC[file].encode(text) == np.asarray(fresh.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    ends = {"word_bpe_49k.json": 49407, "byte_bpe_50k.json": 50256}
+    assert ends[file] in np.frombuffer(ENC[file].encode(ADDED[0]), "<u4")
+
+
+def test_tokens_of_the_normalized_text(tmp):
+    with open(P.path(FILES[0]), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"][-1].update(content="end of text", normalized=True, special=False)
+    file = f"{tmp}/t.json"
+    with open(file, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    own, fresh = TextEncoder(file), Tokenizer.from_file(file)
+    for text in ["an end of text.", "an END of\n text", "end, of text"]:
+        assert own.encode(text) == np.asarray(fresh.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
 def docs(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, start string, ids string")
 
