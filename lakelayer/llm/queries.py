@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import langid, mixing, packing, pii, quality, search, simhash, tokenbin, toxicity, urlfilter
+from lakelayer.llm import langid, mixing, packing, pii, prefixtrie, quality, search, simhash, tokenbin, toxicity, urlfilter
 from lakelayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,11 @@ def op10_language_id(spark, sf_dir):
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
     predicted = langid.predict(docs, langid.train(docs, ~held_out))
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    c = F.col("conv_id")
+    lent = F.crc32(c.cast("string").cast("binary")) % 6
+    turns, convs = prefixtrie.rebuilt(prefixtrie.positions(table(spark, sf_dir, "conversations")), c - c % 100, lent, most=5)
+    return prefixtrie.trie(turns, convs).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
