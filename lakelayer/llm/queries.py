@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import langid, mixing, packing, pii, prefixtrie, quality, search, simhash, tokenbin, toxicity, urlfilter
+from lakelayer.llm import langid, mixing, packing, pii, prefixtrie, quality, search, simhash, spelling, tokenbin, toxicity, urlfilter
 from lakelayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,9 @@ def op11_prefix_trie(spark, sf_dir):
     lent = F.crc32(c.cast("string").cast("binary")) % 6
     turns, convs = prefixtrie.rebuilt(prefixtrie.positions(table(spark, sf_dir, "conversations")), c - c % 100, lent, most=5)
     return prefixtrie.trie(turns, convs).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    vocab = spelling.vocabulary(table(spark, sf_dir, "documents"), min_length=5, min_count=3, variant=spelling.misprints)
+    return spelling.forms(spelling.near_words(vocab))
