@@ -18,11 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy", **options) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: the
     lineage is cut and every later stage sees the same rows."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import langid, mixing, packing, pii, prefixtrie, quality, search, simhash, spelling, tokenbin, toxicity, urlfilter
+from lakelayer.llm import langid, mixing, packing, pii, prefixtrie, quality, search, simhash, spelling, substrings, tokenbin, toxicity, urlfilter
 from lakelayer.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,8 @@ def op11_prefix_trie(spark, sf_dir):
 def op12_spelling_variants(spark, sf_dir):
     vocab = spelling.vocabulary(table(spark, sf_dir, "documents"), min_length=5, min_count=3, variant=spelling.misprints)
     return spelling.forms(spelling.near_words(vocab))
+
+
+@query
+def op13_repeated_passages(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), size=35)
