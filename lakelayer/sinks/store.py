@@ -1,34 +1,41 @@
-"""Path-based Parquet tables with append, overwrite and partition overwrite.
-
-A table lives under one root directory as numbered versions ``v=00000001``…
-A version is visible once Spark's job committer has written its ``_SUCCESS``
-marker; readers take the highest such version. Two kinds of write:
-
-* **in place** on the current version: ``append`` and ``overwrite_partitions``
-  use dynamic partition overwrite, which stages the job's output and swaps
-  only the partitions present in the incoming frame. An empty frame is a
-  no-op; a NULL partition value is its own partition. With a ``batch_id``,
-  ``append`` is idempotent: a rerun of the batch replaces it instead of
-  adding it again.
-* **new version**: ``overwrite`` and the merges (``lakelayer.operators.merge``)
-  compute the new table from the current one and write it to the next
-  version directory, so a table is never overwritten while it is being read
-  and a failed job leaves the previous version current.
-
-A single writer per table is assumed; there is no concurrency control.
+"""Path-based Parquet tables whose versions are lists of live folders.
+
+Every write puts its files aside in a folder of its own (``data/_commit=<n>-<id>/``,
+below it one folder per partition value) and then publishes a version: a small file
+under ``_versions/`` that names the live folders. Only publishing changes what readers
+see. A job that fails leaves files that no version names, and the former version
+stays readable; a reader of the former version is not disturbed by a new one.
+
+* ``append``: adds a folder. With a ``batch_id`` the folders of an earlier run of that
+  batch leave the list in the same step.
+* ``overwrite``: only the new folder is live.
+* ``overwrite_partitions``: the partitions present in the frame are replaced; an empty
+  frame changes nothing; a NULL partition value is its own partition.
+* ``replace_where``: partitions that satisfy a predicate leave, the frame's rows come in.
+
+A version also holds the table's schema (so reading infers nothing, and partition
+values keep their types), the number under which each batch was first committed, and a
+few notes of the caller. Folders that neither of the last ``keep_versions`` versions names
+are deleted after a commit. One writer per table is assumed: a version that exists
+already is never replaced, so of two writers the slower one fails.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_COL = "_batch_id"
-_VERSION_PREFIX = "v="
-_TYPES_FILE = "_partition_types.json"
+COMMIT_COL = "_commit"
+
+
+class ConcurrentCommitError(RuntimeError):
+    pass
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -51,6 +58,7 @@ class PathTable:
         partition_by: list[str] | tuple[str, ...] = (),
         fmt: str = "parquet",
         rebalance: bool = True,
+        keep_versions: int = 2,
     ):
         """``rebalance``: cluster rows by the partition columns before a
         partitioned write. Turn it off when the partition columns take only a
@@ -61,121 +69,228 @@ class PathTable:
         self.partition_by = list(partition_by)
         self.fmt = fmt
         self.rebalance = rebalance
+        self.keep_versions = max(1, keep_versions)
 
     # ---- versions -------------------------------------------------------
-    def versions(self) -> list[int]:
-        fs, hroot, jvm = _fs_and_path(self.spark, self.root)
-        if not fs.exists(hroot):
-            return []
-        out = []
-        for st in fs.listStatus(hroot):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(_VERSION_PREFIX):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[len(_VERSION_PREFIX):]))
-        return sorted(out)
-
-    def _version_path(self, v: int) -> str:
-        return f"{self.root}/{_VERSION_PREFIX}{v:08d}"
+    def _names(self, path: str) -> list[str]:
+        fs, hpath, _ = _fs_and_path(self.spark, path)
+        return [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
 
-    def current_path(self) -> str | None:
-        vs = self.versions()
-        return self._version_path(vs[-1]) if vs else None
+    def versions(self) -> list[int]:
+        return sorted(int(n[1:-5]) for n in self._names(f"{self.root}/_versions") if n.startswith("v") and n.endswith(".json"))
 
-    def exists(self) -> bool:
-        return self.current_path() is not None
+    def _version_file(self, v: int) -> str:
+        return f"{self.root}/_versions/v{v:08d}.json"
 
-    def read(self) -> DataFrame:
-        p = self.current_path()
-        if p is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        df = self.spark.read.format(self.fmt).load(p)
-        written = self._written_types(p)
-        if not written:
-            return df
-        # Partition values are read with the types they were written with, not
-        # with types guessed from directory names.
-        fields = [T.StructField(f.name, written.get(f.name, f.dataType), True) for f in df.schema.fields]
-        return self.spark.read.format(self.fmt).schema(T.StructType(fields)).load(p)
-
-    def _written_types(self, path: str) -> dict[str, T.DataType]:
-        fs, hpath, jvm = _fs_and_path(self.spark, f"{path}/{_TYPES_FILE}")
-        if not fs.exists(hpath):
-            return {}
+    def _manifest(self, v: int | None = None) -> dict | None:
+        if v is None:
+            vs = self.versions()
+            if not vs:
+                return None
+            v = vs[-1]
+        fs, hpath, jvm = _fs_and_path(self.spark, self._version_file(v))
         stream = fs.open(hpath)
         try:
-            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return {f.name: f.dataType for f in T.StructType.fromJson(json.loads(text)).fields}
 
-    def _store_types(self, path: str, df: DataFrame, cols: list[str]) -> None:
-        if not cols:
-            return
-        fs, hpath, _ = _fs_and_path(self.spark, f"{path}/{_TYPES_FILE}")
-        out = fs.create(hpath, True)
-        try:
-            out.write(bytearray(T.StructType([df.schema[c] for c in cols]).json().encode()))
-        finally:
-            out.close()
+    def exists(self) -> bool:
+        return bool(self.versions())
+
+    def version(self) -> int:
+        vs = self.versions()
+        return vs[-1] if vs else 0
+
+    def current_path(self) -> str | None:
+        """Folder of the current version's files; the data folder if there are several."""
+        m = self._manifest()
+        if m is None:
+            return None
+        commits = {c for c, _ in m["live"]}
+        return f"{self.root}/data/{COMMIT_COL}={commits.pop()}" if len(commits) == 1 else f"{self.root}/data"
+
+    def partitions(self) -> list[str]:
+        """The live folders below their commits, as ``month=2024-01``."""
+        m = self._manifest()
+        return sorted({leaf for _, leaf in m["live"]}) if m else []
+
+    def folders(self, leaf: str) -> list[str]:
+        """Paths that hold the rows of one partition."""
+        return sorted(self._path(c, x) for c, x in self._manifest()["live"] if x == leaf)
+
+    def notes(self) -> dict:
+        m = self._manifest()
+        return dict(m["notes"]) if m else {}
+
+    def batch_numbers(self) -> dict[str, int]:
+        """The version that first held each batch."""
+        m = self._manifest()
+        return dict(m["batches"]) if m else {}
+
+    def _path(self, commit: str, leaf: str) -> str:
+        return f"{self.root}/data/{COMMIT_COL}={commit}" + (f"/{leaf}" if leaf else "")
+
+    # ---- reads ----------------------------------------------------------
+    def read(self, version: int | None = None, after: int | None = None, with_commit: bool = False) -> DataFrame:
+        """The current (or an older kept) version. ``after``: only rows committed after that
+        version. ``with_commit`` keeps the number of the commit that wrote each row."""
+        m = self._manifest(version)
+        if m is None:
+            raise FileNotFoundError(f"no committed version under {self.root}")
+        schema = T.StructType.fromJson(m["schema"])
+        live = [(c, leaf) for c, leaf in m["live"] if after is None or int(c[:8]) > after]
+        full = T.StructType(schema.fields + [T.StructField(COMMIT_COL, T.StringType())])
+        if live:
+            whole = {c: set(leaves) for c, leaves in m["leaves"].items()}
+            kept: dict[str, set] = {}
+            for c, leaf in live:
+                kept.setdefault(c, set()).add(leaf)
+            # A commit that is live as a whole is one path.
+            paths = [p for c, leaves in kept.items() for p in ([self._path(c, "")] if leaves == whole[c] else [self._path(c, x) for x in sorted(leaves)])]
+            df = self.spark.read.format(self.fmt).schema(full).option("basePath", f"{self.root}/data").load(paths)
+        else:
+            df = self.spark.createDataFrame([], full)
+        df = df.select(*[f"`{f.name}`" for f in schema.fields], COMMIT_COL)
+        return df.withColumn(COMMIT_COL, F.substring(COMMIT_COL, 1, 8).cast("long")) if with_commit else df.drop(COMMIT_COL)
 
     # ---- writes ---------------------------------------------------------
-    def _writer(self, df: DataFrame, mode: str, partition_by: list[str]):
-        if partition_by and self.rebalance:
+    def _write_aside(self, df: DataFrame, number: int) -> tuple[str, list[str]]:
+        cols = self.partition_by
+        if cols and self.rebalance:
             # Group rows by partition value before writing, so each task writes
             # few directories (no small-file explosion); AQE splits a hot
             # partition value into several advisory-sized tasks and coalesces
             # small ones.
-            df = df.hint("rebalance", *partition_by)
-        w = df.write.format(self.fmt).mode(mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        return w
+            df = df.hint("rebalance", *cols)
+        commit = f"{number:08d}-{uuid.uuid4().hex[:8]}"
+        w = df.write.format(self.fmt).mode("error")
+        (w.partitionBy(*cols) if cols else w).save(self._path(commit, ""))
+        leaves = [""]
+        for _ in cols:
+            leaves = [f"{leaf}/{n}".lstrip("/") for leaf in leaves for n in self._names(self._path(commit, leaf)) if "=" in n]
+        return commit, sorted(leaves)
 
-    def overwrite(self, df: DataFrame) -> str:
-        """Write ``df`` as the next version; the previous one stays readable."""
+    def commit(
+        self,
+        df: DataFrame | None,
+        replaces: Callable[[str, set], bool],
+        batch_id: str | None = None,
+        notes: dict | None = None,
+    ) -> int:
+        """Write ``df`` aside and publish a version without the live folders for which
+        ``replaces(leaf, new_leaves)`` holds. Returns the version's number."""
+        old = self._manifest() or {"live": [], "leaves": {}, "batches": {}, "notes": {}, "schema": None}
+        number = old.get("version", 0) + 1
+        commit, leaves = self._write_aside(df, number) if df is not None else (None, [])
+        live = [[c, leaf] for c, leaf in old["live"] if not replaces(leaf, set(leaves))] + [[commit, leaf] for leaf in leaves]
+        schema = old["schema"]
+        if df is not None:
+            data = [f for f in df.schema.fields if f.name not in self.partition_by]
+            fields = {f.name: T.StructField(f.name, f.dataType, True) for f in data}
+            if schema is not None and live != [[commit, leaf] for leaf in leaves]:
+                stored = T.StructType.fromJson(schema).fields
+                fields = {f.name: f for f in stored if f.name not in self.partition_by} | {k: v for k, v in fields.items() if k not in {f.name for f in stored}}
+            parts = [T.StructField(c, df.schema[c].dataType, True) for c in self.partition_by]
+            schema = T.StructType([*fields.values(), *parts]).jsonValue()
+        batches = dict(old["batches"])
+        if batch_id is not None:
+            batches.setdefault(str(batch_id), number)
+        commits = {c for c, _ in live}
+        manifest = {
+            "version": number,
+            "partition_by": self.partition_by,
+            "schema": schema,
+            "live": live,
+            "leaves": {c: x for c, x in {**old["leaves"], commit: leaves}.items() if c in commits},
+            "batches": batches,
+            "notes": {**old["notes"], **(notes or {})},
+        }
+        self._publish(manifest)
+        self._clean()
+        return number
+
+    def _publish(self, manifest: dict) -> None:
+        """The version's file appears under its name complete or not at all."""
+        fs, target, jvm = _fs_and_path(self.spark, self._version_file(manifest["version"]))
+        aside = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_versions/.{uuid.uuid4().hex}")
+        out = fs.create(aside, False)
+        try:
+            out.write(bytearray(json.dumps(manifest).encode()))
+        finally:
+            out.close()
+        if fs.exists(target) or not fs.rename(aside, target):
+            fs.delete(aside, False)
+            raise ConcurrentCommitError(f"version {manifest['version']} of {self.root} exists already")
+
+    def _clean(self) -> None:
+        """Delete versions beyond the kept ones and folders that no kept version names:
+        replaced ones, and those of attempts that failed."""
         vs = self.versions()
-        path = self._version_path((vs[-1] + 1) if vs else 1)
-        self._writer(df, "overwrite", self.partition_by).option(
-            "partitionOverwriteMode", "static"
-        ).save(path)
-        self._store_types(path, df, self.partition_by)
-        return path
-
-    def overwrite_partitions(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Replace only the partitions present in ``df`` (dynamic overwrite)."""
-        cols = partition_by or self.partition_by
-        if not cols:
+        kept = [self._manifest(v) for v in vs[-self.keep_versions:]]
+        named = {(c, leaf) for m in kept for c, leaf in m["live"]}
+        commits = {c for c, _ in named}
+
+        def delete(path: str) -> None:
+            fs, hpath, _ = _fs_and_path(self.spark, path)
+            fs.delete(hpath, True)
+
+        for v in vs[: -self.keep_versions]:
+            for c, leaf in self._manifest(v)["live"]:
+                if c in commits and (c, leaf) not in named:
+                    delete(self._path(c, leaf))
+            delete(self._version_file(v))
+        for name in self._names(f"{self.root}/data"):
+            commit = name.partition("=")[2]
+            if commit not in commits and int(commit[:8]) <= vs[-1]:
+                delete(self._path(commit, ""))
+
+    def overwrite(self, df: DataFrame, notes: dict | None = None) -> int:
+        """Write ``df`` as the next version; the previous one stays readable."""
+        return self.commit(df, lambda leaf, new: True, notes=notes)
+
+    def overwrite_partitions(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        """Replace only the partitions present in ``df``."""
+        if partition_by:
+            self.partition_by = list(partition_by)
+        if not self.partition_by:
             raise ValueError("overwrite_partitions needs partition columns")
-        current = self.current_path()
-        if current is None:
-            if not self.partition_by:
-                self.partition_by = list(cols)
-            return self.overwrite(df)
-        (
-            self._writer(df, "overwrite", cols)
-            .option("partitionOverwriteMode", "dynamic")
-            .save(current)
-        )
-        return current
-
-    def append(self, df: DataFrame, batch_id: str | None = None) -> str:
+        return self.commit(df, lambda leaf, new: leaf in new)
+
+    def append(self, df: DataFrame, batch_id: str | None = None) -> int:
         """Append rows. With ``batch_id`` the rows are tagged and the write replaces
         everything an earlier run of that batch wrote, whatever its other
         partition values were."""
         if batch_id is None:
-            current = self.current_path()
-            if current is None:
-                return self.overwrite(df)
-            self._writer(df, "append", self.partition_by).save(current)
-            return current
-        tagged = df.withColumn(BATCH_COL, F.lit(str(batch_id)))
-        cols = [BATCH_COL] + [c for c in self.partition_by if c != BATCH_COL]
+            return self.commit(df, lambda leaf, new: False)
         if BATCH_COL not in self.partition_by:
-            self.partition_by = cols
-        current = self.current_path()
-        if current is None:
-            return self.overwrite(tagged)
-        escaped = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(batch_id))
-        self._writer(df.drop(BATCH_COL), "overwrite", cols[1:]).option("partitionOverwriteMode", "static").save(f"{current}/{BATCH_COL}={escaped}")
-        return current
+            self.partition_by = [BATCH_COL, *self.partition_by]
+        tagged = df.withColumn(BATCH_COL, F.lit(str(batch_id)))
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        folder = f"{BATCH_COL}={escape(str(batch_id))}"
+        return self.commit(tagged, lambda leaf, new: folder in leaf.split("/"), batch_id=batch_id)
+
+    def partition_values(self) -> DataFrame:
+        """One row per live partition: its folder (``_leaf``) and its typed values."""
+        m = self._manifest()
+        unescape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        schema = T.StructType.fromJson(m["schema"])
+        rows = []
+        for leaf in self.partitions():
+            values = [unescape(x.partition("=")[2]) for x in leaf.split("/")] if leaf else []
+            rows.append((leaf, *(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values)))
+        cols = m["partition_by"]
+        df = self.spark.createDataFrame(rows, T.StructType([T.StructField(c, T.StringType()) for c in ["_leaf", *cols]]))
+        return df.select("_leaf", *[F.col(c).cast(schema[c].dataType).alias(c) for c in cols])
+
+    def replace_where(self, df: DataFrame | None, predicate: Column | str) -> int:
+        """In one version, partitions for which ``predicate`` (over the partition columns)
+        holds leave and the rows of ``df`` come in. Every row of ``df`` must satisfy the
+        predicate. With ``df`` None the partitions are deleted."""
+        if not self.partition_by:
+            raise ValueError("replace_where needs partition columns")
+        cond = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
+        if df is not None and not df.filter(~cond).isEmpty():
+            raise ValueError("rows outside the replaced range")
+        gone = {r["_leaf"] for r in self.partition_values().filter(cond).select("_leaf").collect()} if self.exists() else set()
+        return self.commit(df, lambda leaf, new: leaf in gone)
