@@ -67,7 +67,7 @@ def test_grouped_median_exact(spark, small_rows, max_bc):
     rows += [("even", float(v)) for v in (4, 1, 3, 2)] + [("one", 9.0), ("dup", 5.0), ("dup", 5.0), ("dup", 5.0)]
     rows += [("skew", 1e-9 * i) for i in range(40)] + [("skew", 1e12)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.median for r in grouped_median(df, ["g"], "v", small_group_rows=small_rows, buckets=4, max_broadcast_groups=max_bc).collect()}
+    got = {r.g: r.median for r in grouped_median(df, ["g"], "v", small_group_rows=small_rows, max_broadcast_groups=max_bc).collect()}
     want = {}
     for g in {r[0] for r in rows}:
         want[g] = statistics.median([v for k, v in rows if k == g])
