@@ -883,15 +883,26 @@ def fact_pruned(spark, sf_dir):
     """The fact written partitioned by month; a half-year read touches only
     those month directories (``PartitionFilters`` in the scan)."""
     from lakelayer.plans import warehouse as W
-    from lakelayer.sinks.store import PathTable
 
-    t = PathTable(spark, scratch_path(spark, "fact-orders"), partition_by=["order_year_month"])
-    t.overwrite(W.fact_orders(spark, sf_dir))
-    f = t.read()
+    f = W.stored_fact(spark, sf_dir).read()
     return f.filter(F.col("order_year_month").between("1996-01", "1996-06")).withColumn(
         "order_year_month", F.col("order_year_month").cast("string")
     )
 
 
+@query(
+    "fact_quarter_pruned",
+    WH_CTES + "SELECT * FROM fact WHERE order_year_month IN ('1997-10', '1997-11', '1997-12')",
+)
+def fact_quarter_pruned(spark, sf_dir):
+    """The months of a quarter come from the date dimension at run time; the scan of the
+    fact is pruned dynamically."""
+    from lakelayer.plans import gold as G
+    from lakelayer.plans import warehouse as W
+
+    quarter = G.dim_date(spark, "1992-01-01", "1999-12-31").filter("year = 1997 AND quarter = 4")
+    return G.in_period(W.stored_fact(spark, sf_dir).read(), quarter)
+
+
 # Registers the queries over several batches and snapshots.
 from lakelayer.plans import catalog_batches as _batches  # noqa: E402,F401

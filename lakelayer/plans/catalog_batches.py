@@ -289,12 +289,12 @@ HISTORY_CTES = (
 
 @query("dim_customer_history", HISTORY_CTES + "SELECT * FROM hist_customer")
 def dim_customer_history(spark, sf_dir):
-    return W.dim_customer_history(spark, sf_dir)
+    return W.dim_customer_history(spark, sf_dir).read()
 
 
 @query("dim_product_history", HISTORY_CTES + "SELECT * FROM hist_product")
 def dim_product_history(spark, sf_dir):
-    return W.dim_product_history(spark, sf_dir)
+    return W.dim_product_history(spark, sf_dir).read()
 
 
 @query("dim_seller_upsert", HISTORY_CTES + "SELECT * FROM upserted_seller")
@@ -336,3 +336,203 @@ def fact_orders_history(spark, sf_dir):
     f = W.fact_orders_history(spark, sf_dir)
     cols = "order_id order_item_id customer_sk product_sk seller_sk geo_sk price payment_value order_year_month".split()
     return f.select(*cols, F.round("payment_value_alloc", 4).alias("payment_value_alloc"))
+
+
+# ------------------------------------------------------------------ maintenance: buckets, ranges, months
+@query(
+    "silver_batches_9_and_10",
+    """
+    SELECT 'o' || o_orderkey AS order_id,
+           CASE WHEN o_orderkey % 7 = 0 THEN 'late' WHEN o_orderkey % 3 = 0 THEN 'delivered'
+                WHEN o_orderkey % 2 = 0 THEN 'corrected' ELSE 'shipped' END AS order_status
+    FROM orders
+    """,
+)
+def silver_batches_9_and_10(spark, sf_dir):
+    """Batch 9, then batch 10 (later, though not in the alphabet), a corrected rerun of batch 9
+    (keeps its place before 10), and a batch committed last under the id of an earlier day."""
+    from lakelayer.plans import bronze as B
+    from lakelayer.plans import olist
+
+    root = scratch_path(spark, "silver-batches")
+    o = S.load(spark, sf_dir, "orders")
+    contract = get_contract("olist_orders")
+
+    def deliver(batch_id, rows, status):
+        cells = {"order_id": F.concat(F.lit("o"), "o_orderkey"), "customer_id": F.concat(F.lit("c"), "o_custkey"), "order_status": F.lit(status)}
+        stamp = F.date_format("o_orderdate", S.TS_FORMAT)
+        path = scratch_path(spark, f"raw-batch-{batch_id}")
+        rows.select(*[cells.get(f.name, stamp).alias(f.header) for f in contract.fields]).write.option("header", "true").csv(path)
+        B.ingest(spark, contract, path, f"{root}/bronze/olist_orders", batch_id)
+
+    deliver("9", o, "shipped")
+    olist.run_silver(spark, root, only=["olist_orders"])
+    deliver("10", o.filter("o_orderkey % 3 = 0"), "delivered")
+    olist.run_silver(spark, root, only=["olist_orders"])
+    deliver("9", o.withColumn("even", F.col("o_orderkey") % 2 == 0).filter("even"), "corrected")
+    deliver("8", o.filter("o_orderkey % 7 = 0"), "late")
+    olist.run_silver(spark, root, only=["olist_orders"])
+    return olist.silver(spark, root, "olist_orders").select("order_id", "order_status")
+
+
+ORDERS_MONTH_SQL = f"SELECT {C.ORDERS_COLS}, strftime(o_orderdate, '%Y-%m') AS order_year_month FROM orders"
+
+
+@query(
+    "sink_replace_where",
+    f"""
+    {ORDERS_MONTH_SQL} WHERE NOT strftime(o_orderdate, '%Y-%m') BETWEEN '1995-03' AND '1995-08'
+    UNION ALL
+    SELECT * REPLACE ('X' AS o_orderstatus) FROM ({ORDERS_MONTH_SQL}
+    WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1995-03' AND '1995-07')
+    """,
+)
+def sink_replace_where(spark, sf_dir):
+    """Six months replaced in one commit by rows of five: the sixth month vanishes."""
+    o = C._orders_with_month(spark, sf_dir)
+    t = PathTable(spark, scratch_path(spark, "sink-range"), partition_by=["order_year_month"])
+    t.overwrite(o)
+    new = o.filter(F.col("order_year_month").between("1995-03", "1995-07")).withColumn("o_orderstatus", F.lit("X"))
+    t.replace_where(new, "order_year_month BETWEEN '1995-03' AND '1995-08'")
+    return t.read().select(*C.ORDERS_COLS.split(", "), F.col("order_year_month").cast("string").alias("order_year_month"))
+
+
+@query(
+    "merge_scd1_buckets",
+    """
+    SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 100 = 3 THEN round(c_acctbal + 1, 2) ELSE c_acctbal END AS c_acctbal, c_mktsegment
+    FROM customer
+    """,
+)
+def merge_scd1_buckets(spark, sf_dir):
+    """The whole snapshot merged again with one in a hundred customers changed: buckets
+    without a change keep their files."""
+    from lakelayer.sinks.keyed import KeyedTable
+
+    c = S.load(spark, sf_dir, "customer").select(*C.CUST_COLS)
+    t = KeyedTable(spark, scratch_path(spark, "scd1-buckets"), "c_custkey", n_buckets=16)
+    t.load(c)
+    t.merge_scd1(c.withColumn("c_acctbal", F.when(F.col("c_custkey") % 100 == 3, F.round(F.col("c_acctbal") + 1, 2)).otherwise(F.col("c_acctbal"))))
+    return t.read()
+
+
+@query("merge_scd2_buckets", C.ORACLE["merge_scd2"])
+def merge_scd2_buckets(spark, sf_dir):
+    """Load and merge of a keyed table: touched buckets rewritten, closed history appended."""
+    from lakelayer.sinks.keyed import KeyedTable
+
+    _, snap2 = C._scd2_inputs(spark, sf_dir)
+    t = KeyedTable(spark, scratch_path(spark, "scd2-buckets"), "c_custkey", n_buckets=16)
+    t.load_scd2(S.load(spark, sf_dir, "customer").select(*C.CUST_COLS), C.CUST_TRACKED, C.AS_OF_1, sk_col="customer_sk")
+    t.merge_scd2(snap2, C.CUST_TRACKED, C.AS_OF_2, sk_col="customer_sk")
+    return t.read()
+
+
+@query("merge_scd2_late_snapshot", C.ORACLE["merge_scd2_three_snapshots"])
+def merge_scd2_late_snapshot(spark, sf_dir):
+    """The snapshots of ``merge_scd2_three_snapshots`` in the order first, third, second: the
+    second one is spliced into the history, which comes out the same."""
+    from lakelayer.sinks.keyed import KeyedTable
+
+    c = S.load(spark, sf_dir, "customer").select(*C.CUST_COLS)
+    moved = F.when(F.col("c_custkey") % 10 == 7, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey"))
+    t = KeyedTable(spark, scratch_path(spark, "scd2-late"), "c_custkey", n_buckets=16, keep_seen=True)
+    t.load_scd2(c, C.CUST_TRACKED, C.AS_OF_1, sk_col="customer_sk")
+    t.merge_scd2(c.withColumn("c_nationkey", moved.cast("int")), C.CUST_TRACKED, AS_OF_3, sk_col="customer_sk")
+    t.merge_scd2(C.customer_next_snapshot(c), C.CUST_TRACKED, C.AS_OF_2, sk_col="customer_sk")
+    return t.read()
+
+
+SHIFTED_SQL = """CASE WHEN o_orderkey % 40 = 1 OR strftime(o_orderdate, '%Y-%m') = '1994-02' THEN o_orderdate + INTERVAL 31 DAY ELSE o_orderdate END"""
+
+
+@query(
+    "fact_change_set",
+    C.WH_CTES
+    + f"""SELECT i.order_id, i.order_item_id, i.price, CAST(date_diff('day', CAST(s.purchase_ts AS DATE), CAST(i.delivered_ts AS DATE)) AS INTEGER) AS delivery_days,
+       strftime(s.purchase_ts, '%Y-%m') AS order_year_month
+       FROM items i JOIN (SELECT o_orderkey AS order_id, {SHIFTED_SQL} AS purchase_ts FROM orders) s ON s.order_id = i.order_id""",
+)
+def fact_change_set(spark, sf_dir):
+    """Some orders move to another month and one month becomes empty: the months that they
+    were in or are in now are rewritten, in one commit."""
+    from lakelayer.plans import gold as G
+
+    items, orders = W.items(spark, sf_dir), W.orders(spark, sf_dir)
+    moves = (F.col("order_id") % 40 == 1) | (F.date_format("purchase_ts", "yyyy-MM") == "1994-02")
+    shifted = F.when(moves, F.col("purchase_ts") + F.expr("INTERVAL 31 DAYS")).otherwise(F.col("purchase_ts"))
+    after = orders.withColumn("purchase_ts", shifted)
+
+    def build(of):
+        return G.order_items(items, of).select("order_id", "order_item_id", "price", "delivery_days", "order_year_month")
+
+    t = PathTable(spark, scratch_path(spark, "fact-changes"), partition_by=["order_year_month"])
+    G.update_fact(t, orders, None, build)
+    G.update_fact(t, after, orders.filter(moves).select("order_id"), build)
+    return t.read()
+
+
+@query(
+    "geo_median_extremes",
+    """
+    WITH v AS (SELECT c_nationkey, CASE WHEN c_custkey % 11 = 0 THEN 'inf'::DOUBLE WHEN c_custkey % 13 = 0 THEN '-inf'::DOUBLE
+                      WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS lat, -c_acctbal AS lng FROM customer)
+    SELECT c_nationkey, median(lat) AS lat, median(lng) AS lng FROM v GROUP BY c_nationkey
+    """,
+)
+def geo_median_extremes(spark, sf_dir):
+    """Two medians in one pass with infinities and NULLs among the values; groups above
+    ten rows go digit by digit."""
+    from lakelayer.operators.stats import grouped_medians
+
+    k, inf = F.col("c_custkey"), float("inf")
+    lat = F.when(k % 11 == 0, F.lit(inf)).when(k % 13 == 0, F.lit(-inf)).when(k % 5 == 0, F.lit(None)).otherwise(F.col("c_acctbal"))
+    c = S.load(spark, sf_dir, "customer").select("c_nationkey", lat.alias("lat"), (-F.col("c_acctbal")).alias("lng"))
+    return grouped_medians(c, ["c_nationkey"], {"lat": "lat", "lng": "lng"}, small_group_rows=10)
+
+
+@query(
+    "scan_csv_line_breaks",
+    _extra_source_sql("olist_reviews", *_EXTRA["olist_reviews"][2]),
+)
+def scan_csv_line_breaks(spark, sf_dir):
+    """One reviews file with quoted line breaks, read in byte ranges by many tasks."""
+    from lakelayer.sources.csv import read_csv_contract
+
+    path = scratch_path(spark, "raw-one-file")
+    _reviews_export(spark, sf_dir).coalesce(1).write.option("header", "true").option("escape", '"').csv(path)
+    rows = read_csv_contract(spark, path, get_contract("olist_reviews"), match_by_name=True)
+    reason = F.coalesce(F.col(REASON_COL), F.lit(Q.CLEAN))
+    counts = rows.groupBy(reason.alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(F.length("comment")), F.lit(0)).cast("long").alias("n_chars")
+    )
+    status = F.when(F.col("reason") == Q.CLEAN, F.lit(Q.CLEAN)).otherwise(F.lit(Q.QUARANTINE))
+    return counts.select(F.lit("olist_reviews").alias("source"), status.alias(Q.STATUS_COL), "reason", "n_rows", "n_chars")
+
+
+@query(
+    "dq_fail_mode",
+    """
+    SELECT * FROM (VALUES ('fail', 'stopped', 1), ('warn', 'written', 2)) t(mode, outcome, ord)
+    CROSS JOIN (SELECT count(*) FILTER (WHERE o_totalprice > 100000) AS n_failed, count(*) AS n_rows FROM orders)
+    """.replace("t(mode, outcome, ord)", "t(mode, outcome, position)"),
+)
+def dq_fail_mode(spark, sf_dir):
+    """A rule that fails: in ``fail`` mode the upsert stops and nothing is written, in ``warn``
+    mode the report is returned and the rows are written."""
+    from lakelayer.operators.dq import DataQualityError, Rule, report
+    from lakelayer.plans.silver import silver_upsert
+    from lakelayer.sinks.keyed import KeyedTable
+
+    o = S.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    rules = [Rule.in_range("o_totalprice", 0, 100000)]
+    root, outcomes = scratch_path(spark, "dq-modes"), []
+    for position, mode in enumerate(("fail", "warn"), 1):
+        try:
+            silver_upsert(spark, o, ["o_orderkey"], ["o_totalprice"], root, rules=rules, quality_mode=mode)
+        except DataQualityError:
+            pass
+        outcomes.append((mode, "written" if KeyedTable(spark, root, "o_orderkey").exists() else "stopped", position))
+    counted = report(o, rules).select("n_failed", "n_rows")
+    out = spark.createDataFrame(outcomes, "mode string, outcome string, position int")
+    return out.withColumn("rule", F.lit(rules[0].name)).join(report(o, rules).select("rule", *counted.columns), "rule").drop("rule")

@@ -14,17 +14,18 @@ to the enriched orders on the order key (the one large-to-large join: both
 sides shuffle on the order key), then looks each item up in the product and
 seller dimensions. SCD2 dimensions are joined *as of the purchase date* (key equal
 and date inside the version's interval; the first version of a key is open
-to the past, since the first load dates every version on the load day).
-A dimension side is broadcast only after a row count shows it at most
-``DIM_BROADCAST_ROWS``; larger ones are shuffle-joined (AQE splits a hot key).
+to the past, since the first load dates every version on the load day). Dimensions
+written as keyed tables store that start; only for others is it found by a window.
+Spark plans each dimension join by the dimension's bytes, and AQE splits a hot key.
 The date key is computed, not joined, because it is a pure function of the date.
-The fact is written partitioned by ``order_year_month`` and rewritten per
-touched month (``PathTable.overwrite_partitions``).
+The fact is written partitioned by ``order_year_month``; ``update_fact`` rewrites the months
+that changed orders were in or are in now.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,14 +34,11 @@ from lakelayer.functions.calendar import is_br_national_holiday
 from lakelayer.functions.keys import surrogate_key
 from lakelayer.operators.lookup import bounded_broadcast
 from lakelayer.operators.merge import IS_CURRENT, VALID_FROM, VALID_TO
+from lakelayer.sinks.keyed import EFFECTIVE, OPEN_PAST
 from lakelayer.sinks.store import PathTable
 
-# A dimension side is broadcast only when counted at or below this many rows
-# (a few tens of bytes each after projection); larger ones use a shuffle join.
-DIM_BROADCAST_ROWS = 1_000_000
 DATE_START = "2015-01-01"
 DATE_END = "2030-12-31"
-OPEN_PAST = "0001-01-01"
 
 
 def date_key(date_col: Column) -> Column:
@@ -109,9 +107,8 @@ def point_in_time_join(
     strategy by the dimension's bytes, and AQE splits a hot key on the fact side.
     With ``broadcast_rows`` the dimension is counted first and broadcast up to
     that many rows."""
-    d = first_version_open(dim, dim_key).select(
-        F.col(dim_key).alias("_dk"), "_from_eff", F.col(VALID_TO).alias("_to"), *take
-    )
+    opened = dim.withColumn("_from_eff", F.col(EFFECTIVE)) if EFFECTIVE in dim.columns else first_version_open(dim, dim_key)
+    d = opened.select(F.col(dim_key).alias("_dk"), "_from_eff", F.col(VALID_TO).alias("_to"), *take)
     if broadcast_rows:
         # The window keeps every row, so the dimension's own count is the
         # size (a footer read for a written table, no window shuffle).
@@ -230,3 +227,39 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("n_orders"),
         F.round(F.sum("price"), 2).alias("revenue"),
     )
+
+
+def update_fact(
+    table: PathTable,
+    orders: DataFrame,
+    changed: DataFrame | None,
+    build: Callable[[DataFrame], DataFrame],
+    notes: dict | None = None,
+) -> list[str]:
+    """Bring the fact, partitioned by ``order_year_month``, up to date for the ``changed``
+    order ids (all if None). Rewritten are the months that hold rows of a changed order
+    and those that it is purchased in now, in one commit; a month that becomes empty
+    goes, the others keep their files. ``build`` makes the fact of some orders. Returns
+    the months (at most as many as the fact has partitions)."""
+    if changed is None or not table.exists():
+        fact = build(orders)
+        table.overwrite(fact, notes)
+        return [m.partition("=")[2] for m in table.partitions()]
+    month = F.date_format("purchase_ts", "yyyy-MM")
+    was = table.read().join(changed, "order_id", "left_semi").select(F.col("order_year_month").cast("string").alias("m"))
+    now = orders.join(changed, "order_id", "left_semi").select(month.alias("m"))
+    months = sorted(r["m"] for r in was.union(now).filter("m IS NOT NULL").distinct().collect())
+    if months:
+        gone = {f"order_year_month={m}" for m in months}
+        table.commit(build(orders.filter(month.isin(months))), lambda leaf, new: leaf in gone, notes=notes)
+    elif notes:
+        table.commit(None, lambda leaf, new: False, notes=notes)
+    return months
+
+
+def in_period(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Fact rows of the months that ``dates`` (rows of the date dimension, filtered to a
+    quarter, a year, holidays ...) touch. The months are known at run time only; Spark
+    prunes the fact's partitions by them before it reads (dynamic partition pruning)."""
+    months = dates.select(F.date_format("date_id", "yyyy-MM").alias("order_year_month")).distinct()
+    return fact.join(F.broadcast(months), "order_year_month", "left_semi")

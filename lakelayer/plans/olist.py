@@ -5,6 +5,9 @@ silver: clean, deduplicate, check and upsert each source (``silver.silver_upsert
 gold:   date, customer (SCD2), product (SCD2), seller (SCD1), geography (SCD1)
         dimensions and the order-item fact partitioned by month.
 
+Each layer notes the versions it was built from: silver merges what bronze committed since
+the last run, the fact is rewritten for the months of changed orders only.
+
 Every step takes and returns DataFrames or path tables; nothing is collected
 except bounded quality reports.
 """
@@ -19,11 +22,13 @@ from lakelayer.operators import dq
 from lakelayer.operators import merge as M
 from lakelayer.operators.lookup import translate
 from lakelayer.operators.rollup import latest_per_key, payments_to_order
-from lakelayer.operators.stats import grouped_median
+from lakelayer.operators.stats import grouped_medians
 from lakelayer.plans import bronze as B
 from lakelayer.plans import gold as G
 from lakelayer.plans import silver as SV
-from lakelayer.sinks.store import PathTable
+from lakelayer.operators import quarantine as Q
+from lakelayer.sinks.keyed import BUCKET, STATE, KeyedTable
+from lakelayer.sinks.store import BATCH_COL, COMMIT_COL, PathTable
 
 SOURCES = [
     "olist_orders", "olist_order_items", "olist_customers", "olist_products",
@@ -48,51 +53,67 @@ def silver_specs() -> dict:
     }
 
 
-TECHNICAL = ["_source_file", "_ingested_at", "_batch_id", "_status", "_quarantine_reason", "_corrupt_record"]
+TECHNICAL = ["_source_file", "_ingested_at", BATCH_COL, "_status", "_quarantine_reason", "_corrupt_record"]
 
 
 def run_bronze(spark: SparkSession, files: dict[str, str], root: str, batch_id: str) -> dict[str, B.IngestResult]:
     return B.run_all(spark, {n: files[n] for n in SOURCES if n in files}, f"{root}/bronze", batch_id)
 
 
-#: What decides between rows of one key before the event's own order: the later
-#: batch, and of one batch its later ingestion.
-BATCH_ORDER = ["_batch_id", "_ingested_at"]
+#: What decides between rows of one key before the event's own order: the number under
+#: which the row's batch was first committed, then the commit that wrote the row (a rerun of
+#: a batch keeps its place among the batches and replaces its former rows).
+BATCH_ORDER = ["_batch_number", "_commit_number"]
+#: Spend bands of marketplace customers, in the currency of the payments.
+SPEND_BANDS = [(1000.0, "high"), (200.0, "mid"), (0.0, "low")]
 
 
-def _bronze_clean(spark, root, name) -> DataFrame:
+def _bronze_clean(spark, root, name, after: int) -> tuple[DataFrame, int]:
+    """Clean rows that bronze committed after its version ``after``, with their place in
+    the order of batches, and the version that they reach up to. Neither batch ids nor
+    clocks are compared: a batch that is committed late is new, whenever it began."""
     t = PathTable(spark, f"{root}/bronze/{name}")
-    return B.clean(t).drop(*[c for c in TECHNICAL if c not in BATCH_ORDER])
-
+    version = t.version()
+    rows = t.read(version, after=after, with_commit=True).filter(F.col(Q.STATUS_COL) == Q.CLEAN)
+    # Of the batches only the new ones are looked up: one row per batch.
+    numbers = spark.createDataFrame(sorted(t.batch_numbers().items()) or [], f"{BATCH_COL} string, _batch_number long")
+    rows = rows.withColumn(BATCH_COL, F.col(BATCH_COL).cast("string")).join(F.broadcast(numbers), BATCH_COL, "left")
+    return rows.withColumnRenamed(COMMIT_COL, "_commit_number").drop(*TECHNICAL), version
 
-def _not_merged(spark, src: DataFrame, silver_root: str) -> DataFrame:
-    """Rows ingested after the last ones that silver has seen."""
-    t = PathTable(spark, silver_root)
-    seen = t.read().agg(F.max("_ingested_at")).first()[0] if t.exists() else None
-    return src if seen is None else src.filter(F.col("_ingested_at") > F.lit(seen))
 
-
-def run_silver(spark: SparkSession, root: str, quality_mode: str = "warn") -> dict[str, list]:
+def run_silver(spark: SparkSession, root: str, quality_mode: str = "warn", only: list[str] | None = None) -> dict[str, list]:
+    """Merge what bronze committed since the last run; ``only`` some sources if named."""
     reports = {}
     for name, spec in silver_specs().items():
-        src = _not_merged(spark, _bronze_clean(spark, root, name), f"{root}/silver/{name}")
+        if only is not None and name not in only:
+            continue
+        silver_root = f"{root}/silver/{name}"
+        done = KeyedTable(spark, silver_root, spec["key"]).notes().get("bronze_version", 0)
+        src, version = _bronze_clean(spark, root, name, done)
         for zip_col in ("zip_code",):
             if zip_col in src.columns:
                 src = SV.normalise_zip(src, zip_col)
         _, rep = SV.silver_upsert(
-            spark, src, spec["key"], [*BATCH_ORDER, *spec["order_by"]], f"{root}/silver/{name}",
+            spark, src, spec["key"], [*BATCH_ORDER, *spec["order_by"]], silver_root,
             trim=spec.get("trim", ()), lower=spec.get("lower", ()), upper=spec.get("upper", ()),
-            rules=spec.get("rules", ()), quality_mode=quality_mode, latest_wins=True,
+            rules=spec.get("rules", ()), quality_mode=quality_mode, latest_wins=True, notes={"bronze_version": version},
         )
         reports[name] = rep
+    if only is not None and "olist_geolocation" not in only:
+        return reports
     # Points have no key: the same point in several batches counts once.
-    geo = SV.normalise_zip(_bronze_clean(spark, root, "olist_geolocation").drop(*BATCH_ORDER), "zip_code_prefix", out_col="zip_code")
-    PathTable(spark, f"{root}/silver/olist_geolocation").overwrite(geo.drop("zip_code_prefix").distinct())
+    silver_root = f"{root}/silver/olist_geolocation"
+    done = PathTable(spark, f"{silver_root}/rows").notes().get("bronze_version", 0)
+    src, version = _bronze_clean(spark, root, "olist_geolocation", done)
+    geo = SV.normalise_zip(src, "zip_code_prefix", out_col="zip_code").drop("zip_code_prefix")
+    point = [c for c in geo.columns if c not in BATCH_ORDER]
+    SV.silver_upsert(spark, geo, point, BATCH_ORDER, silver_root, latest_wins=True, notes={"bronze_version": version})
     return reports
 
 
 def silver(spark, root, name) -> DataFrame:
-    return PathTable(spark, f"{root}/silver/{name}").read().drop(*BATCH_ORDER)
+    """Current rows of a silver table."""
+    return PathTable(spark, f"{root}/silver/{name}/rows").read().drop(STATE, BUCKET, *BATCH_ORDER)
 
 
 def run_gold(spark: SparkSession, root: str, as_of: str, category_lookup: DataFrame | None = None, lookup_rows: int | None = None) -> dict[str, PathTable]:
@@ -109,7 +130,7 @@ def run_gold(spark: SparkSession, root: str, as_of: str, category_lookup: DataFr
 
     # customers: segment from what their orders paid
     spend = orders.join(payments, "order_id", "inner").select("customer_id", "payment_value")
-    customers = SV.spend_segment(silver(spark, root, "olist_customers"), spend, "customer_id", "customer_id", "payment_value")
+    customers = SV.spend_segment(silver(spark, root, "olist_customers"), spend, "customer_id", "customer_id", "payment_value", bands=SPEND_BANDS)
     customers = customers.select("customer_id", "customer_unique_id", "city", "state", "zip_code", "segment")
     tables["dim_customer"] = _scd2(spark, f"{root}/gold/dim_customer", customers, "customer_id", ["city", "state", "segment"], as_of, "customer_sk")
 
@@ -130,10 +151,9 @@ def run_gold(spark: SparkSession, root: str, as_of: str, category_lookup: DataFr
     tables["dim_seller"] = _scd1(spark, f"{root}/gold/dim_seller", sellers, "seller_id", "seller_sk")
 
     geo = silver(spark, root, "olist_geolocation")
-    med_lat = grouped_median(geo, ["zip_code"], "lat", "lat")
-    med_lng = grouped_median(geo, ["zip_code"], "lng", "lng")
+    middle = grouped_medians(geo, ["zip_code"], {"lat": "lat", "lng": "lng"})
     names = geo.groupBy("zip_code").agg(F.max("city").alias("city"), F.max("state").alias("state"))
-    geography = names.join(med_lat, "zip_code", "left").join(med_lng, "zip_code", "left")
+    geography = names.join(middle, "zip_code", "left")
     tables["dim_geography"] = _scd1(spark, f"{root}/gold/dim_geography", geography, "zip_code", "geo_sk")
 
     dd = PathTable(spark, f"{root}/gold/dim_date")
@@ -145,32 +165,73 @@ def run_gold(spark: SparkSession, root: str, as_of: str, category_lookup: DataFr
         F.col("customer_delivery_ts").alias("delivered_ts"),
     )
     it = items.select("order_id", "order_item_id", "product_id", "seller_id", F.lit(1).alias("quantity"), "price", "freight_value")
-    fact = G.fact_orders(
-        it, o, tables["dim_customer"].read(), tables["dim_product"].read(), tables["dim_seller"].read(),
-        tables["dim_geography"].read(), payments=payments, reviews=reviews, order_rollup_key="order_id",
-        allocate_payments=True,
-    )
+
+    def build(of: DataFrame) -> DataFrame:
+        return G.fact_orders(
+            it, of, tables["dim_customer"].read_as_of(), tables["dim_product"].read_as_of(), tables["dim_seller"].read(),
+            tables["dim_geography"].read(), payments=payments, reviews=reviews, order_rollup_key="order_id",
+            allocate_payments=True,
+        )
+
     ft = PathTable(spark, f"{root}/gold/fact_orders", partition_by=["order_year_month"])
-    ft.overwrite_partitions(fact)
+    state = {n: t.version() for n, t in _fact_sources(spark, root, tables).items()}
+    G.update_fact(ft, o, _changed_orders(spark, root, tables, ft.notes().get("built_from", {}), orders, items), build, notes={"built_from": state})
     tables["fact_orders"] = ft
     return tables
 
 
-def _scd2(spark, path, snapshot, key, tracked, as_of, sk) -> PathTable:
-    t = PathTable(spark, path)
+_ORDER_SOURCES = ["olist_orders", "olist_order_items", "olist_payments", "olist_reviews"]
+_FACT_DIMS = {"dim_customer": "customer_id", "dim_product": "product_id", "dim_seller": "seller_id", "dim_geography": None}
+
+
+def _fact_sources(spark, root, tables) -> dict[str, PathTable]:
+    out = {n: PathTable(spark, f"{root}/silver/{n}/rows") for n in _ORDER_SOURCES}
+    return out | {n: tables[n].table for n in _FACT_DIMS}
+
+
+def _changed_orders(spark, root, tables, built_from: dict, orders, items) -> DataFrame | None:
+    """Ids of the orders whose fact rows may differ since the versions in ``built_from``:
+    those with rows of their own, items, payments or reviews in buckets rewritten since,
+    and those of customers, products or sellers in such buckets. None if all may: on the first
+    build, and when a geography changed."""
+    sources = _fact_sources(spark, root, tables)
+    if not built_from or built_from["dim_geography"] != sources["dim_geography"].version():
+        return None
+    out = spark.createDataFrame([], "order_id string")
+    for name in _ORDER_SOURCES:
+        t = sources[name]
+        if t.version() != built_from[name]:
+            out = out.union(t.read(after=built_from[name]).select("order_id"))
+    by_customer = _changed_keys(tables, built_from, "dim_customer", "customer_id")
+    if by_customer is not None:
+        out = out.union(orders.join(by_customer, "customer_id", "left_semi").select("order_id"))
+    for dim, key in (("dim_product", "product_id"), ("dim_seller", "seller_id")):
+        changed = _changed_keys(tables, built_from, dim, key)
+        if changed is not None:
+            out = out.union(items.join(changed, key, "left_semi").select("order_id"))
+    return out.distinct()
+
+
+def _changed_keys(tables, built_from, dim: str, key: str) -> DataFrame | None:
+    t = tables[dim].table
+    return None if t.version() == built_from[dim] else t.read(after=built_from[dim]).select(key).distinct()
+
+
+def _scd2(spark, path, snapshot, key, tracked, as_of, sk) -> KeyedTable:
+    t = KeyedTable(spark, path, key, keep_seen=True)
     if t.exists():
-        t.overwrite(M.scd2_merge(t.read(), snapshot, key, tracked, as_of, sk_col=sk, validate=True))
+        t.merge_scd2(snapshot, tracked, as_of, sk_col=sk)
     else:
-        M.assert_unique_keys(snapshot, key)
-        t.overwrite(M.scd2_initial(snapshot, key, tracked, as_of, sk_col=sk))
+        t.load_scd2(snapshot, tracked, as_of, sk_col=sk)
     return t
 
 
-def _scd1(spark, path, snapshot, key, sk) -> PathTable:
+def _scd1(spark, path, snapshot, key, sk) -> KeyedTable:
     keyed = snapshot.select(surrogate_key([key], namespace=sk).alias(sk), *snapshot.columns)
-    t = PathTable(spark, path)
+    t = KeyedTable(spark, path, key)
     if t.exists():
-        t.overwrite(M.merge_scd1(t.read(), keyed, key))
+        t.merge_scd1(keyed)
     else:
-        t.overwrite(keyed)
+        M.assert_unique_keys(keyed, key)
+        t.load(keyed)
     return t

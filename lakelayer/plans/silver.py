@@ -14,7 +14,8 @@ from lakelayer.operators.lookup import translate
 
 __all__ = ["clean_strings", "dedup_latest", "translate", "spend_segment", "normalise_zip"]
 
-# Spend bands for the customer segment (lower bound, label), highest first.
+# Default spend bands for the customer segment (lower bound, label), highest
+# first; callers with other amounts pass their own.
 SEGMENT_BANDS = [(3_000_000.0, "high"), (1_500_000.0, "mid"), (0.0, "low")]
 NO_ORDERS_SEGMENT = "none"
 
@@ -54,16 +55,17 @@ def spend_segment(
     order_customer_key: str,
     amount_col: str,
     out_col: str = "segment",
+    bands: list[tuple[float, str]] = SEGMENT_BANDS,
 ) -> DataFrame:
-    """Customer segment from total spend. Orders are summed per customer first
+    """Customer segment from total spend by ``bands``. Orders are summed per customer first
     (partial aggregation, so a customer with a huge order count costs one row
     per map task), then left-joined: customers without orders get ``none``."""
     spend = orders.groupBy(F.col(order_customer_key).alias("_ck")).agg(F.sum(amount_col).alias("_spend"))
     j = customers.join(spend, customers[customer_key] == spend["_ck"], "left")
     seg = F.when(F.col("_spend").isNull(), F.lit(NO_ORDERS_SEGMENT))
-    for lo, label in SEGMENT_BANDS:
+    for lo, label in bands:
         seg = seg.when(F.col("_spend") >= lo, F.lit(label))
-    return j.withColumn(out_col, seg.otherwise(F.lit(SEGMENT_BANDS[-1][1]))).drop("_ck", "_spend")
+    return j.withColumn(out_col, seg.otherwise(F.lit(bands[-1][1]))).drop("_ck", "_spend")
 
 
 def silver_upsert(
@@ -78,31 +80,31 @@ def silver_upsert(
     rules: list = (),
     quality_mode: str = "warn",
     latest_wins: bool = False,
+    notes: dict | None = None,
 ):
-    """Clean -> dedup -> quality -> SCD1 upsert into ``silver_root``.
+    """Clean -> dedup -> quality -> upsert into the keyed table at ``silver_root``.
 
     The deduplicated frame is checkpointed (to the session's checkpoint folder)
     so the quality report and the merge read it instead of recomputing the
-    lineage; in ``fail`` mode nothing is committed when a rule fails. With
-    ``latest_wins`` stored and new rows of a key are compared in ``order_by``.
+    lineage; in ``fail`` mode nothing is committed when a rule fails. Only buckets with
+    incoming keys are rewritten. With ``latest_wins`` stored and new rows of a key are
+    compared in ``order_by``. ``notes`` are stored in the same commit.
     Returns ``(table, report_rows)``."""
     from lakelayer.operators import dq
-    from lakelayer.operators.merge import merge_scd1
     from lakelayer.session import checkpoint_root
-    from lakelayer.sinks.store import PathTable
+    from lakelayer.sinks.keyed import KeyedTable
 
     cleaned = clean_strings(source, trim=list(trim), lower=list(lower), upper=list(upper))
     deduped = dedup_latest(cleaned, key, order_by)
     checkpoint_root(spark)
     staged = deduped.checkpoint()
     report = dq.enforce(staged, list(rules), quality_mode) if rules else []
-    table = PathTable(spark, silver_root)
-    if table.exists():
-        if latest_wins:
-            # A stored row yields only to one that is later in the same order.
-            table.overwrite(dedup_latest(table.read().unionByName(staged), key, order_by))
-        else:
-            table.overwrite(merge_scd1(table.read(), staged, key))
+    table = KeyedTable(spark, silver_root, key)
+    if not table.exists():
+        table.load(staged, notes)
+    elif latest_wins:
+        # A stored row yields only to one that is later in the same order.
+        table.merge_latest(staged, order_by, notes)
     else:
-        table.overwrite(staged)
+        table.merge_scd1(staged, notes)
     return table, report

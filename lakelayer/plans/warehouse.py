@@ -24,6 +24,7 @@ from lakelayer.plans import gold as G
 from lakelayer.plans import silver as SV
 from lakelayer.plans.standins import load
 from lakelayer.session import scratch_path
+from lakelayer.sinks.keyed import EFFECTIVE, OPEN_PAST, KeyedTable
 from lakelayer.sinks.store import PathTable
 
 AS_OF = "2024-01-01"
@@ -159,21 +160,21 @@ HISTORY_FROM = "1995-01-01"
 HISTORY_CHANGE = "1996-07-01"
 
 
-def _two_snapshots(spark, first, second, key, tracked, sk, name) -> DataFrame:
-    t = PathTable(spark, scratch_path(spark, name))
-    t.overwrite(M.scd2_initial(first, key, tracked, HISTORY_FROM, sk_col=sk))
-    t.overwrite(M.scd2_merge(t.read(), second, key, tracked, HISTORY_CHANGE, sk_col=sk))
-    return t.read()
+def _two_snapshots(spark, first, second, key, tracked, sk, name) -> KeyedTable:
+    t = KeyedTable(spark, scratch_path(spark, name), key, n_buckets=8)
+    t.load_scd2(first, tracked, HISTORY_FROM, sk_col=sk)
+    t.merge_scd2(second, tracked, HISTORY_CHANGE, sk_col=sk)
+    return t
 
 
-def dim_customer_history(spark, sf_dir) -> DataFrame:
+def dim_customer_history(spark, sf_dir) -> KeyedTable:
     """Two snapshots: in the second one every third customer moves to the segment ``vip``."""
     c = customers(spark, sf_dir)
     second = c.withColumn("segment", F.when(F.col("customer_id") % 3 == 0, F.lit("vip")).otherwise(F.col("segment")))
     return _two_snapshots(spark, c, second, "customer_id", ["state", "segment"], "customer_sk", "dim-customer")
 
 
-def dim_product_history(spark, sf_dir) -> DataFrame:
+def dim_product_history(spark, sf_dir) -> KeyedTable:
     """Two snapshots: in the second one every fourth product moves to ``clearance``."""
     p = products(spark, sf_dir)
     second = p.withColumn("category", F.when(F.col("product_id") % 4 == 0, F.lit("clearance")).otherwise(F.col("category")))
@@ -188,18 +189,18 @@ def dim_seller_upsert(spark, sf_dir) -> DataFrame:
     second = s.withColumn("seller_name", renamed).filter(k % 5 != 0)
     second = second.unionByName(s.filter(k % 7 == 0).withColumn("seller_id", k + 1_000_000))
     keyed = [surrogate_key(["seller_id"], namespace="seller").alias("seller_sk"), *s.columns]
-    t = PathTable(spark, scratch_path(spark, "dim-seller"))
-    t.overwrite(s.select(*keyed))
-    t.overwrite(M.merge_scd1(t.read(), second.select(*keyed), "seller_id"))
+    t = KeyedTable(spark, scratch_path(spark, "dim-seller"), "seller_id", n_buckets=8)
+    t.load(s.select(*keyed))
+    t.merge_scd1(second.select(*keyed))
     return t.read()
 
 
 def dim_geography_upsert(spark, sf_dir) -> DataFrame:
     """A load, then an upsert that rewrites the names of the even zip codes."""
-    t = PathTable(spark, scratch_path(spark, "dim-geography"))
-    t.overwrite(dim_geography(spark, sf_dir))
+    t = KeyedTable(spark, scratch_path(spark, "dim-geography"), "zip_code", n_buckets=8)
+    t.load(dim_geography(spark, sf_dir))
     even = t.read().filter(F.col("zip_code") % 2 == 0).withColumn("city", F.lower("city"))
-    t.overwrite(M.merge_scd1(t.read(), even, "zip_code"))
+    t.merge_scd1(even)
     return t.read()
 
 
@@ -240,14 +241,34 @@ def _fact(spark, sf_dir, item_rows, dim_customer, dim_product, dim_seller, dim_g
     )
 
 
+def _only_versions(dim: DataFrame) -> DataFrame:
+    """A first load: every version is its key's first, so it is open to the past."""
+    return dim.withColumn(EFFECTIVE, F.lit(OPEN_PAST).cast("date"))
+
+
+#: The fact of an input, written once per application.
+_WRITTEN: dict[tuple[str, str], PathTable] = {}
+
+
+def stored_fact(spark, sf_dir) -> PathTable:
+    """The fact table partitioned by month. Written when first asked for; later readers of
+    the same application read what is there."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        t = PathTable(spark, scratch_path(spark, "fact-orders"), partition_by=["order_year_month"])
+        t.overwrite(fact_orders(spark, sf_dir))
+        _WRITTEN[key] = t
+    return _WRITTEN[key]
+
+
 def fact_orders(spark, sf_dir) -> DataFrame:
     item_rows = items(spark, sf_dir)
     return _fact(
         spark,
         sf_dir,
         item_rows,
-        dim_customer(spark, sf_dir),
-        dim_product(spark, sf_dir, item_rows),
+        _only_versions(dim_customer(spark, sf_dir)),
+        _only_versions(dim_product(spark, sf_dir, item_rows)),
         dim_seller(spark, sf_dir),
         dim_geography(spark, sf_dir),
     )
@@ -260,8 +281,8 @@ def fact_orders_history(spark, sf_dir) -> DataFrame:
         spark,
         sf_dir,
         items(spark, sf_dir),
-        dim_customer_history(spark, sf_dir),
-        dim_product_history(spark, sf_dir),
+        dim_customer_history(spark, sf_dir).read_as_of(),
+        dim_product_history(spark, sf_dir).read_as_of(),
         dim_seller_upsert(spark, sf_dir),
         dim_geography_upsert(spark, sf_dir),
         allocate_payments=True,

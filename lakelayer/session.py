@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_REMOVED_AT_END: set[str] = set()
 
 
 def build_session(
@@ -65,6 +66,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused directory under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    return f"{root}/lakelayer/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused directory under the shared checkpoint folder. All of an
+    application's scratch is removed when the application ends."""
+    folder = f"{checkpoint_root(spark)}/lakelayer/{spark.sparkContext.applicationId}"
+    if folder not in _REMOVED_AT_END:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _REMOVED_AT_END.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"

@@ -8,6 +8,9 @@ files. Buckets without a change keep their files, and closed history is never
 rewritten, except where a snapshot arrives late (``merge_scd2`` then splices it into the
 history of the keys that it changes).
 
+Versions also store from when they hold in a join (``_effective_from``: the distant past
+for a key's first version, else its start), so that no reader has to find first versions.
+
 ``seen`` (on request) keeps, per snapshot, the keys that it held: a small table
 (key, date) that is only appended to. With it a late snapshot gives exactly the history
 that the snapshots would have given in order.
@@ -24,12 +27,15 @@ from lakelayer.session import checkpoint_root
 from lakelayer.sinks.store import PathTable
 
 STATE, BUCKET = "_state", "_bucket"
+#: From when a version holds in an as-of join; a key's first version is open to the past.
+EFFECTIVE = "_effective_from"
+OPEN_PAST = "0001-01-01"
 CURRENT, CLOSED = "current", "closed"
 _SEEN_ON = "_seen_on"
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, root: str, keys: str | list[str], n_buckets: int = 64, keep_seen: bool = False):
+    def __init__(self, spark: SparkSession, root: str, keys: str | list[str], n_buckets: int = 16, keep_seen: bool = False):
         """``n_buckets`` is fixed by the first write; later sessions read it from the table."""
         self.spark, self.keys = spark, M._keys(keys)
         self.table = PathTable(spark, f"{root.rstrip('/')}/rows", partition_by=[STATE, BUCKET])
@@ -41,10 +47,17 @@ class KeyedTable:
         return self.table.exists()
 
     def read(self) -> DataFrame:
+        return self.table.read().drop(STATE, BUCKET, EFFECTIVE)
+
+    def read_as_of(self) -> DataFrame:
+        """All versions with ``_effective_from``."""
         return self.table.read().drop(STATE, BUCKET)
 
+    def current_path(self) -> str | None:
+        return self.table.current_path()
+
     def current(self) -> DataFrame:
-        return self.table.read().filter(F.col(STATE) == CURRENT).drop(STATE, BUCKET)
+        return self.table.read().filter(F.col(STATE) == CURRENT).drop(STATE, BUCKET, EFFECTIVE)
 
     def notes(self) -> dict:
         return self.table.notes()
@@ -113,11 +126,14 @@ class KeyedTable:
             stored = self.table.read().filter(F.col(BUCKET).isin(touched))
             merged = dedup_latest(stored.unionByName(incoming), self.keys, order_by)
             self._commit(merged.select(*cols, STATE, BUCKET), notes)
+        elif notes:
+            self.table.commit(None, lambda leaf, new: False, notes=notes)
         return touched
 
     def load_scd2(self, source: DataFrame, tracked: list[str], as_of, sk_col: str | None = None, hash_mode: str = "safe") -> int:
         M.assert_unique_keys(source, self.keys)
-        number = self.load(M.scd2_initial(source, self.keys, tracked, as_of, hash_mode, sk_col))
+        rows = M.scd2_initial(source, self.keys, tracked, as_of, hash_mode, sk_col)
+        number = self.load(rows.withColumn(EFFECTIVE, F.lit(OPEN_PAST).cast("date")))
         self._note_seen(source, as_of)
         return number
 
@@ -136,13 +152,16 @@ class KeyedTable:
         return touched
 
     def _extend(self, source, tracked, day, sk_col, hash_mode) -> list[int]:
-        enriched = M.scd2_enrich(source, self.keys, tracked, day, hash_mode, sk_col)
+        enriched = M.scd2_enrich(source, self.keys, tracked, day, hash_mode, sk_col).withColumn(EFFECTIVE, day)
         cols = self._columns(enriched)
         incoming = self._placed(self._cast(enriched, cols))
         stored = self.table.read().filter(F.col(STATE) == CURRENT)
         old = stored.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys], F.struct(*cols).alias("_old"), F.col(BUCKET).alias("_b"))
         matched = incoming.join(old, [incoming[BUCKET] == old["_b"], *[incoming[k] == old[f"_k_{k}"] for k in self.keys]], "left")
         differs = F.col("_old").isNull() | ~F.col(M.HASH_COL).eqNullSafe(F.col(f"_old.{M.HASH_COL}"))
+        replaced = F.col("_old").isNull() | (F.col(f"_old.{M.VALID_FROM}") == day)
+        inherited = F.coalesce(F.col(f"_old.{EFFECTIVE}"), F.lit(OPEN_PAST).cast("date"))
+        matched = matched.withColumn(EFFECTIVE, F.when(replaced, inherited).otherwise(F.col(EFFECTIVE)))
         changed = self._checkpoint(matched.filter(differs).select(*cols, STATE, BUCKET, "_old"))
         touched = self._buckets(changed)
         if not touched:
@@ -172,7 +191,7 @@ class KeyedTable:
         from lakelayer.functions.keys import surrogate_key
 
         day = M._as_of(as_of)
-        enriched = M.scd2_enrich(source, self.keys, tracked, day, hash_mode, sk_col)
+        enriched = M.scd2_enrich(source, self.keys, tracked, day, hash_mode, sk_col).withColumn(EFFECTIVE, day)
         cols = self._columns(enriched)
         late = self._placed(self._cast(enriched, cols))
         stored = self.table.read()
@@ -202,6 +221,7 @@ class KeyedTable:
         rebuilt = events.withColumns(
             {
                 M.VALID_FROM: F.col("_on"),
+                EFFECTIVE: F.when(F.col("_nth") == 1, F.lit(OPEN_PAST).cast("date")).otherwise(F.col("_on")),
                 M.VALID_TO: F.coalesce(F.date_sub("_next", 1), F.lit(M.OPEN_END).cast("date")),
                 M.IS_CURRENT: F.col("_next").isNull(),
                 STATE: F.when(F.col("_next").isNull(), F.lit(CURRENT)).otherwise(F.lit(CLOSED)),
