@@ -19,6 +19,7 @@ are packed like others; an empty table gives no rows; other columns are not read
 from __future__ import annotations
 
 import heapq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,31 +32,41 @@ from lakelayer.llm.pieces import encoder
 
 CAPACITY = 2048
 #: Fewer than the encoder's own: in a pipeline its workers also hold other stages' models.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 200_000
 _RANKS = 2**44
 
 
-def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces: doc_id, start, length, doc_tokens, ids (little-endian unsigned
-    32-bit), and the task's number and local rank used by ``place``. Staged."""
+def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """Pieces: doc_id, start, length, doc_tokens, ids_crc32 and ids (little-endian unsigned
+    32-bit; left out where only lengths and digests are wanted), and the number ``part`` and
+    local rank used by ``place``. Staged."""
+    columns = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "part", "local_rank", *(["ids"] if with_ids else [])]
+    types = {"ids": pa.binary()}
 
     def cut(batches):
-        enc, part, seen = encoder(tokenizer_path, CACHE_PIECES), TaskContext.get().partitionId(), {}
+        enc, part = encoder(tokenizer_path, CACHE_PIECES), TaskContext.get().partitionId()
+        seen = np.zeros(capacity + 1, np.int64)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            out = {k: [] for k in ("doc_id", "start", "length", "doc_tokens", "part", "local_rank", "ids")}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = enc.encode(text) + end
-                n = len(ids) // 4
-                for start in range(0, n, capacity):
-                    length = min(capacity, n - start)
-                    rank = seen.get(length, 0)
-                    seen[length] = rank + 1
-                    for k, v in zip(out, (doc_id, start, length, n, part, rank, ids[4 * start:4 * (start + length)])):
-                        out[k].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(k, pa.binary() if k == "ids" else pa.int64()) for k in out]))
-
-    schema = "doc_id long, start long, length long, doc_tokens long, part long, local_rank long, ids binary"
+            encoded = [enc.encode(text) + end for text in batch.column("text").to_pylist()]
+            tokens = np.array([len(x) // 4 for x in encoded], np.int64)
+            pieces = -(-tokens // capacity)
+            doc = np.repeat(np.arange(len(tokens)), pieces)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
+            length = np.minimum(capacity, tokens[doc] - start)
+            # Rank of a piece among those of its length in this task.
+            order = np.argsort(length, kind="stable")
+            found = np.bincount(length, minlength=capacity + 1)
+            rank = np.empty(len(length), np.int64)
+            rank[order] = np.arange(len(length)) - np.repeat(np.cumsum(found) - found, found)
+            rank += seen[length]
+            seen += found
+            ids = [memoryview(encoded[d])[4 * a:4 * (a + n)] for d, a, n in zip(doc.tolist(), start.tolist(), length.tolist())]
+            out = [batch.column("doc_id").take(pa.array(doc)), start, length, tokens[doc], np.fromiter(map(crc32, ids), np.int64, len(ids)), np.full(len(doc), part), rank]
+            out += [[bytes(x) for x in ids]] if with_ids else []
+            yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, types.get(c, pa.int64())) for c, x in zip(columns, out)], names=columns)
+
+    schema = ", ".join(f"{c} {'binary' if c == 'ids' else 'long'}" for c in columns)
     return staged(narrow(docs, id_col, text_col).mapInArrow(cut, schema), "pieces", compression="zstd")
 
 
@@ -123,8 +134,10 @@ def _slots(patterns) -> dict[str, np.ndarray]:
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (length, part, local_rank and any other columns) with
-    ``sequence_id`` and ``offset``. The histogram has at most ``capacity`` rows and
-    the slots at most a few per length of a pattern: neither grows with the input."""
+    ``sequence_id`` and ``offset``. What the driver gets is the histogram, at most
+    ``capacity`` rows, and the slots, a few per length of a pattern: neither grows with
+    the input. The counts per task and length do (a row for each); they are joined to
+    the pieces by a shuffle or a broadcast, as Spark decides by their size."""
     counts = staged(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = pieces.sparkSession.sparkContext.broadcast(_slots(shortest_pack_first(histogram, capacity)))

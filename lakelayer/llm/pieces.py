@@ -12,18 +12,18 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces kept per generation; two generations live in a worker. Only speed depends on it.
 CACHE_PIECES = 400_000
-#: Characters with no special treatment in either pre-tokenizer or normalizer:
-#: printable ASCII, new line, Latin-1 letters and Latin Extended-A, but not U+0130.
-_ODD = "[^\\n -~\\u00c0-\\u012f\\u0131-\\u017f]"
-_ODD_CHAR = re.compile(_ODD)
+#: Bytes of texts with no special treatment in either pre-tokenizer or normalizer: new line,
+#: printable ASCII, Latin-1 letters and Latin Extended-A (two bytes each), but not U+0130.
+_PLAIN = bytes([0x0A, *range(0x20, 0x7F), 0xC3, 0xC4, 0xC5, *range(0x80, 0xC0)])
+_NOT_PLAIN = b"\xc4\xb0"
 #: White-space runs that a byte-level pre-tokenizer joins or splits by context.
-_ODD_SPACING = re.compile(_ODD + "|  | \\n|\\n |\\n\\n\\n|\\n\\n\\Z| \\Z|\\A ")
+_ODD_SPACING = ("  ", " \n", "\n ", "\n\n\n")
 _TAIL = ".,;:!?"
 
 
@@ -43,9 +43,8 @@ class _Pieces(dict):
 
     def __init__(self, compute, limit: int):
         super().__init__()
-        self.limit = limit
+        self.limit, self.compute = limit, compute
         self.old: dict[str, bytes] = {}
-        self.compute = compute
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
@@ -78,7 +77,10 @@ class TextEncoder:
         added = [r"\s+".join(map(re.escape, re.split(r"\s+", t["content"]))) for t in spec.get("added_tokens") or []]
         loose = any(t.get("normalized") for t in spec.get("added_tokens") or [])
         self.added = re.compile("|".join(added) or r"(?!)", re.IGNORECASE if loose else 0)
-        self.letters = _byte_letters()
+        # Most texts lack the sign that every added token has, and need no search.
+        signs = [next((c for c in t["content"] if not c.isspace() and c.upper() == c.lower()), "") for t in spec.get("added_tokens") or []]
+        self.signs = set(signs) if all(signs) else {""}
+        self.letters = dict(enumerate(_byte_letters()))
         self.pieces = _Pieces(self._byte_piece if self.kind == "byte" else self._word_piece, cache_pieces)
 
     @property
@@ -86,52 +88,63 @@ class TextEncoder:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _letters_only(self, word: str, lead: str) -> bytes:
-        mapped = lead + "".join(map(self.letters.__getitem__, word.encode()))
-        return np.asarray([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+        mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.tokenizer.model.tokenize(lead + mapped)])
 
-    def _word_piece(self, piece: str) -> bytes:
+    def _parted(self, piece: str, mark: str) -> bytes | None:
+        """A word with punctuation behind it is put together from the two."""
         core = piece.rstrip(_TAIL)
         if core != piece and core and core[-1].isalpha():
-            return self.pieces[core] + self.pieces[piece[len(core):]]
+            return self.pieces[core] + self.pieces[mark + piece[len(core):]]
+        return None
+
+    def _word_piece(self, piece: str) -> bytes:
         if piece.isalpha():
             return self._letters_only(piece.lower(), "")
-        return self.whole(piece)
+        return self._parted(piece, "") or self.whole(piece)
 
     def _byte_piece(self, piece: str) -> bytes:
         # A piece stands after a space, unless a NUL marks that none precedes it.
-        if piece == "\n":
-            return self.whole(piece)
         bare = piece[:1] == "\0"
         word = piece[bare:]
-        core = word.rstrip(_TAIL)
-        if core != word and core and core[-1].isalpha():
-            return self.pieces["\0" * bare + core] + self.pieces["\0" + word[len(core):]]
         if word.isalpha():
             return self._letters_only(word, "" if bare else self.letters[0x20])
-        return self.whole(word if bare else " " + word)
+        if word in ("", "\n"):
+            return self.whole(word)
+        return self._parted(piece, "\0") or self.whole(word if bare else " " + word)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit integers; null and empty give none."""
         if not text:
             return b""
-        if self.added.search(text):
+        if any(sign in text for sign in self.signs) and self.added.search(text):
             return self.whole(text)
-        if self.kind == "word" and not _ODD_CHAR.search(text):
+        raw = text.encode()
+        if self.kind is None or raw.translate(None, _PLAIN) or _NOT_PLAIN in raw:
+            return self.whole(text)
+        if self.kind == "word":
             return b"".join(map(self.pieces.__getitem__, text.split()))
-        if self.kind == "byte" and not _ODD_SPACING.search(text):
-            units = ("\0" + text.replace("\n", " \n \0")).split(" ")
-            return b"".join([self.pieces[u] for u in units if u != "\0"])
-        return self.whole(text)
+        if any(gap in text for gap in _ODD_SPACING) or text[0] == " " or text[-1] == " " or text.endswith("\n\n"):
+            return self.whole(text)
+        return b"".join(map(self.pieces.__getitem__, ("\0" + text.replace("\n", " \n \0")).split(" ")))
+
+
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(40)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return _PACKERS[len(ids)](*ids) if len(ids) < 40 else struct.pack(f"<{len(ids)}I", *ids)
 
 
-_ENCODERS: dict[str, TextEncoder] = {}
+_ENCODERS: dict[tuple[str, int], TextEncoder] = {}
 
 
 def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> TextEncoder:
-    """One encoder per Python worker and file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = TextEncoder(path, cache_pieces)
-    return _ENCODERS[path]
+    """One encoder per Python worker, file and size of the cache, kept between tasks."""
+    key = (path, cache_pieces)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = TextEncoder(path, cache_pieces)
+    return _ENCODERS[key]

@@ -47,9 +47,8 @@ def op5_packing(spark, sf_dir):
 
 def packed(docs: DataFrame) -> DataFrame:
     """The packing contract's columns, one row per piece."""
-    pieces = packing.tokenise(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
-    digest = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.place(digest).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    pieces = packing.tokenise(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, with_ids=False)
+    return packing.place(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 #: The rule list of the URL contract.
