@@ -99,6 +99,34 @@ KINDS = (
 SPAN = "struct<kind: string, start: int, end: int, score: double>"
 
 
+#: Code points of a piece of text that is cut by position.
+_PIECE = 1024
+_NO_INTS = "cast(array() AS array<int>)"
+
+
+def _running(values: str, fold: str) -> str:
+    """For each of the integers ``values`` the fold (SQL over a and v, from 0) of those before
+    it. An array that grows by one is copied as a whole, so it grows by blocks of the
+    square root of their number."""
+    b = "cast(ceil(sqrt(size(d))) AS int)"
+    ks = f"sequence(0, (size(d) - 1) div {b})"
+    block = f"slice(d, k * {b} + 1, {b})"
+    step = f"(s, v) -> named_struct('a', transform(array(s.a), a -> {fold})[0], 'o', concat(s.o, array(s.a))), s -> s.o"
+    bases = f"aggregate(transform({ks}, k -> aggregate({block}, 0, (a, v) -> {fold})), named_struct('a', 0, 'o', {_NO_INTS}), {step})"
+    within = f"transform({ks}, k -> aggregate({block}, named_struct('a', bs[k], 'o', {_NO_INTS}), {step}))"
+    # A lambda over one element names a value that is used more than once.
+    return f"transform(array({values}), d -> CASE WHEN size(d) = 0 THEN {_NO_INTS} ELSE transform(array({bases}), bs -> flatten({within}))[0] END)[0]"
+
+
+def _cut(pieces: str, at: str, n: str) -> str:
+    """``n`` code points from ``at`` on (from 0) of a text held as ``pieces``; takes time by ``n``."""
+    return f"substring(array_join(slice({pieces}, {at} div {_PIECE} + 1, ({at} + {n}) div {_PIECE} - {at} div {_PIECE} + 1), ''), {at} % {_PIECE} + 1, {n})"
+
+
+def _pieces(text: str) -> str:
+    return f"regexp_extract_all({text}, '(?s).{{1,{_PIECE}}}', 0)"
+
+
 def _literal(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -106,19 +134,35 @@ def _literal(pattern: str) -> str:
 def _ibans() -> str:
     """The confirmed IBANs as a struct of m, the matches, and g, the text around them,
     from s_iban, the places where one may start."""
-    words = f"split(regexp_extract(substring(text, s + 1, 64), {_literal(_IBAN_MOST)}, 0), ' ')"
+    here = _cut("ps", "s", "64")
+    words = f"split(regexp_extract({here}, {_literal(_IBAN_MOST)}, 0), ' ')"
     ends = "transform(sequence(1, size(w)), n -> array_join(slice(w, 1, n), ' '))"
-    passed = f"filter({ends}, m -> length({_IBAN}) >= 15 AND NOT substring(text, s + length(m) + 1, 1) rlike '[A-Za-z0-9]' AND {_MOD97})"
+    follows = _cut("ps", "(s + length(m))", "1")
+    passed = f"filter({ends}, m -> length({_IBAN}) >= 15 AND NOT {follows} rlike '[A-Za-z0-9]' AND {_MOD97})"
     registered = f"get(filter(ms, m -> length({_IBAN}) = cast(try_element_at(str_to_map('{IBAN_LENGTHS}', ',', ':'), left(m, 2)) AS int)), 0)"
     # A lambda over one element names a value that is used more than once.
     passed = f"transform(array({words}), w -> {passed})[0]"
     best = f"transform(array({passed}), ms -> coalesce({registered}, try_element_at(ms, -1)))[0]"
     found = f"filter(transform(s_iban, s -> named_struct('s', s, 'm', {best})), x -> x.m IS NOT NULL)"
-    return (
-        f"aggregate({found}, named_struct('at', 0, 'm', cast(array() AS array<string>), 'g', cast(array() AS array<string>)), (a, x) -> CASE WHEN x.s >= a.at THEN "
-        "named_struct('at', x.s + length(x.m), 'm', concat(a.m, array(x.m)), 'g', concat(a.g, array(substring(text, a.at + 1, x.s - a.at)))) ELSE a END, "
-        "a -> named_struct('m', a.m, 'g', concat(a.g, array(substring(text, a.at + 1, length(text))))))"
+    # Starts inside an earlier IBAN are none. As above, the result grows by blocks.
+    none = "cast(array() AS array<struct<s: int, m: string>>)"
+    b = "cast(ceil(sqrt(size(f))) AS int)"
+    inner = (
+        f"aggregate(slice(f, k * {b} + 1, {b}), named_struct('at', o.at, 'o', {none}), (a, x) -> CASE WHEN x.s >= a.at THEN "
+        "named_struct('at', x.s + length(x.m), 'o', concat(a.o, array(x))) ELSE a END)"
+    )
+    kept = (
+        f"aggregate(sequence(0, (size(f) - 1) div {b}), named_struct('at', 0, 'o', cast(array() AS array<array<struct<s: int, m: string>>>)), "
+        f"(o, k) -> transform(array({inner}), r -> named_struct('at', r.at, 'o', concat(o.o, array(r.o))))[0], o -> flatten(o.o))"
     )
+    kept = f"transform(array({found}), f -> CASE WHEN size(f) = 0 THEN {none} ELSE {kept} END)[0]"
+    before = "CASE WHEN i = 0 THEN 0 ELSE ks[i - 1].s + length(ks[i - 1].m) END"
+    end = "CASE WHEN size(ks) = 0 THEN 0 ELSE ks[size(ks) - 1].s + length(ks[size(ks) - 1].m) END"
+    gap = f"transform(array({before}), at -> {_cut('ps', 'at', '(x.s - at)')})[0]"
+    tail = f"transform(array({end}), at -> {_cut('ps', 'at', '(length(text) - at)')})[0]"
+    gaps = f"concat(transform(ks, (x, i) -> {gap}), array({tail}))"
+    made = f"transform(array({kept}), ks -> named_struct('m', transform(ks, x -> x.m), 'g', {gaps}))[0]"
+    return f"transform(array({_pieces('text')}), ps -> {made})[0]"
 
 
 def _spans(kind: Kind) -> str:
@@ -141,16 +185,16 @@ def _with_spans(df: DataFrame) -> DataFrame:
     m = [f"m_{k}" for k in PATTERNS]
     df = df.selectExpr(*keep, *m, *[f"CASE WHEN size(m_{k}) > 0 THEN split(text, {_literal(rx)}, -1) ELSE {none} END AS g_{k}" for k, (rx, _) in PATTERNS.items()])
     g = [f"g_{k}" for k in PATTERNS]
-    starts = (
-        "aggregate(m_{k}, named_struct('at', 0, 'i', 0, 's', cast(array() AS array<int>)), (a, m) -> named_struct("
-        "'at', a.at + length(g_{k}[a.i]) + length(m), 'i', a.i + 1, 's', concat(a.s, array(a.at + length(g_{k}[a.i])))), a -> a.s) AS s_{k}"
-    )
-    df = df.selectExpr(*keep, *m, *g, *[starts.format(k=k) for k in PATTERNS])
+    def starts(k: str) -> str:
+        moved = _running(f"transform(m_{k}, (m, i) -> length(g_{k}[i]) + length(m))", "a + v")
+        return f"transform({moved}, (at, i) -> at + length(g_{k}[i])) AS s_{k}"
+
+    df = df.selectExpr(*keep, *m, *g, *[starts(k) for k in PATTERNS])
     # Of the IBANs only the starts are known so far.
     others = [c for c in m + g + [f"s_{k}" for k in PATTERNS] if not c.endswith("_iban")]
     df = df.selectExpr(*keep, *others, f"CASE WHEN size(m_iban) > 0 THEN {_ibans()} END AS _iban")
     df = df.selectExpr(*keep, *others, f"coalesce(_iban.m, {none}) AS m_iban", f"coalesce(_iban.g, {none}) AS g_iban")
-    df = df.selectExpr(*keep, *others, "m_iban", "g_iban", starts.format(k="iban"))
+    df = df.selectExpr(*keep, *others, "m_iban", "g_iban", starts("iban"))
     empty = f"cast(array() AS array<{SPAN}>)"
     return df.selectExpr(*keep, *[f"CASE WHEN size(m_{k.source}) > 0 THEN {_spans(k)} ELSE {empty} END AS spans_{k.name}" for k in KINDS])
 
@@ -178,11 +222,12 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     columns = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     found = _with_spans(held).selectExpr("_row", "text", "sort_array(transform(concat(" + ", ".join(f"spans_{k.name}" for k in KINDS) + "), x -> struct(x.start AS s, x.end AS e, x.kind AS kind))) AS _spans")
-    parts = (
-        "aggregate(_spans, named_struct('at', 0, 'out', cast(array() AS array<string>)), (a, x) -> named_struct("
-        "'at', greatest(a.at, x.e), 'out', CASE WHEN x.s >= a.at THEN concat(a.out, array(substring(text, a.at + 1, x.s - a.at), concat('[', upper(x.kind), ']'))) ELSE a.out END), "
-        "a -> array_join(concat(a.out, array(substring(text, a.at + 1, length(text)))), ''))"
-    )
+    # How far the spans before each one reach.
+    reached = _running("transform(_spans, x -> x.e)", "greatest(a, v)")
+    piece = f"concat({_cut('ps', 'at[i]', '(x.s - at[i])')}, '[', upper(x.kind), ']')"
+    tail = f"transform(array(array_max(transform(_spans, x -> x.e))), e -> {_cut('ps', 'e', '(length(text) - e)')})[0]"
+    named = f"array_join(transform(_spans, (x, i) -> CASE WHEN x.s >= at[i] THEN {piece} ELSE '' END), '')"
+    parts = f"transform(array({_pieces('text')}), ps -> transform(array({reached}), at -> concat({named}, {tail}))[0])[0]"
     out = found.select("_row", F.expr(f"CASE WHEN size(_spans) = 0 THEN _row.`{text_col}` ELSE {parts} END").alias("_text"))
     return out.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in columns])
 
