@@ -44,21 +44,30 @@ def allocate(leaves: DataFrame, levels: Sequence[str], weights: Mapping[tuple, f
     (None, ..., name) holds for that name under every parent; a full path goes first."""
     spark = leaves.sparkSession
     leaves = leaves.withColumn("_cap", F.col("tokens") * F.lit(float(max_epochs)))
-    parents = None
-    for depth in range(1, len(levels) + 1):
-        path, above = list(levels[:depth]), list(levels[:depth - 1])
-        here = {p: float(w) for p, w in weights.items() if len(p) == depth}
-        anywhere = [(p[-1], w) for p, w in here.items() if depth > 1 and not any(x is not None for x in p[:-1])]
+
+    def weighed(nodes: DataFrame, path: list[str]) -> DataFrame:
+        """``nodes`` with the weight ``_w`` that ``weights`` gives the node at ``path``; those of weight zero go."""
+        here = {p: float(w) for p, w in weights.items() if len(p) == len(path)}
+        anywhere = [(p[-1], w) for p, w in here.items() if len(path) > 1 and not any(x is not None for x in p[:-1])]
         given = [(*p, w) for p, w in here.items() if all(x is not None for x in p)]
-        nodes = leaves.groupBy(*path).agg(F.sum("_cap").alias("_cap"))
         if given:
             table = spark.createDataFrame(given, ", ".join(f"`{c}` string" for c in path) + ", _w double")
-            nodes = nodes.join(table, path, "left")
+            nodes = nodes.join(F.broadcast(table), path, "left")
         else:
             nodes = nodes.withColumn("_w", F.lit(None).cast("double"))
         if anywhere:
-            nodes = nodes.join(spark.createDataFrame(anywhere, f"`{path[-1]}` string, _any double"), path[-1], "left").withColumn("_w", F.coalesce("_w", "_any")).drop("_any")
-        nodes = nodes.withColumn("_w", F.coalesce("_w", F.lit(1.0))).filter("_w > 0")
+            table = spark.createDataFrame(anywhere, f"`{path[-1]}` string, _any double")
+            nodes = nodes.join(F.broadcast(table), path[-1], "left").withColumn("_w", F.coalesce("_w", "_any")).drop("_any")
+        return nodes.withColumn("_w", F.coalesce("_w", F.lit(1.0))).filter("_w > 0")
+
+    # What stands under a weight of zero is no capacity of the nodes above it.
+    usable = leaves
+    for depth in range(1, len(levels) + 1):
+        usable = weighed(usable, list(levels[:depth])).drop("_w")
+    parents = None
+    for depth in range(1, len(levels) + 1):
+        path, above = list(levels[:depth]), list(levels[:depth - 1])
+        nodes = weighed(usable.groupBy(*path).agg(F.sum("_cap").alias("_cap")), path)
         nodes = nodes.join(parents, above) if above else nodes.withColumn("_budget", F.lit(float(budget)))
         order = Window.partitionBy(*above).orderBy(F.col("_cap") / F.col("_w"), path[-1])
         before, whole = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
