@@ -9,12 +9,12 @@ not learn to trust an earlier one's memory of its own training rows. The decisio
 threshold maximises F1 over the last category's out-of-fold probabilities.
 
 The models are fitted on a bounded sample of labelled rows: about ``MAX_LABELLED``,
-drawn by a hash of the id. The vocabulary is the at most ``MAX_VOCABULARY`` words
-found in at least ``MIN_DOCS`` rows of the sample. Scoring reads all texts in whole.
+drawn by a hash of the id. The vocabulary is all words found in at least ``MIN_DOCS``
+rows of the sample. Scoring reads all texts in whole.
 
 Defined cases: a null or empty text has no words and gets the models' bias, but is
-never toxic; ids may be null or repeated (one row per input row); labels that are
-null are skipped, of repeated labels the larger counts; without labelled rows, or
+never toxic; ids may be null or repeated (one row per input row); a null label
+leaves its row out of that category's model only, of repeated labels the larger counts; without labelled rows, or
 where one class is missing, a category's probability is the share of positives (zero
 without rows); an empty table gives no rows; other columns are not read.
 """
@@ -34,7 +34,6 @@ from lakelayer.llm.common import narrow, staged
 from lakelayer.llm.linear import Rows, ftrl, logits
 
 MAX_LABELLED = 8_000
-MAX_VOCABULARY = 30_000
 MIN_DOCS = 5
 FOLDS = 3
 STEM = 5
@@ -89,12 +88,15 @@ def _best_threshold(p: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, vocabulary: dict[str, int], categories: tuple[str, ...]) -> Chain:
-    """``rows``: word numbers of each training text; ``labels``: 0/1, a column per category."""
+    """``rows``: word numbers of each training text; ``labels``: 0/1, NaN where unknown, a
+    column per category. A category's models see the rows whose own label is known; its
+    probabilities are out of fold for all rows."""
     n, size = len(rows), len(vocabulary)
     earlier = np.zeros((n, 0))
     weights = []
     for k in range(len(categories)):
-        y = labels[:, k].astype(np.int64)
+        known = ~np.isnan(labels[:, k])
+        y = np.where(known, labels[:, k], 0).astype(np.int64)
         x = Rows([(np.concatenate([r, np.arange(size, size + k)]).astype(np.int32), np.concatenate([np.ones(len(r)), earlier[i]])) for i, r in enumerate(rows)], size + k)
 
         def fit(which: np.ndarray, y=y, x=x, k=k) -> np.ndarray:
@@ -111,11 +113,12 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, voc
         for f in range(FOLDS):
             out = everyone[folds == f]
             if len(out):
-                w = fit(everyone[folds != f])
+                w = fit(everyone[(folds != f) & known])
                 held[out] = 1 / (1 + np.exp(-np.clip(logits(w[:, None], x, out)[:, 0], -50, 50)))
-        weights.append(fit(everyone))
+        weights.append(fit(everyone[known]))
         earlier = np.column_stack([earlier, held])
-    threshold, f1 = _best_threshold(earlier[:, -1], labels[:, -1].astype(bool)) if n else (2.0, 0.0)
+    last = ~np.isnan(labels[:, -1])
+    threshold, f1 = _best_threshold(earlier[last, -1], labels[last, -1] > 0) if last.any() else (2.0, 0.0)
     # Words without weight in any category need not be looked up.
     used = np.flatnonzero(np.any([w[:size] != 0 for w in weights], axis=0)) if size else np.empty(0, int)
     words = sorted(vocabulary, key=vocabulary.get)
@@ -129,8 +132,10 @@ def train(docs: DataFrame, labels: DataFrame, chain: Mapping[str, str] = CHAIN,
     category to its positive condition over the columns of ``labels`` (keyed by doc_id)."""
     names = tuple(chain)
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), *[F.expr(f"int({sql})").alias(f"_y{k}") for k, sql in enumerate(chain.values())])
-    known = known.dropna().groupBy("_id").agg(*[F.max(f"_y{k}").alias(f"_y{k}") for k in range(len(names))])
-    n = known.count()
+    ys = [f"_y{k}" for k in range(len(names))]
+    known = known.groupBy("_id").agg(*[F.max(y).alias(y) for y in ys]).dropna("all", subset=ys)
+    ids = narrow(docs, id_col, text_col).select(F.col("doc_id").alias("_id"))
+    n = ids.join(known, "_id", "left_semi").count()
     draw = F.pmod(F.xxhash64(F.lit("sample"), "_id"), F.lit(1_000_000))
     known = known.filter(draw < int(1_000_000 * min(1.0, max_labelled / max(n, 1)))) if n > max_labelled else known
     sample = narrow(docs, id_col, text_col).join(known, F.col("doc_id") == F.col("_id"))
@@ -142,11 +147,11 @@ def train(docs: DataFrame, labels: DataFrame, chain: Mapping[str, str] = CHAIN,
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), words], names=[*rest, "words"])
 
     fold = F.pmod(F.xxhash64(F.lit("fold"), "_id"), F.lit(FOLDS)).cast("long")
-    ys = [f"_y{k}" for k in range(len(names))]
     sample = sample.select(fold.alias("fold"), *ys, "text").mapInArrow(split, "fold long, " + ", ".join(f"{y} int" for y in ys) + ", words array<string>")
     sample = staged(sample, "labelled")
     found = sample.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_DOCS)
-    vocabulary = {r["w"]: i for i, r in enumerate(found.orderBy(F.desc("n"), "w").limit(MAX_VOCABULARY).collect())}
+    # Bounded by the sample.
+    vocabulary = {w: i for i, w in enumerate(sorted(r["w"] for r in found.collect()))}
     look = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def number(batches):
@@ -156,9 +161,9 @@ def train(docs: DataFrame, labels: DataFrame, chain: Mapping[str, str] = CHAIN,
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(ids, pa.binary())], names=[*rest, "ids"])
 
     got = sample.mapInArrow(number, "fold long, " + ", ".join(f"{y} int" for y in ys) + ", ids binary").collect()
-    got.sort(key=lambda r: (r["fold"], bytes(r["ids"]), *[r[y] for y in ys]))  # the order of arrival must not matter
+    got.sort(key=lambda r: (r["fold"], bytes(r["ids"]), *[-1 if r[y] is None else r[y] for y in ys]))  # the order of arrival must not matter
     rows = [np.sort(np.frombuffer(bytes(r["ids"]), "<i4")) for r in got]
-    y = np.array([[r[c] for c in ys] for r in got], np.int64).reshape(-1, len(names))
+    y = np.array([[np.nan if r[c] is None else r[c] for c in ys] for r in got], float).reshape(-1, len(names))
     return fit_chain(rows, y, np.array([r["fold"] for r in got], np.int64), vocabulary, names)
 
 
