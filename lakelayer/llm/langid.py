@@ -4,9 +4,12 @@ Features are hashed n-grams (``ORDERS``) of the lower-cased text in which every
 of other characters than letters is one space; the value is ``(1 + log tf) * idf``
 with unit length per text. Document frequencies cover all texts that training may
 use. The weights are fitted by FTRL-proximal with elastic-net penalties (see
-``linear``) on a bounded sample of about ``MAX_TRAIN`` labelled texts drawn by a hash
-of the id; a fifth of it is set aside to fit the temperature by which the scores
-are divided, so that the reported probability is calibrated.
+``linear``) on a bounded sample of labelled texts drawn by a hash of the id: about
+``MAX_TRAIN`` in proportion, but at least about ``LEAST`` of every language (all, if it
+has no more), so that rare languages are learned at every size of the table. A
+fifth of each language's sample is set aside to fit the temperature by which the scores
+are divided, so that the reported probability is calibrated. The sample grows with
+the number of languages only.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; rows
 without label train nothing; without training rows every text is ``und``; ids may be
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from lakelayer.llm.linear import Rows, ftrl, logits, softmax
 
 MAX_TRAIN = 4000
+LEAST = 60
 BITS = 16
 ORDERS = (1, 2, 3)
 L1, L2 = 0.02, 0.01
@@ -131,16 +135,22 @@ def train(docs: DataFrame, allowed: Column, max_train: int = MAX_TRAIN, id_col:
                 names=["key", "lang", "idx", "val"],
             )
 
-    draw = F.pmod(F.xxhash64(F.lit("train"), "key"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_train / n))
-    got = rows.filter(draw).mapInArrow(vectors, "key string, lang string, idx binary, val binary").collect()
-    got = sorted((r for r in got if r["idx"]), key=lambda r: (r["key"], r["lang"], bytes(r["idx"])))
+    # One row per language.
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    shares = [(lang, int(1_000_000 * min(1.0, max(max_train / n, LEAST / size))) + 1) for lang, size in sorted(sizes.items())]
+    drawn = rows.join(F.broadcast(spark.createDataFrame(shares, "lang string, _share int")), "lang")
+    # Not by the key alone: rows of one id are drawn one by one.
+    drawn = drawn.filter(F.pmod(F.xxhash64(F.lit("train"), "key", "text"), F.lit(1_000_000)) < F.col("_share"))
+    got = drawn.select("key", "text", "lang").mapInArrow(vectors, "key string, lang string, idx binary, val binary").collect()
+    got = sorted((r for r in got if r["idx"]), key=lambda r: (r["lang"], r["key"], bytes(r["idx"])))
     model.languages = sorted({r["lang"] for r in got})
     if not got:
         return model
     x = Rows([(np.frombuffer(bytes(r["idx"]), "<i4"), np.frombuffer(bytes(r["val"]), "<f4").astype(float)) for r in got], 1 << BITS)
     y = np.array([model.languages.index(r["lang"]) for r in got])
+    # Rows are sorted by language; every fifth of a language is set aside.
     every = np.arange(len(got))
-    aside = every % 5 == 4
+    aside = (every - np.searchsorted(y, y)) % 5 == 4
     model.weights = ftrl(x, y, len(model.languages), every[~aside], L1, L2, alpha=1.0, epochs=4)
     model.temperature = _temperature(logits(model.weights, x, every[aside]), y[aside])
     return model
