@@ -206,38 +206,42 @@ def links_between(fps: DataFrame, max_bits: int = MAX_BITS, limit: int = LIST_LI
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) per row: the smallest doc_id reachable over links."""
+    """(doc_id, fp, component_id, root) per row: the smallest doc_id reachable over links,
+    and the component's smallest fingerprint (which also names components without ids)."""
     rows = fingerprints(docs, shingle_words, id_col, text_col)
     classes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-classes")
     roots = connected_components(links_between(classes, max_bits))
     joined = staged(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left"), "fingerprint-roots")
     linked = joined.filter("root IS NOT NULL")
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    components = linked.join(lowest, "root").select("fp", "component_id").union(joined.filter("root IS NULL").select("fp", F.col("first").alias("component_id")))
-    return rows.join(staged(components, "fingerprint-components"), "fp").select("doc_id", "fp", "component_id")
+    alone = joined.filter("root IS NULL").select("fp", F.col("first").alias("component_id"), F.col("fp").alias("root"))
+    components = linked.join(lowest, "root").select("fp", "component_id", "root").union(alone)
+    return rows.join(staged(components, "fingerprint-components"), "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id (rows
-    without id only where no member has one, and then one per fingerprint), of several rows with that id the one
-    whose columns sort first. All columns pass through."""
+    """``docs`` with one row of each component: the one with the smallest id (a row without
+    id only where no member has one), of several such rows the one whose columns sort
+    first. All columns pass through."""
     found = staged(near_duplicates(docs, shingle_words, max_bits, id_col, text_col), "near-duplicates")
-    kept = found.filter("doc_id <=> component_id").groupBy("doc_id", "fp").agg(F.count("*").alias("n"))
-    kept = staged(kept.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "n"), "kept-ids")
-    ids = kept.groupBy("_id").agg(F.sum("n").alias("n"))
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_id"))
+    own = docs[id_col].cast("long")
+    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
+    times = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"))
+    ids = staged(times.join(kept, F.col("_id") == F.col("doc_id"), "left_semi"), "kept-ids")
     # One plan at every size: the ids grow with the input, so they are never broadcast,
     # and each task hashes its narrow ids instead of sorting whole texts.
-    lone = ids.filter("n = 1 AND _id IS NOT NULL").select("_id").hint("shuffle_hash")
-    single = docs.join(lone, docs[id_col].cast("long") == F.col("_id"), "left_semi")
-    several = ids.filter("n > 1 OR _id IS NULL").select("_id")
-    if several.isEmpty():
+    single = docs.join(ids.filter("n = 1").select("_id").hint("shuffle_hash"), own == F.col("_id"), "left_semi")
+    several = ids.filter("n > 1").select("_id")
+    unnamed = docs.filter(own.isNull())
+    if several.isEmpty() and found.filter("doc_id IS NULL AND component_id IS NULL").isEmpty():
         return single
 
-    # Repeated ids: choose among the rows of one id, one per component.
+    # Repeated ids and rows without id: choose among the rows of a component. An id's
+    # rows may be in several components, and count only where the id is the smallest.
     fp_of = F.pandas_udf(lambda texts: texts.map(lambda t: fingerprint(t, shingle_words)), "long")
-    rows = docs.join(several, same, "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), fp_of(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("_fp"), docs[id_col].cast("long").alias("_doc"))
-    components = found.groupBy("fp").agg(F.min("component_id").alias("component_id"), F.min("fp").alias("_any")).select(F.col("fp").alias("_fp"), "component_id")
-    roots = rows.join(components, "_fp").filter(F.col("_doc").eqNullSafe(F.col("component_id")))
-    one = roots.groupBy("_doc", "component_id", F.when(F.col("_doc").isNull(), F.col("_fp")).alias("_g")).agg(F.min("_row").alias("_row"))
+    rows = docs.join(several.hint("shuffle_hash"), own == F.col("_id"), "left_semi").union(unnamed)
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), fp_of(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("_fp"), F.col(f"`{id_col}`").cast("long").alias("_doc"))
+    components = found.groupBy(F.col("fp").alias("_fp")).agg(F.min("component_id").alias("component_id"), F.min("root").alias("_root"))
+    chosen = rows.join(components, "_fp").filter(F.col("_doc").eqNullSafe(F.col("component_id")))
+    one = chosen.groupBy("_root").agg(F.min("_row").alias("_row"))
     return single.union(one.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))
