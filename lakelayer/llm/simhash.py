@@ -221,8 +221,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id (a row without
-    id only where no member has one), of several such rows the one whose columns sort
-    first. All columns pass through."""
+    id only where no member has one), of several rows with that id the one whose columns
+    sort first. All columns pass through."""
     found = staged(near_duplicates(docs, shingle_words, max_bits, id_col, text_col), "near-duplicates")
     own = docs[id_col].cast("long")
     kept = found.filter("doc_id = component_id").select("doc_id").distinct()
@@ -243,5 +243,6 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
     rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), fp_of(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("_fp"), F.col(f"`{id_col}`").cast("long").alias("_doc"))
     components = found.groupBy(F.col("fp").alias("_fp")).agg(F.min("component_id").alias("component_id"), F.min("root").alias("_root"))
     chosen = rows.join(components, "_fp").filter(F.col("_doc").eqNullSafe(F.col("component_id")))
-    one = chosen.groupBy("_root").agg(F.min("_row").alias("_row"))
+    group = F.when(F.col("_doc").isNull(), F.col("_root"))
+    one = chosen.groupBy("_doc", group.alias("_group")).agg(F.min("_row").alias("_row"))
     return single.union(one.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))

@@ -14,7 +14,8 @@ rows of the sample. Scoring reads all texts in whole.
 
 Defined cases: a null or empty text has no words and gets the models' bias, but is
 never toxic; ids may be null or repeated (one row per input row); a null label
-leaves its row out of that category's model only, of repeated labels the larger counts; without labelled rows, or
+leaves its row out of that category's model only, of repeated labels the larger counts, and
+labels of null or empty texts are not used; without labelled rows, or
 where one class is missing, a category's probability is the share of positives (zero
 without rows); an empty table gives no rows; other columns are not read.
 """
@@ -134,11 +135,12 @@ def train(docs: DataFrame, labels: DataFrame, chain: Mapping[str, str] = CHAIN,
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), *[F.expr(f"int({sql})").alias(f"_y{k}") for k, sql in enumerate(chain.values())])
     ys = [f"_y{k}" for k in range(len(names))]
     known = known.groupBy("_id").agg(*[F.max(y).alias(y) for y in ys]).dropna("all", subset=ys)
-    ids = narrow(docs, id_col, text_col).select(F.col("doc_id").alias("_id"))
-    n = ids.join(known, "_id", "left_semi").count()
+    # A text without a character teaches nothing.
+    texts = narrow(docs, id_col, text_col).filter("text <> ''")
+    n = texts.select(F.col("doc_id").alias("_id")).join(known, "_id", "left_semi").count()
     draw = F.pmod(F.xxhash64(F.lit("sample"), "_id"), F.lit(1_000_000))
     known = known.filter(draw < int(1_000_000 * min(1.0, max_labelled / max(n, 1)))) if n > max_labelled else known
-    sample = narrow(docs, id_col, text_col).join(known, F.col("doc_id") == F.col("_id"))
+    sample = texts.join(known, F.col("doc_id") == F.col("_id"))
 
     def split(batches):
         for batch in batches:

@@ -103,6 +103,20 @@ def test_near_duplicates_odd_rows(spark):
     assert simhash.keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_with_repeated_and_missing_ids(spark):
+    base = " ".join(f"word{i}" for i in range(300))
+    near = base + " end"
+    other = " ".join(f"other{i}" for i in range(300))
+    assert simhash.fingerprint(base, 4) != simhash.fingerprint(other, 4)
+    keep = lambda rows: sorted((r.doc_id or -1, r.text[:6]) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    # The second row of id 5 is a text of its own; the first is a copy of 3.
+    assert keep([(3, base), (5, near), (5, other)]) == [(3, "word0 "), (5, "other0")]
+    # Near copies without ids: one stays; unless a member has an id, then that one.
+    assert keep([(None, base), (None, near), (None, other), (None, other)]) == [(-1, "other0"), (-1, "word0 ")]
+    assert keep([(None, base), (None, near), (7, near), (None, other)]) == [(-1, "other0"), (7, "word0 ")]
+    assert keep([(7, base), (7, near), (7, base)]) == [(7, "word0 ")]
+
+
 # ------------------------------------------------------------------- search
 def plain_search(rows, k):
     words = [collections.Counter((t or "").encode().lower().split()) for _, t in rows]
@@ -192,6 +206,8 @@ def plain_budgets(caps, weights, budget):
             total -= sum(x[0] for x in short.values())
         return given
 
+    # Tokens under a zero weight are no capacity.
+    caps = {leaf: c for leaf, c in caps.items() if all(weights.get(leaf[:d], 1.0) > 0 for d in (1, 2, 3))}
     out, parents = {}, {(): budget}
     for depth in (1, 2, 3):
         found = {}
@@ -216,6 +232,43 @@ def test_budgets_go_to_siblings_before_ancestors(spark):
         assert got == {k: int(v + 1e-6) for k, v in want.items()}, budget
 
 
+def test_zero_weights_below_the_top_leave_no_gap(spark):
+    leaves = spark.createDataFrame([("a", "x", "1", 1000), ("a", "y", "1", 100), ("b", "x", "1", 5000), ("b", "x", "2", 70)], "d string, l string, s string, tokens long")
+    for weights in ({("a", "x"): 0.0}, {("a", "x"): 0.0, ("b", "x", "2"): 0.0}, {("b", "x", "1"): 0.0}, {(None, "x"): 0.0}):
+        got = {(r.d, r.l, r.s): r.budget for r in mixing.allocate(leaves, ["d", "l", "s"], weights, 1000.0, 1.0).collect()}
+        plain = {(d, "x") if k == (None, "x") else k: w for k, w in weights.items() for d in ("a", "b")}
+        want = plain_budgets({tuple(r[:3]): r.tokens for r in leaves.collect()}, plain, 1000.0)
+        assert got == {k: int(v + 1e-6) for k, v in want.items()}
+        assert sum(got.values()) >= min(1000, sum(r.tokens for r in leaves.collect() if tuple(r[:3]) in want)) - 2
+
+
+def test_op4_against_sorting_every_leaf(spark):
+    """The registered query: every leaf's rows in the seeded order, taken up to its budget."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    domain = F.regexp_extract(F.coalesce("source", F.lit("")), "^[A-Za-z]*", 0)
+    tie = F.xxhash64("text")
+    orders = [F.xxhash64(F.lit(queries.MIX_SEED), F.lit(e).cast("long"), F.col("doc_id"), tie).alias(f"h{e}") for e in range(5)]
+    rows = docs.select("doc_id", domain.alias("d"), F.coalesce("lang", F.lit("")).alias("l"), F.coalesce("source", F.lit("")).alias("s"), "text", *orders).collect()
+    leaves = collections.defaultdict(list)
+    for r in rows:
+        leaves[r.d, r.l, r.s].append((r, len(re.findall("[^\x20\x09-\x0d]+", r.text or ""))))
+    held = {leaf: sum(n for _, n in some) for leaf, some in leaves.items()}
+    weights = {(d, lang): w for d, _, _ in leaves for lang, w in queries.LANGUAGE_WEIGHTS.items()}
+    budgets = plain_budgets({leaf: 4 * n for leaf, n in held.items()}, weights, sum(held.values()))
+    want = {}
+    for leaf, some in leaves.items():
+        budget = int(budgets[leaf] + 1e-6)
+        whole = budget // held[leaf] if held[leaf] else 0
+        rest, used = budget - whole * held[leaf], 0
+        for r, n in sorted(some, key=lambda x: (x[0][f"h{whole}"] % 2**64, x[0].doc_id)):
+            used += n
+            epochs = whole + (used <= rest and whole < 4)
+            if epochs:
+                want[r.doc_id] = (*leaf, n, epochs)
+    got = {r.doc_id: (r.domain, r["lang"], r.source, r.n_tokens, r.epochs) for r in queries.op4_source_mix(spark, SF).collect()}
+    assert got == want and len(set(x[-1] for x in want.values())) > 1
+
+
 def test_weights_for_a_name_under_every_parent(spark):
     tokens = {(d, l, s): 100 * (i + 1) for i, (d, l, s) in enumerate((d, l, s) for d in "abc" for l in ("en", "de") for s in "12")}
     leaves = spark.createDataFrame([(*k, v) for k, v in tokens.items()], "d string, l string, s string, tokens long")

@@ -73,6 +73,36 @@ def test_op3_on_labelled_rows(spark):
     got = queries.op3_toxicity_chain(spark, SF).withColumnRenamed("toxic", "decided").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     n = {(r.toxic, r.decided): r["count"] for r in got.groupBy("toxic", "decided").count().collect()}
     assert n[0, False] >= 0.95 * (n[0, False] + n.get((0, True), 0))
+    assert n.get((1, True), 0) >= 0.7 * (n.get((1, True), 0) + n.get((1, False), 0))
+
+
+def test_null_labels_leave_out_their_category_only(spark):
+    """Without any quality label the toxic texts are still learned and caught; labels
+    without a document do not count."""
+    rows = corpus(600)
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
+    labels = [(i, None, toxic) for i, _, _, toxic in rows[:400]] + [(10_000 + i, 1, 0) for i in range(5000)]
+    chain = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), max_labelled=400)
+    kept = {r.doc_id for r in toxicity.reject(docs, chain).collect()}
+    toxic = {i for i, _, _, t in rows if t}
+    assert chain.threshold < 1 and len(toxic & kept) <= 0.05 * len(toxic) and len(kept - toxic) >= 0.98 * (600 - len(toxic))
+    # Some rows have one label, some the other, some none.
+    mixed = [(i, q if i % 3 else None, x if i % 3 != 1 else None) for i, _, q, x in rows]
+    chain = toxicity.train(docs, spark.createDataFrame(mixed, "doc_id long, quality int, toxic int"))
+    kept = {r.doc_id for r in toxicity.reject(docs, chain).collect()}
+    assert len(toxic & kept) <= 0.05 * len(toxic) and len(kept - toxic) >= 0.98 * (600 - len(toxic))
+
+
+def test_rare_languages_are_learned_at_every_size(spark):
+    rng = random.Random(4)
+    words = {"en": ["the", "house", "green", "with", "water"], "ru": ["дом", "вода", "зелёный", "это", "большой"]}
+    rows = [(i, " ".join(rng.choices(words["en"], k=12)), "en") for i in range(9000)]
+    rows += [(100_000 + i, " ".join(rng.choices(words["ru"], k=12)), "ru") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, F.lit(True), max_train=500)
+    assert model.languages == ["en", "ru"]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(df.filter("doc_id >= 100000 OR doc_id < 50"), model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows if i in got)
 
 
 def test_ftrl_gives_sparse_weights_that_separate():

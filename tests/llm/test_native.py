@@ -196,3 +196,24 @@ def test_ibans_before_capitals_and_numbers(spark):
     assert [got[i] for i in range(len(texts))] == [want for _, want in IBAN_TEXTS]
     text = {r.doc_id: r.text for r in pii.redact(docs(spark, texts)).collect()}
     assert text[1] == "IBAN [IBAN] BIC COBADEFFXXX" and text[2] == "IBAN [IBAN] Please pay" and text[3] == "[IBAN] [IBAN]."
+
+
+def test_a_megabyte_of_matches_is_linear(spark):
+    """Spans and replacements of texts with very many matches, against plain positions."""
+    import time
+
+    n = 70_000
+    text = " ".join(f"10.{i // 256 % 256}.0.{i % 256}" for i in range(n)) + " é"
+    ibans = " ".join(["x DE89 3704 0044 0532 0130 00"] * 3000)
+    df = spark.createDataFrame([(1, text), (2, ibans), (3, "")], "doc_id long, text string")
+    began = time.time()
+    out = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    spans = {r.doc_id: r.spans for r in pii.detect(df).collect()}
+    assert time.time() - began < 60
+    assert out[1] == " ".join(["[IP]"] * n) + " é" and out[2] == " ".join(["x [IBAN]"] * 3000) and out[3] == ""
+    at, want = 0, []
+    for part in text.split(" ")[:n]:
+        want.append((at, at + len(part)))
+        at += len(part) + 1
+    assert [(s.start, s.end) for s in spans[1] if s.kind == "ip"] == want
+    assert len([s for s in spans[2] if s.kind == "iban"]) == 3000
