@@ -7,8 +7,9 @@ page, so a decision holds for the whole connected component: a URL without a rul
 is allowed if a member has an explicit allow, else blocked if a member is blocked,
 else allowed. A URL's own rule always comes first.
 
-Graph nodes are URLs without fragment and dot segments and with scheme and host in
-lower case. Relative links are resolved against the page's URL, or its first
+Graph nodes are URLs without fragment, dot segments and the scheme's default port and with
+scheme and host in lower case. Tags in HTML comments are none, and character references in links
+(``&amp;``, ``&#38;`` ...) are decoded. Relative links are resolved against the page's URL, or its first
 ``<base href>``, as in RFC 3986; links of a scheme without ``//`` (mailto) are none.
 Link targets that are no row of the table take part with their own rules.
 
@@ -20,6 +21,8 @@ not read. All canonical links and refreshes of a text count.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,7 @@ LINK, META, BASE = "(?is)<link\\b[^>]*>", "(?is)<meta\\b[^>]*>", "(?is)<base\\b[
 CANONICAL = "(?is)\\brel\\s*=\\s*(?:\"[^\"]*(?<![^\\s\"])canonical(?![^\\s\"])|'[^']*(?<![^\\s'])canonical(?![^\\s'])|canonical\\b)"
 REFRESH = "(?is)\\bhttp-equiv\\s*=\\s*[\"']?\\s*refresh\\b"
 HREF = "(?is)\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)"
-GOAL = "(?is)\\burl\\s*=\\s*[\"']?([^\"'\\s>;]+)"
+GOAL = "(?is)\\burl\\s*=\\s*[\"']?([^\"'\\s>]+)"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -63,7 +66,40 @@ def node(url: Column) -> Column:
     at = F.instr(url, "://")
     scheme = F.lower(F.substring(url, F.lit(1), at - 1))
     query = F.regexp_extract(F.substring(url, at + 3, F.length(url)), "^[^?#]*(\\?[^#]*)", 1)
-    return F.when(at > 0, F.concat(scheme, F.lit("://"), host, without_dots(path), query))
+    port = F.when(scheme == "http", F.lit(":(80)?$")).when(scheme == "https", F.lit(":(443)?$")).otherwise(F.lit(":$"))
+    return F.when(at > 0, F.concat(scheme, F.lit("://"), F.regexp_replace(host, port, F.lit("")), without_dots(path), query))
+
+
+#: Named character references that occur in links.
+NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "colon": ":", "sol": "/", "quest": "?", "equals": "=", "num": "#"}
+REFERENCE = "&(?:" + "|".join(NAMED) + "|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});"
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` written, and computed, once however often it is used:
+    a lambda over one element names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def decoded(value: Column) -> Column:
+    """Character references decoded once; unknown code points stay as written."""
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def char(code: Column) -> Column:
+        real = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def one(ref: Column) -> Column:
+        digits = F.when(ref.rlike("^&#[xX]"), F.conv(F.substring(ref, F.lit(4), F.length(ref) - 4), 16, 10)).otherwise(F.substring(ref, F.lit(3), F.length(ref) - 3))
+        name = F.try_element_at(names, F.substring(ref, F.lit(2), F.length(ref) - 2))
+        return F.coalesce(F.when(ref.startswith("&#"), once(digits.try_cast("int"), char)).otherwise(name), ref)
+
+    def every(text: Column) -> Column:
+        refs = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), one)
+        joined = once(refs, lambda r: F.array_join(F.transform(F.split(text, REFERENCE, -1), lambda p, i: F.concat(p, F.coalesce(F.get(r, i), F.lit("")))), ""))
+        return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
+
+    return once(value, every)
 
 
 def resolved(link: Column, base: Column) -> Column:
@@ -86,17 +122,19 @@ def resolved(link: Column, base: Column) -> Column:
 def html_links(pages: DataFrame) -> DataFrame:
     """(a, b) nodes from the canonical links and the refreshes of each page."""
     pages = pages.filter(F.col("url").contains("://") & F.col("html").rlike("(?i)canonical|http-equiv"))
+    pages = pages.withColumn("html", F.regexp_replace("html", "(?s)<!--.*?(?:-->|$)", " "))
 
     def targets(tag: str, holds: str, value: str) -> Column:
         tags = F.filter(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: t.rlike(holds))
-        return F.transform(tags, lambda t: F.regexp_extract(t, value, 1))
+        return F.transform(tags, lambda t: decoded(F.regexp_extract(t, value, 1)))
 
     links = F.concat(targets(LINK, CANONICAL, HREF), targets(META, REFRESH, GOAL))
-    base = F.regexp_extract(F.regexp_extract("html", BASE, 0), HREF, 1)
+    base = decoded(F.regexp_extract(F.regexp_extract("html", BASE, 0), HREF, 1))
     target = pages.select("url", base.alias("base"), F.explode(F.array_distinct(links)).alias("t")).filter("t <> ''")
-    base = F.when(F.col("base") == "", F.col("url")).otherwise(F.coalesce(resolved(F.col("base"), F.col("url")), F.col("url")))
-    target = target.select("url", "t", base.alias("base"))
-    return target.select(node(F.col("url")).alias("a"), node(resolved(F.col("t"), F.col("base"))).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
+    page = F.col("url")
+    base = once(F.col("base"), lambda b: F.when(b == "", page).otherwise(F.coalesce(resolved(b, page), page)))
+    goal = once(base, lambda b: resolved(F.col("t"), b))
+    return target.select(node(page).alias("a"), once(goal, node).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
 
 
 def longest_rule(urls: DataFrame, key: str, rules: DataFrame) -> DataFrame:

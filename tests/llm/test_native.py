@@ -217,3 +217,21 @@ def test_a_megabyte_of_matches_is_linear(spark):
         at += len(part) + 1
     assert [(s.start, s.end) for s in spans[1] if s.kind == "ip"] == want
     assert len([s for s in spans[2] if s.kind == "iban"]) == 3000
+
+
+def test_references_comments_and_default_ports(spark):
+    link = '<link rel="canonical" href="{}">'
+    spam = link.format("http://spam.org/1")
+    pages = [
+        (1, "http://a.com/x?p=1&q=2", None), (2, "http://spam.org/p", link.format("http://a.com/x?p=1&amp;q=2")),
+        (3, "http://b.com/?a=1&b=é", None), (4, "http://spam.org/q", '<meta http-equiv="refresh" content="0; url=http://b.com/?a=1&#38;b=&#xE9;">'),
+        (5, "http://c.com/1", f"<!-- {spam} -->"), (6, "http://c.com/2", f"<!-- open {spam}"), (7, "http://c.com/3", f"<!-- a --> {spam} <!-- b -->"),
+        (8, "http://d.com:80/1", None), (9, "https://e.com/1", None), (10, "http://spam.org/r", link.format("http://d.com/1") + link.format("HTTPS://E.com:443/1") + link.format("http://f.com:8080/1")),
+        (11, "http://f.com:8080/1", None), (12, "http://f.com/1", None), (13, "http://g.com/?a=&amp;b", None), (14, "http://spam.org/s", link.format("http://g.com/?a=&amp;amp;b") + link.format("http://h.com/&unknown;&#0;&#xD800;")),
+        (15, "http://h.com/&unknown;&#0;&#xD800;", None), (16, "http://d.com/1", None),
+    ]
+    got = {i: r for i, r in judged(spark, pages).items()}
+    verdicts = {i: r[3] for i, r in got.items()}
+    blocked = {i for i, v in verdicts.items() if v == "block"}
+    assert blocked == {1, 2, 3, 4, 7, 8, 9, 10, 11, 13, 14, 15, 16}
+    assert got[8][0] == "d.com:80"  # the host is reported as written
