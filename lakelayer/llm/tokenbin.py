@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakelayer.llm.common import filesystem, narrow
+from lakelayer.llm.common import filesystem, narrow, qualified
 from lakelayer.llm.pieces import encoder
 from lakelayer.session import scratch_path
 
@@ -41,7 +41,7 @@ READ_IDS = 1_000_000
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, out_dir: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write the files and the manifest; returns their folder."""
     spark = docs.sparkSession
-    out_dir = out_dir or scratch_path(spark, "token-ids")
+    out_dir = qualified(spark, out_dir or scratch_path(spark, "token-ids"))
 
     def store(batches):
         fs, folder = filesystem(out_dir)
@@ -91,6 +91,7 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, from the files: ``doc_id``, ``start`` (ids of all documents
     before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit)."""
+    folder = qualified(spark, folder)
 
     def load(batches):
         fs, root = filesystem(folder)

@@ -165,3 +165,23 @@ def test_equals_piece_by_piece_packing():
             packs.append(n)
     got = sorted(sum(a * b for a, b in pattern) for count, pattern in packing.shortest_pack_first(histogram, 100) for _ in range(count))
     assert len(got) == len(packs) and sum(got) == sum(packs)
+
+
+def test_one_file_system_for_spark_and_workers(spark, tmp):
+    from pyarrow import fs as pafs
+
+    from lakelayer.llm.common import filesystem, qualified
+
+    assert qualified(spark, tmp).startswith("file:/") and qualified(spark, f"file:{tmp}") == qualified(spark, tmp)
+    fs, path = filesystem(qualified(spark, tmp))
+    assert isinstance(fs, pafs.LocalFileSystem) and path == tmp
+    for uri in ("s3a://bucket/a b/c", "s3n://bucket/a b/c", "s3://bucket/a b/c"):
+        fs, path = filesystem(uri)
+        assert isinstance(fs, pafs.S3FileSystem) and path == "bucket/a b/c"
+    with pytest.raises(ValueError):
+        filesystem("/no/scheme")
+    with pytest.raises(Exception, match="(?i)unrecognized|unknown|nosuch"):
+        filesystem("nosuch://x/y")
+    # A path without scheme is written and read where Spark resolves it.
+    folder = tokenbin.write(docs(spark, ROWS), P.path(FILES[0]), end_id=2, out_dir=f"{tmp}/ids")
+    assert folder == qualified(spark, f"{tmp}/ids") and tokenbin.read(spark, f"{tmp}/ids").count() == len(ROWS)
