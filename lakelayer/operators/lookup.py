@@ -1,9 +1,8 @@
 """Lookups (code translation) with a size-checked broadcast.
 
-A lookup side is broadcast only when its size is bounded: either it is a fixed
-table whose row count is known when it is built, or its rows are counted
-first and compared with a limit. Above the limit the join is left to the
-planner (shuffle join, AQE may still switch to broadcast at run time).
+A lookup side is marked for broadcast only when its row count is known (a fixed table,
+or a count that the caller has made) and within a limit. All others are left to the
+planner, which goes by their bytes (and AQE by the bytes measured at run time).
 """
 
 from __future__ import annotations
@@ -15,8 +14,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if known_rows is not None and known_rows <= max_rows else df
 
 
 def lookup_table(spark: SparkSession, mapping: dict[str, str], key: str = "code", value: str = "label") -> tuple[DataFrame, int]:

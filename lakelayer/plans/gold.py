@@ -149,7 +149,7 @@ def fact_orders(
     to zero), so that a sum over the fact counts it once.
     """
     def small(df):
-        return bounded_broadcast(df, max_rows=broadcast_rows) if broadcast_rows else df
+        return bounded_broadcast(df, max_rows=broadcast_rows, known_rows=df.count()) if broadcast_rows else df
 
     # Order-grain lookups first: customer (as of the purchase date), its
     # geography, payments and reviews attach to the orders, which are several
