@@ -167,20 +167,28 @@ def _two_snapshots(spark, first, second, key, tracked, sk, name) -> KeyedTable:
     return t
 
 
-def dim_customer_history(spark, sf_dir) -> KeyedTable:
+def customer_history(spark, sf_dir) -> KeyedTable:
     """Two snapshots: in the second one every third customer moves to the segment ``vip``."""
     c = customers(spark, sf_dir)
     second = c.withColumn("segment", F.when(F.col("customer_id") % 3 == 0, F.lit("vip")).otherwise(F.col("segment")))
     return _two_snapshots(spark, c, second, "customer_id", ["state", "segment"], "customer_sk", "dim-customer")
 
 
-def dim_product_history(spark, sf_dir) -> KeyedTable:
+def product_history(spark, sf_dir) -> KeyedTable:
     """Two snapshots: in the second one every fourth product moves to ``clearance``."""
     p = products(spark, sf_dir)
     second = p.withColumn("category", F.when(F.col("product_id") % 4 == 0, F.lit("clearance")).otherwise(F.col("category")))
     return _two_snapshots(spark, p, second, "product_id", ["category", "unit_price_cents", "weight_g"], "product_sk", "dim-product")
 
 
+def dim_customer_history(spark, sf_dir) -> DataFrame:
+    return customer_history(spark, sf_dir).read()
+
+
+def dim_product_history(spark, sf_dir) -> DataFrame:
+    return product_history(spark, sf_dir).read()
+
+
 def dim_seller_upsert(spark, sf_dir) -> DataFrame:
     """A load, then an upsert in which some sellers are renamed, some are gone and some are new."""
     s = sellers(spark, sf_dir)
@@ -281,8 +289,8 @@ def fact_orders_history(spark, sf_dir) -> DataFrame:
         spark,
         sf_dir,
         items(spark, sf_dir),
-        dim_customer_history(spark, sf_dir).read_as_of(),
-        dim_product_history(spark, sf_dir).read_as_of(),
+        customer_history(spark, sf_dir).read_as_of(),
+        product_history(spark, sf_dir).read_as_of(),
         dim_seller_upsert(spark, sf_dir),
         dim_geography_upsert(spark, sf_dir),
         allocate_payments=True,
