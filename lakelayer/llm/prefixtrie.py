@@ -431,3 +431,41 @@ def trie(turns: DataFrame, convs: DataFrame, limit: int = QUEUE_ROWS) -> DataFra
     tree = tree.join(F.broadcast(number), "shard").drop("shard").withColumnRenamed("_number", "shard")
     bounds = [k for k, _ in firsts] or [(0, 0)]
     return subtree_totals(tree, ["n_leaves", "saved_tokens"], bounds, limit).drop("shard", "parent_depth")
+
+
+#: The query's rows: conversations rebuilt with up to five turns of their hundred's head.
+#: ``crc`` computes CRC-32 byte by byte from a table made by the polynomial.
+ORACLE_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                                  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own), crc),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, role, text FROM (
+    SELECT c.conv_id, 0 AS part, pos, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
+    UNION ALL SELECT c.conv_id, 1, pos, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND pos > h)),
+paths AS (
+  SELECT conv_id, depth, length(text) AS chars,
+         string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path
+  FROM turns UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+placed AS (
+  SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS above, depth = max(depth) OVER (PARTITION BY conv_id) AS is_end FROM paths),
+nodes AS (
+  SELECT depth, path, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) * (count(*) - 1) AS own, bool_and(is_end) AS leaf,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM placed GROUP BY depth, path),
+sums AS (
+  SELECT p.depth, p.path, sum(leaf::INT) AS n_leaves, sum(own) AS saved
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.depth, p.path),
+children AS (SELECT depth - 1 AS depth, above AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.depth = n.depth AND s.path = n.path
+     LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.above LEFT JOIN children c ON c.depth = n.depth AND c.path = n.path
+"""

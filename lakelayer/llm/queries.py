@@ -134,3 +134,8 @@ def op12_spelling_variants(spark, sf_dir):
 @query
 def op13_repeated_passages(spark, sf_dir):
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), size=35)
+
+
+ORACLE["op11_prefix_trie"] = prefixtrie.ORACLE_SQL
+ORACLE["op12_spelling_variants"] = spelling.ORACLE_SQL
+ORACLE["op13_repeated_passages"] = substrings.ORACLE_SQL

@@ -16,7 +16,7 @@ from tools.oracle_check import norm, rows_of, type_mismatches
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_oracle(spark, name, sf):
     con = duckdb.connect()
-    for t in "documents pages labels benchmark".split():
+    for t in "documents pages labels benchmark conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/{sf}/{t}.parquet')")
     df = queries.QUERIES[name](spark, f"/root/testdata/{sf}")
     rel = con.execute(queries.ORACLE[name])
