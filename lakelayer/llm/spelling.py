@@ -361,3 +361,37 @@ def forms(found: DataFrame, times: int = 2) -> DataFrame:
             break
         up = up.join(further, F.col("root") == F.col("_w"), "left").select("word", F.coalesce("_r", "root").alias("root"))
     return rows.join(up, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+#: The query's rows, by strings with one code point left out instead of an index. ``crc``
+#: computes CRC-32 byte by byte from a table made by the polynomial.
+ORACLE_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(x), 2),
+           lambda i: (16 * (strpos('0123456789ABCDEF', substr(x, i + 1, 1)) - 1) + strpos('0123456789ABCDEF', substr(x, i + 2, 1)) - 1)::BIGINT)),
+         lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM (SELECT w, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x FROM runs), crc),
+vocab AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+gaps AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+near AS (
+  SELECT x.word, y.word AS other FROM gaps x JOIN gaps y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT g.word, v.word FROM gaps g JOIN vocab v ON v.word = g.a || g.b
+  UNION SELECT v.word, g.word FROM gaps g JOIN vocab v ON v.word = g.a || g.b),
+best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(struct_pack(w := other, n := v.n), struct_pack(m := -v.n, w := other)) AS f
+  FROM near JOIN vocab v ON v.word = other GROUP BY near.word),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN f.n >= 2 * v.n THEN f.w END AS form, CASE WHEN f.n >= 2 * v.n THEN f.n END AS form_n
+  FROM vocab v LEFT JOIN best ON best.word = v.word),
+chain(word, last) AS (SELECT word, word FROM forms UNION ALL SELECT chain.word, form FROM chain JOIN forms ON forms.word = chain.last WHERE form IS NOT NULL)
+SELECT forms.word, forms.form, root.last AS root, forms.n, forms.n_near::BIGINT AS n_near, forms.form_n
+FROM forms JOIN (SELECT chain.word, chain.last FROM chain JOIN forms f ON f.word = chain.last WHERE f.form IS NULL) root ON root.word = forms.word
+"""

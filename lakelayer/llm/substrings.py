@@ -420,3 +420,17 @@ def remove_repeats(docs: DataFrame, size: int, id_col: str = "doc_id", text_col:
     rest = marked.filter("docs IS NOT NULL")
     answers = _answered(_asked(rest, lambda t: _verify_names(t, size), n_buckets), wide=True)
     return results.union(_closed(rest, answers, size, n_buckets))
+
+
+#: The query's rows, by the texts of all windows.
+ORACLE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS words FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY words) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM repeated),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS words, count(*) AS n
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
