@@ -45,7 +45,7 @@ ROUNDS = 3
 #: Rows of about a megabyte are read a few at a time.
 _STORE = {"compression": "uncompressed", "parquet.block.size": 16 << 20}
 #: Names that one receiving group should hold.
-BUCKET_NAMES = 4_000_000
+BUCKET_NAMES = 1_000_000
 #: Words whose hashes a worker keeps.
 HELD_WORDS = 300_000
 
