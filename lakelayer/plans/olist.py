@@ -37,19 +37,20 @@ SOURCES = [
 
 
 def silver_specs() -> dict:
-    """Per source: natural key, dedup order, string cleaning and quality rules
+    """Per source: natural key (None: the whole row), zip column, dedup order, string cleaning and quality rules
     (built on call: rules are Spark columns)."""
     return {
         "olist_orders": dict(key=["order_id"], order_by=["purchase_ts"], lower=["order_status"],
                              rules=[dq.Rule.not_null("purchase_ts")]),
         "olist_order_items": dict(key=["order_id", "order_item_id"], order_by=["shipping_limit_ts"],
                                   rules=[dq.Rule.in_range("price", 0, 1e9)]),
-        "olist_customers": dict(key=["customer_id"], order_by=["customer_unique_id"], trim=["city"], lower=["city"], upper=["state"]),
+        "olist_customers": dict(key=["customer_id"], zip="zip_code", order_by=["customer_unique_id"], trim=["city"], lower=["city"], upper=["state"]),
         "olist_products": dict(key=["product_id"], order_by=["weight_g"], trim=["category_name_pt"]),
-        "olist_sellers": dict(key=["seller_id"], order_by=["zip_code"], trim=["city"], lower=["city"], upper=["state"]),
+        "olist_sellers": dict(key=["seller_id"], zip="zip_code", order_by=["zip_code"], trim=["city"], lower=["city"], upper=["state"]),
         "olist_payments": dict(key=["order_id", "payment_sequential"], order_by=["payment_value"], lower=["payment_type"]),
         "olist_reviews": dict(key=["review_id"], order_by=["answer_ts", "creation_ts"],
                               rules=[dq.Rule.in_range("score", 1, 5)]),
+        "olist_geolocation": dict(key=None, zip="zip_code_prefix", order_by=[]),
     }
 
 
@@ -75,42 +76,62 @@ def _bronze_clean(spark, root, name, after: int) -> tuple[DataFrame, int]:
     t = PathTable(spark, f"{root}/bronze/{name}")
     version = t.version()
     rows = t.read(version, after=after, with_commit=True).filter(F.col(Q.STATUS_COL) == Q.CLEAN)
-    # Of the batches only the new ones are looked up: one row per batch.
+    # One row per batch.
     numbers = spark.createDataFrame(sorted(t.batch_numbers().items()) or [], f"{BATCH_COL} string, _batch_number long")
     rows = rows.withColumn(BATCH_COL, F.col(BATCH_COL).cast("string")).join(F.broadcast(numbers), BATCH_COL, "left")
     return rows.withColumnRenamed(COMMIT_COL, "_commit_number").drop(*TECHNICAL), version
 
 
+def _outdated(spark, root, name, table: KeyedTable, done: int) -> DataFrame | None:
+    """Keys whose silver row comes from an earlier run of a batch that has been rerun since;
+    the rerun may hold the key no more. None if no merged batch was rerun."""
+    bronze = PathTable(spark, f"{root}/bronze/{name}")
+    first = bronze.batch_numbers()
+    rerun = [(first[b], last) for b, last in bronze.batch_reruns().items() if first[b] <= done < last]
+    if not rerun or not table.exists():
+        return None
+    runs = spark.createDataFrame(rerun, "_batch_number long, _last long")
+    rows = table.read().join(F.broadcast(runs), "_batch_number").filter(F.col("_commit_number") < F.col("_last"))
+    return rows.select(*table.keys)
+
+
 def run_silver(spark: SparkSession, root: str, quality_mode: str = "warn", only: list[str] | None = None) -> dict[str, list]:
     """Merge what bronze committed since the last run; ``only`` some sources if named."""
     reports = {}
     for name, spec in silver_specs().items():
-        if only is not None and name not in only:
-            continue
-        silver_root = f"{root}/silver/{name}"
-        done = KeyedTable(spark, silver_root, spec["key"]).notes().get("bronze_version", 0)
-        src, version = _bronze_clean(spark, root, name, done)
-        for zip_col in ("zip_code",):
-            if zip_col in src.columns:
-                src = SV.normalise_zip(src, zip_col)
-        _, rep = SV.silver_upsert(
-            spark, src, spec["key"], [*BATCH_ORDER, *spec["order_by"]], silver_root,
-            trim=spec.get("trim", ()), lower=spec.get("lower", ()), upper=spec.get("upper", ()),
-            rules=spec.get("rules", ()), quality_mode=quality_mode, latest_wins=True, notes={"bronze_version": version},
-        )
-        reports[name] = rep
-    if only is not None and "olist_geolocation" not in only:
-        return reports
-    # Points have no key: the same point in several batches counts once.
-    silver_root = f"{root}/silver/olist_geolocation"
-    done = PathTable(spark, f"{silver_root}/rows").notes().get("bronze_version", 0)
-    src, version = _bronze_clean(spark, root, "olist_geolocation", done)
-    geo = SV.normalise_zip(src, "zip_code_prefix", out_col="zip_code").drop("zip_code_prefix")
-    point = [c for c in geo.columns if c not in BATCH_ORDER]
-    SV.silver_upsert(spark, geo, point, BATCH_ORDER, silver_root, latest_wins=True, notes={"bronze_version": version})
+        if only is None or name in only:
+            reports[name] = _silver_source(spark, root, name, spec, quality_mode)
     return reports
 
 
+def _silver_source(spark, root, name, spec, quality_mode) -> list:
+    def prepared(after: int) -> tuple[DataFrame, int]:
+        rows, version = _bronze_clean(spark, root, name, after)
+        if spec.get("zip"):
+            rows = SV.normalise_zip(rows, spec["zip"])
+            rows = rows if spec["zip"] == "zip_code" else rows.drop(spec["zip"])
+        return rows, version
+
+    silver_root = f"{root}/silver/{name}"
+    done = PathTable(spark, f"{silver_root}/rows").notes().get("bronze_version", 0)
+    src, version = prepared(done)
+    # Points have no key: the same point in several batches counts once.
+    key = spec["key"] or [c for c in src.columns if c not in BATCH_ORDER]
+    gone = _outdated(spark, root, name, KeyedTable(spark, silver_root, key), done)
+    if gone is not None:
+        # What bronze holds of these keys now takes the place of their silver rows.
+        every = prepared(0)[0]
+        keys = gone.distinct().withColumnsRenamed({k: f"_g_{k}" for k in key})
+        again = [every[k].eqNullSafe(keys[f"_g_{k}"]) for k in key]
+        src = src.unionByName(every.join(keys, again, "left_semi"))
+    _, report = SV.silver_upsert(
+        spark, src, key, [*BATCH_ORDER, *spec["order_by"]], silver_root,
+        trim=spec.get("trim", ()), lower=spec.get("lower", ()), upper=spec.get("upper", ()),
+        rules=spec.get("rules", ()), quality_mode=quality_mode, latest_wins=True, notes={"bronze_version": version}, gone=gone,
+    )
+    return report
+
+
 def silver(spark, root, name) -> DataFrame:
     """Current rows of a silver table."""
     return PathTable(spark, f"{root}/silver/{name}/rows").read().drop(STATE, BUCKET, *BATCH_ORDER)

@@ -81,6 +81,7 @@ def silver_upsert(
     quality_mode: str = "warn",
     latest_wins: bool = False,
     notes: dict | None = None,
+    gone=None,
 ):
     """Clean -> dedup -> quality -> upsert into the keyed table at ``silver_root``.
 
@@ -88,7 +89,8 @@ def silver_upsert(
     so the quality report and the merge read it instead of recomputing the
     lineage; in ``fail`` mode nothing is committed when a rule fails. Only buckets with
     incoming keys are rewritten. With ``latest_wins`` stored and new rows of a key are
-    compared in ``order_by``. ``notes`` are stored in the same commit.
+    compared in ``order_by``, and stored rows of the keys ``gone`` are taken out first.
+    ``notes`` are stored in the same commit.
     Returns ``(table, report_rows)``."""
     from lakelayer.operators import dq
     from lakelayer.session import checkpoint_root
@@ -104,7 +106,7 @@ def silver_upsert(
         table.load(staged, notes)
     elif latest_wins:
         # A stored row yields only to one that is later in the same order.
-        table.merge_latest(staged, order_by, notes)
+        table.merge_latest(staged, order_by, notes, gone)
     else:
         table.merge_scd1(staged, notes)
     return table, report

@@ -83,11 +83,12 @@ class KeyedTable:
         types = self.table.read().schema
         return source.select(*[F.col(c).cast(types[c].dataType).alias(c) for c in cols])
 
-    def _commit(self, rows: DataFrame, notes: dict | None = None, history: bool = False) -> int:
-        """Replace the current buckets that ``rows`` holds (and with ``history`` the closed
+    def _commit(self, rows: DataFrame, touched: list[int], notes: dict | None = None, history: bool = False) -> int:
+        """Replace the current rows of the ``touched`` buckets (and with ``history`` the closed
         ones); other closed rows are added."""
-        fixed = {"n_buckets": self.n_buckets, **(notes or {})}
-        return self.table.commit(rows, lambda leaf, new: leaf in new and (history or leaf.startswith(f"{STATE}={CURRENT}/")), notes=fixed)
+        states = (CURRENT, CLOSED) if history else (CURRENT,)
+        old = {f"{STATE}={state}/{BUCKET}={b}" for state in states for b in touched}
+        return self.table.commit(rows, lambda leaf, new: leaf in old, notes={"n_buckets": self.n_buckets, **(notes or {})})
 
     def _checkpoint(self, df: DataFrame) -> DataFrame:
         checkpoint_root(self.spark)
@@ -113,19 +114,26 @@ class KeyedTable:
         touched = self._buckets(changed)
         if touched:
             kept = stored.filter(F.col(BUCKET).isin(touched)).join(changed.select(*self.keys), self.keys, "left_anti")
-            self._commit(kept.select(*cols, STATE, BUCKET).unionByName(changed), notes)
+            self._commit(kept.select(*cols, STATE, BUCKET).unionByName(changed), touched, notes)
         return touched
 
-    def merge_latest(self, rows: DataFrame, order_by: list, notes: dict | None = None) -> list[int]:
+    def merge_latest(self, rows: DataFrame, order_by: list, notes: dict | None = None, gone: DataFrame | None = None) -> list[int]:
         """Upsert in which a stored row yields only to a row of its key that is later in
-        ``order_by``. Returns the rewritten buckets."""
+        ``order_by``. Stored rows of the keys ``gone`` are taken out first. Returns the
+        rewritten buckets."""
         cols = self._columns(rows)
         incoming = self._checkpoint(self._placed(dedup_latest(self._cast(rows, cols), self.keys, order_by)))
         touched = self._buckets(incoming)
+        if gone is not None:
+            gone = self._checkpoint(self._placed(gone.select(*self.keys).distinct()))
+            touched = sorted({*touched, *self._buckets(gone)})
         if touched:
             stored = self.table.read().filter(F.col(BUCKET).isin(touched))
+            if gone is not None:
+                same = [stored[k].eqNullSafe(gone[k]) for k in self.keys]
+                stored = stored.join(gone, [stored[BUCKET] == gone[BUCKET], *same], "left_anti")
             merged = dedup_latest(stored.unionByName(incoming), self.keys, order_by)
-            self._commit(merged.select(*cols, STATE, BUCKET), notes)
+            self._commit(merged.select(*cols, STATE, BUCKET), touched, notes)
         elif notes:
             self.table.commit(None, lambda leaf, new: False, notes=notes)
         return touched
@@ -171,7 +179,7 @@ class KeyedTable:
         ended = changed.filter(F.col(f"_old.{M.VALID_FROM}") < day).select("_old.*", BUCKET)
         ended = ended.withColumns({M.VALID_TO: F.date_sub(day, 1), M.IS_CURRENT: F.lit(False), STATE: F.lit(CLOSED)})
         out = [*cols, STATE, BUCKET]
-        self._commit(kept.select(*out).unionByName(changed.select(*out)).unionByName(ended.select(*out)))
+        self._commit(kept.select(*out).unionByName(changed.select(*out)).unionByName(ended.select(*out)), touched)
         return touched
 
     # ---- late snapshots -------------------------------------------------
@@ -231,5 +239,5 @@ class KeyedTable:
             rebuilt = rebuilt.withColumn(sk_col, surrogate_key([*self.keys, M.VALID_FROM]))
         out = [*cols, STATE, BUCKET]
         others = versions.join(keys, self.keys, "left_anti").select(*out)
-        self._commit(others.unionByName(rebuilt.select(*out)), history=True)
+        self._commit(others.unionByName(rebuilt.select(*out)), touched, history=True)
         return touched

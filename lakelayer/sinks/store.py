@@ -128,6 +128,11 @@ class PathTable:
         m = self._manifest()
         return dict(m["batches"]) if m else {}
 
+    def batch_reruns(self) -> dict[str, int]:
+        """Of the batches that were written again: the version of the last run."""
+        m = self._manifest()
+        return dict(m["reruns"]) if m else {}
+
     def _path(self, commit: str, leaf: str) -> str:
         return f"{self.root}/data/{COMMIT_COL}={commit}" + (f"/{leaf}" if leaf else "")
 
@@ -180,7 +185,7 @@ class PathTable:
     ) -> int:
         """Write ``df`` aside and publish a version without the live folders for which
         ``replaces(leaf, new_leaves)`` holds. Returns the version's number."""
-        old = self._manifest() or {"live": [], "leaves": {}, "batches": {}, "notes": {}, "schema": None}
+        old = self._manifest() or {"live": [], "leaves": {}, "batches": {}, "reruns": {}, "notes": {}, "schema": None}
         number = old.get("version", 0) + 1
         commit, leaves = self._write_aside(df, number) if df is not None else (None, [])
         live = [[c, leaf] for c, leaf in old["live"] if not replaces(leaf, set(leaves))] + [[commit, leaf] for leaf in leaves]
@@ -193,9 +198,9 @@ class PathTable:
                 fields = {f.name: f for f in stored if f.name not in self.partition_by} | {k: v for k, v in fields.items() if k not in {f.name for f in stored}}
             parts = [T.StructField(c, df.schema[c].dataType, True) for c in self.partition_by]
             schema = T.StructType([*fields.values(), *parts]).jsonValue()
-        batches = dict(old["batches"])
-        if batch_id is not None:
-            batches.setdefault(str(batch_id), number)
+        batches, reruns = dict(old["batches"]), dict(old["reruns"])
+        if batch_id is not None and batches.setdefault(str(batch_id), number) != number:
+            reruns[str(batch_id)] = number
         commits = {c for c, _ in live}
         manifest = {
             "version": number,
@@ -204,6 +209,7 @@ class PathTable:
             "live": live,
             "leaves": {c: x for c, x in {**old["leaves"], commit: leaves}.items() if c in commits},
             "batches": batches,
+            "reruns": reruns,
             "notes": {**old["notes"], **(notes or {})},
         }
         self._publish(manifest)

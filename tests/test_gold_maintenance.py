@@ -80,7 +80,16 @@ def test_silver_follows_commits_not_names_or_clocks(spark, tmp_path):
     deliver(spark, tmp_path, root, "08", [("d", "returned")])
     run()
     assert state() == {"a": "delivered", "b": "corrected", "d": "returned"}
+    # A rerun that holds a key no more: the key falls back to what other batches say, or goes.
+    deliver(spark, tmp_path, root, "11", [("e", "new"), ("b", "eleven"), ("f", "only here")])
+    run()
+    assert state()["b"] == "eleven" and state()["f"] == "only here"
+    version = PathTable(spark, f"{root}/silver/olist_orders/rows").version() - 2
+    deliver(spark, tmp_path, root, "11", [("e", "kept")])
+    run()
+    assert state() == {"a": "delivered", "b": "corrected", "d": "returned", "e": "kept"}
+    version += 1
     run()  # nothing new: no rows are read or written
     t = PathTable(spark, f"{root}/silver/olist_orders/rows")
     assert t.notes()["bronze_version"] == PathTable(spark, f"{root}/bronze/olist_orders").version()
-    assert t.version() == version + 2 and state()["b"] == "corrected"
+    assert t.version() == version + 3 and state()["b"] == "corrected"
