@@ -43,6 +43,8 @@ _LAST = "\U0010ffff"
 #: Words of an index shard, and words searched together.
 SHARD_WORDS = 40_000
 BATCH_WORDS = 1024
+#: Code points of a batch when all its words are as long as the longest (one word at least).
+BATCH_POINTS = 100_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 200_000
 
@@ -200,9 +202,16 @@ class VariantIndex:
         deleted or replaced code point which agree in the query's left half (its first
         half of code points; with ``left`` False: in the rest)."""
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for at in range(0, len(queries), BATCH_WORDS):
-            who, word = self._near(queries[at:at + BATCH_WORDS], left)
-            found.append((who + at, word))
+        # Words of like length together: a very long one would make its whole batch wide.
+        order, at = sorted(range(len(queries)), key=lambda i: len(queries[i])), 0
+        while at < len(order):
+            end = at + 1
+            while end < len(order) and end - at < BATCH_WORDS and (end - at + 1) * len(queries[order[end]]) <= BATCH_POINTS:
+                end += 1
+            numbers = np.array(order[at:end])
+            who, word = self._near([queries[i] for i in order[at:end]], left)
+            found.append((numbers[who], word))
+            at = end
         return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def _near(self, queries, left):
@@ -330,7 +339,8 @@ def _found(vocab: DataFrame, left: bool, n_shards: int) -> DataFrame:
         )
 
     asked = vocab.mapInArrow(route, "shard int, asks int, word string, n long")
-    both = cut.union(asked).repartition(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "asks")
+    # By ranges: hashes of so few numbers would put several shards into one task.
+    both = cut.union(asked).repartitionByRange(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "asks")
     return both.mapInArrow(search, "word string, n_near long, best_n long, best string")
 
 

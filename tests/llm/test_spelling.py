@@ -101,3 +101,12 @@ def test_index_on_random_words():
         pairs |= got
     near = plain_near(set(asked))
     assert pairs == {(w, u) for w in asked for u in near[w] if u in set(words)}
+
+
+def test_very_long_words(spark):
+    rng = random.Random(8)
+    long = "".join(rng.choice("abé") for _ in range(3000))
+    variants = [long, long[:700] + long[701:], long[:2500] + "z" + long[2500:], long[:1500] + "y" + long[1501:], "a" * 4000, "a" * 3999, "short", "shorts"]
+    vocab = {w: n for w, n in zip(variants, (40, 3, 4, 5, 9, 3, 7, 30))}
+    df = spark.createDataFrame(list(vocab.items()), "word string, n long")
+    assert found(spelling.forms(spelling.near_words(df, 3))) == plain_forms(vocab)
