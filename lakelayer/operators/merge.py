@@ -1,8 +1,8 @@
 """Upserts and slowly changing dimensions as DataFrame rewrites.
 
-Without a transactional table format there is no ``MERGE INTO``; each merge is
-a pure function ``(target, source) -> new table`` that a sink writes as the
-next version in one commit (``PathTable.overwrite``).
+Without a transactional table format there is no ``MERGE INTO``; each merge here is
+a pure function ``(target, source) -> new table``. ``sinks.keyed.KeyedTable`` applies the
+same rules to stored tables and rewrites only the buckets in which something changes.
 
 SCD1: target rows whose key is absent from the source, plus every source row.
 One shuffle of each side on the key (or a broadcast of the source when AQE sees

@@ -537,3 +537,27 @@ def dq_fail_mode(spark, sf_dir):
     counted = report(o, rules).select("n_failed", "n_rows")
     out = spark.createDataFrame(outcomes, "mode string, outcome string, position int")
     return out.withColumn("rule", F.lit(rules[0].name)).join(report(o, rules).select("rule", *counted.columns), "rule").drop("rule")
+
+
+@query(
+    "sink_exists",
+    """
+    SELECT p.priority, count(o_orderkey) > 0 AS table_exists, count(o_orderkey) AS n_rows
+    FROM (VALUES ('1-URGENT'), ('3-MEDIUM'), ('5-LOW'), ('9-NEVER')) p(priority) LEFT JOIN orders ON o_orderpriority = p.priority
+    GROUP BY p.priority
+    """,
+)
+def sink_exists(spark, sf_dir):
+    """One table per priority, written only where there are rows: a table that was never
+    written does not exist, and asking for it is no error."""
+    o = S.load(spark, sf_dir, "orders")
+    root, out = scratch_path(spark, "by-priority"), None
+    for priority in ("1-URGENT", "3-MEDIUM", "5-LOW", "9-NEVER"):
+        t = PathTable(spark, f"{root}/{priority}")
+        rows = o.filter(F.col("o_orderpriority") == priority)
+        if not rows.isEmpty():
+            t.overwrite(rows)
+        n = t.read().agg(F.count(F.lit(1)).alias("n_rows")) if t.exists() else spark.range(1).select(F.lit(0).cast("long").alias("n_rows"))
+        found = n.select(F.lit(priority).alias("priority"), F.lit(t.exists()).alias("table_exists"), "n_rows")
+        out = found if out is None else out.union(found)
+    return out
