@@ -262,7 +262,7 @@ def stored_fact(spark, sf_dir) -> PathTable:
     """The fact table partitioned by month. Written when first asked for; later readers of
     the same application read what is there."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not _WRITTEN[key].exists():
         t = PathTable(spark, scratch_path(spark, "fact-orders"), partition_by=["order_year_month"])
         t.overwrite(fact_orders(spark, sf_dir))
         _WRITTEN[key] = t
