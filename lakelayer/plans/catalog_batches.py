@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakelayer.contracts import get_contract
 from lakelayer.operators import quarantine as Q
-from lakelayer.operators.contract import CORRUPT_COL, REASON_COL
+from lakelayer.operators.contract import REASON_COL
 from lakelayer.plans import catalog as C
 from lakelayer.plans import standins as S
 from lakelayer.plans import warehouse as W

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lakelayer.functions.calendar import is_br_national_holiday
 from lakelayer.functions.keys import surrogate_key
 from lakelayer.operators.lookup import bounded_broadcast
-from lakelayer.operators.merge import IS_CURRENT, VALID_FROM, VALID_TO
+from lakelayer.operators.merge import VALID_FROM, VALID_TO
 from lakelayer.sinks.keyed import EFFECTIVE, OPEN_PAST
 from lakelayer.sinks.store import PathTable
 
