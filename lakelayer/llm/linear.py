@@ -18,9 +18,12 @@ class Rows:
         self.n_features = n_features
         lens = np.array([len(i) + 1 for i, _ in rows], np.int64)
         self.ptr = np.concatenate([[0], np.cumsum(lens)])
-        bias = np.array([n_features], np.int32)
-        self.idx = np.concatenate([np.concatenate([i, bias]) for i, _ in rows]) if rows else np.empty(0, np.int32)
-        self.val = np.concatenate([np.concatenate([v, [1.0]]) for _, v in rows]) if rows else np.empty(0)
+        # Filled in place: the bias is what stays at the end of each row.
+        self.idx = np.full(self.ptr[-1], n_features, np.int32)
+        self.val = np.ones(self.ptr[-1])
+        for at, (i, v) in zip(self.ptr.tolist(), rows):
+            self.idx[at:at + len(i)] = i
+            self.val[at:at + len(i)] = v
 
     def __len__(self) -> int:
         return len(self.ptr) - 1

@@ -152,8 +152,11 @@ def train(docs: DataFrame, labels: DataFrame, chain: Mapping[str, str] = CHAIN,
     sample = sample.select(fold.alias("fold"), *ys, "text").mapInArrow(split, "fold long, " + ", ".join(f"{y} int" for y in ys) + ", words array<string>")
     sample = staged(sample, "labelled")
     found = sample.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_DOCS)
-    # Bounded by the sample.
-    vocabulary = {w: i for i, w in enumerate(sorted(r["w"] for r in found.collect()))}
+    # Bounded by the sample; as one Arrow column, since a row object per word is several times larger.
+    words = found.select("w").toArrow().column("w").to_pylist()
+    words.sort()
+    vocabulary = {w: i for i, w in enumerate(words)}
+    del words
     look = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def number(batches):
