@@ -18,8 +18,9 @@ def dedup_latest(df: DataFrame, keys: str | list[str], order_by: list[str | Colu
     ks = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order_by)]
     rest = [c for c in df.columns if c not in ks]
-    # The row itself follows the order fields and breaks their ties: named
-    # order columns compare equal there, the others in column order.
-    packed = F.struct(*order_cols, *[F.col(c).alias(c) for c in rest])
+    # The row itself follows the order fields and breaks their ties, in column order. A
+    # column that is an order field is not carried twice.
+    at = {o: f"_o{i}" for i, o in reversed(list(enumerate(order_by))) if isinstance(o, str) and o in rest}
+    packed = F.struct(*order_cols, *[F.col(c).alias(c) for c in rest if c not in at])
     best = df.groupBy(*ks).agg(F.max(packed).alias("_best"))
-    return best.select(*ks, *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
+    return best.select(*ks, *[F.col(f"_best.{at.get(c, c)}").alias(c) for c in rest]).select(*df.columns)

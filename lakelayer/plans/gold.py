@@ -9,10 +9,12 @@ Dimensions
 
 Fact
 ``fact_orders`` first attaches the order-grain lookups (customer as of the
-purchase date, geography, payments, reviews) to the orders, then joins items
+purchase date with its geography, payments, reviews) to the orders, then joins items
 to the enriched orders on the order key (the one large-to-large join: both
 sides shuffle on the order key), then looks each item up in the product and
-seller dimensions. SCD2 dimensions are joined *as of the purchase date* (key equal
+seller dimensions. What is computed of a row alone comes as early as it makes the row
+narrower (days between dates) and as late as it makes it wider (surrogate keys), as every
+byte of an item is shuffled for each lookup behind it. SCD2 dimensions are joined *as of the purchase date* (key equal
 and date inside the version's interval; the first version of a key is open
 to the past, since the first load dates every version on the load day). Dimensions
 written as keyed tables store that start; only for others is it found by a window.
@@ -134,6 +136,9 @@ def fact_orders(
     order_rollup_key: str = "order_id",
     broadcast_rows: int | None = None,
     allocate_payments: bool = False,
+    small_rows: int | None = None,
+    keys: dict[str, Callable[..., Column]] | None = None,
+    by_month: bool = False,
 ) -> DataFrame:
     """Order-item fact.
 
@@ -147,17 +152,41 @@ def fact_orders(
     of the orders frame. ``allocate_payments`` adds ``payment_value_alloc``: the
     payment shared over the rows of its key by price and freight (equally where these sum
     to zero), so that a sum over the fact counts it once.
+
+    ``small_rows``: sellers and geography are counted, and broadcast up to that many rows;
+    the planner cannot tell their size and would shuffle the fact for them. ``keys``: surrogate
+    keys that are a function of the natural key (and, for customers and products, of the
+    version's start); rows carry these through the shuffles and the key is computed at the end.
+    ``by_month`` clusters the rows by month for a partitioned write, while they are narrow.
     """
-    def small(df):
-        return bounded_broadcast(df, max_rows=broadcast_rows, known_rows=df.count()) if broadcast_rows else df
+    keys = keys or {}
+
+    def counted(df, limit):
+        return bounded_broadcast(df, max_rows=limit, known_rows=df.count()) if limit else df
+
+    def taken(sk, key, *start):
+        """What the fact takes of a dimension for ``sk``: the key or what makes it."""
+        return [F.col(c).alias(f"_{sk}{i}") for i, c in enumerate((key, *start))] if sk in keys else [sk]
+
+    def key_of(sk, n=1):
+        if sk not in keys:
+            return F.col(sk)
+        of = [F.col(f"_{sk}{i}") for i in range(n)]
+        # NULL where the lookup found nothing. No ``when``: within its branches Spark would
+        # compute the hash once for each of the five parts of the key.
+        return F.concat(keys[sk](*of), F.substring(of[0].cast("string"), 1, 0)).alias(sk)
 
     # Order-grain lookups first: customer (as of the purchase date), its
     # geography, payments and reviews attach to the orders, which are several
-    # times fewer and narrower than the items. The items then meet the
-    # enriched orders in the one large join, on the order key.
-    o = point_in_time_join(orders, dim_customer, "customer_id", "customer_id", "purchase_ts", ["customer_sk", F.col("zip_code").alias("_cust_zip")], broadcast_rows)
-    geo = small(dim_geography.select(F.col("zip_code").alias("_zip"), "geo_sk"))
-    o = o.join(geo, o["_cust_zip"] == geo["_zip"], "left").drop("_zip", "_cust_zip")
+    # times fewer and narrower than the items; the geography to the customers, which are
+    # fewer still. The items then meet the enriched orders in the one large join, on the
+    # order key.
+    if EFFECTIVE not in dim_customer.columns:
+        dim_customer = first_version_open(dim_customer, "customer_id").withColumnRenamed("_from_eff", EFFECTIVE)
+    geo = counted(dim_geography.select(F.col("zip_code").alias("_zip"), *taken("geo_sk", "zip_code")), broadcast_rows or small_rows)
+    geo_cols = [c for c in geo.columns if c != "_zip"]
+    dim_customer = dim_customer.join(geo, dim_customer["zip_code"] == geo["_zip"], "left").drop("_zip")
+    o = point_in_time_join(orders, dim_customer, "customer_id", "customer_id", "purchase_ts", [*taken("customer_sk", "customer_id", VALID_FROM), *geo_cols], broadcast_rows)
     if payments is not None:
         p = payments.select(F.col(order_rollup_key).alias("_pk"), "payment_value", "payment_installments", "payment_type")
         o = o.join(p, o[order_rollup_key] == p["_pk"], "left").drop("_pk")
@@ -178,30 +207,57 @@ def fact_orders(
         o = o.join(totals, order_rollup_key, "left")
     share = F.when(F.col("_wsum") != 0, weight / F.col("_wsum")).otherwise(1.0 / F.col("_nitems"))
     allocated = [(F.col("payment_value") * share).alias("payment_value_alloc")] if allocate_payments else []
-    f = items.join(o, "order_id", "inner")
-    f = point_in_time_join(f, dim_product, "product_id", "product_id", "purchase_ts", ["product_sk"], broadcast_rows)
-    seller = small(dim_seller.select(F.col("seller_id").alias("_sid"), "seller_sk"))
-    f = f.join(seller, f["seller_id"] == seller["_sid"], "left").drop("_sid")
-    purchase = F.col("purchase_ts").cast("date")
+    delivery_days, delay_days, _ = _order_measures()
+    if "delivered_ts" in items.columns:
+        items = items.withColumn("delivered_ts", F.col("delivered_ts").cast("date"))
+    customer_cols = [f"_customer_sk{i}" for i in range(2)] if "customer_sk" in keys else ["customer_sk"]
+    f = items.join(o, "order_id", "inner").select(
+        "order_id",
+        "order_item_id",
+        "product_id",
+        "seller_id",
+        "quantity",
+        "price",
+        "freight_value",
+        "payment_value",
+        *allocated,
+        "payment_installments",
+        "payment_type",
+        "review_score",
+        "order_status",
+        delivery_days,
+        delay_days,
+        F.col("purchase_ts").cast("date").alias("_purchased"),
+        *customer_cols,
+        *geo_cols,
+    )
+    f = point_in_time_join(f, dim_product, "product_id", "product_id", "_purchased", taken("product_sk", "product_id", VALID_FROM), broadcast_rows)
+    seller = counted(dim_seller.select(F.col("seller_id").alias("_sid"), *taken("seller_sk", "seller_id")), broadcast_rows or small_rows)
+    f = f.join(seller, f["seller_id"] == seller["_sid"], "left").drop("_sid", "seller_id", "product_id")
+    f = f.withColumn("order_year_month", F.date_format("_purchased", "yyyy-MM"))
+    if by_month:
+        f = f.hint("rebalance", "order_year_month")
     return f.select(
         surrogate_key(["order_id", "order_item_id"], namespace="order_item").alias("order_sk"),
-        "customer_sk",
-        "product_sk",
-        "seller_sk",
-        date_key(purchase).alias("date_sk"),
-        "geo_sk",
+        key_of("customer_sk", 2),
+        key_of("product_sk", 2),
+        key_of("seller_sk"),
+        date_key(F.col("_purchased")).alias("date_sk"),
+        key_of("geo_sk"),
         "order_id",
         "order_item_id",
         "quantity",
         "price",
         "freight_value",
         "payment_value",
-        *allocated,
+        *(["payment_value_alloc"] if allocate_payments else []),
         "payment_installments",
         "payment_type",
         "review_score",
         "order_status",
-        *_order_measures(),
+        "delivery_days",
+        "delay_days",
+        "order_year_month",
     )
 
 

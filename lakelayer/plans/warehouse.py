@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakelayer.functions.keys import surrogate_key
 from lakelayer.operators import merge as M
 from lakelayer.operators.dedup import dedup_latest
-from lakelayer.operators.lookup import lookup_table, translate
+from lakelayer.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup_table, translate
 from lakelayer.operators.rollup import latest_per_key, payments_to_order
 from lakelayer.operators.stats import grouped_median
 from lakelayer.plans import gold as G
@@ -42,11 +42,25 @@ CATEGORY_LABELS = {
 # Payment type by the event's property k modulo 4.
 PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card"]
 
+# The order items' columns: those taken over, and before them in the order of comparison the
+# discount, which decides between shipments that agree in all before it. Columns behind
+# the last one taken over cannot change what is taken, so they are not shuffled.
+ITEM_COLS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+]
+# Surrogate keys as the dimensions make them, for the fact to compute in its last step.
+FACT_KEYS = {
+    "customer_sk": lambda key, start: surrogate_key([key, start]),
+    "product_sk": lambda key, start: surrogate_key([key, start]),
+    "seller_sk": lambda key: surrogate_key([key], namespace="seller"),
+    "geo_sk": lambda key: surrogate_key([key], namespace="geo"),
+}
+
 
 # ------------------------------------------------------------------ silver
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order items, one row per (order_id, order_item_id): the latest shipment wins."""
-    li = load(spark, sf_dir, "lineitem")
+    li = load(spark, sf_dir, "lineitem").select(ITEM_COLS)
     deduped = dedup_latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
     return deduped.select(
         F.col("l_orderkey").alias("order_id"),
@@ -245,6 +259,8 @@ def _fact(spark, sf_dir, item_rows, dim_customer, dim_product, dim_seller, dim_g
         payments=payments(spark, sf_dir).withColumnRenamed("user_id", "customer_id"),
         reviews=reviews(spark, sf_dir).withColumnRenamed("user_id", "customer_id"),
         order_rollup_key="customer_id",
+        small_rows=DEFAULT_MAX_BROADCAST_ROWS,
+        keys=FACT_KEYS,
         **options,
     )
 
@@ -269,7 +285,7 @@ def stored_fact(spark, sf_dir) -> PathTable:
     return _WRITTEN[key]
 
 
-def fact_orders(spark, sf_dir) -> DataFrame:
+def fact_orders(spark, sf_dir, by_month: bool = False) -> DataFrame:
     item_rows = items(spark, sf_dir)
     return _fact(
         spark,
@@ -279,6 +295,7 @@ def fact_orders(spark, sf_dir) -> DataFrame:
         _only_versions(dim_product(spark, sf_dir, item_rows)),
         dim_seller(spark, sf_dir),
         dim_geography(spark, sf_dir),
+        by_month=by_month,
     )
 
 
