@@ -279,8 +279,9 @@ def stored_fact(spark, sf_dir) -> PathTable:
     the same application read what is there."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN or not _WRITTEN[key].exists():
-        t = PathTable(spark, scratch_path(spark, "fact-orders"), partition_by=["order_year_month"])
-        t.overwrite(fact_orders(spark, sf_dir))
+        # The fact comes clustered by month.
+        t = PathTable(spark, scratch_path(spark, "fact-orders"), partition_by=["order_year_month"], rebalance=False, compression="zstd")
+        t.overwrite(fact_orders(spark, sf_dir, by_month=True))
         _WRITTEN[key] = t
     return _WRITTEN[key]
 

@@ -59,17 +59,20 @@ class PathTable:
         fmt: str = "parquet",
         rebalance: bool = True,
         keep_versions: int = 2,
+        compression: str | None = None,
     ):
         """``rebalance``: cluster rows by the partition columns before a
         partitioned write. Turn it off when the partition columns take only a
         few values per write (a batch id and a status): every task then writes
-        at most that many files anyway, and the shuffle would be wasted."""
+        at most that many files anyway, and the shuffle would be wasted, or where the rows come clustered.
+        ``compression``: the files' codec, where the session's default is not meant."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
         self.fmt = fmt
         self.rebalance = rebalance
         self.keep_versions = max(1, keep_versions)
+        self.compression = compression
 
     # ---- versions -------------------------------------------------------
     def _names(self, path: str) -> list[str]:
@@ -170,6 +173,7 @@ class PathTable:
             df = df.hint("rebalance", *cols)
         commit = f"{number:08d}-{uuid.uuid4().hex[:8]}"
         w = df.write.format(self.fmt).mode("error")
+        w = w.option("compression", self.compression) if self.compression else w
         (w.partitionBy(*cols) if cols else w).save(self._path(commit, ""))
         leaves = [""]
         for _ in cols:
