@@ -174,25 +174,35 @@ HISTORY_FROM = "1995-01-01"
 HISTORY_CHANGE = "1996-07-01"
 
 
-def _two_snapshots(spark, first, second, key, tracked, sk, name) -> KeyedTable:
+def _stored(spark, df, name) -> DataFrame:
+    """``df`` written once to scratch, for several readers."""
+    t = PathTable(spark, scratch_path(spark, name), compression="zstd")
+    t.overwrite(df)
+    return t.read()
+
+
+def _two_snapshots(spark, snapshot, column, changed, key, tracked, sk, name) -> KeyedTable:
+    """In the second snapshot ``column`` is ``changed``. The snapshot is computed once: both
+    loads and their checks of the keys read it."""
+    first = _stored(spark, snapshot, f"{name}-snapshot")
     t = KeyedTable(spark, scratch_path(spark, name), key, n_buckets=8)
     t.load_scd2(first, tracked, HISTORY_FROM, sk_col=sk)
-    t.merge_scd2(second, tracked, HISTORY_CHANGE, sk_col=sk)
+    t.merge_scd2(first.withColumn(column, changed), tracked, HISTORY_CHANGE, sk_col=sk)
     return t
 
 
 def customer_history(spark, sf_dir) -> KeyedTable:
     """Two snapshots: in the second one every third customer moves to the segment ``vip``."""
-    c = customers(spark, sf_dir)
-    second = c.withColumn("segment", F.when(F.col("customer_id") % 3 == 0, F.lit("vip")).otherwise(F.col("segment")))
-    return _two_snapshots(spark, c, second, "customer_id", ["state", "segment"], "customer_sk", "dim-customer")
+    vip = F.when(F.col("customer_id") % 3 == 0, F.lit("vip")).otherwise(F.col("segment"))
+    return _two_snapshots(spark, customers(spark, sf_dir), "segment", vip, "customer_id", ["state", "segment"], "customer_sk", "dim-customer")
 
 
-def product_history(spark, sf_dir) -> KeyedTable:
+def product_history(spark, sf_dir, item_rows: DataFrame | None = None) -> KeyedTable:
     """Two snapshots: in the second one every fourth product moves to ``clearance``."""
-    p = products(spark, sf_dir)
-    second = p.withColumn("category", F.when(F.col("product_id") % 4 == 0, F.lit("clearance")).otherwise(F.col("category")))
-    return _two_snapshots(spark, p, second, "product_id", ["category", "unit_price_cents", "weight_g"], "product_sk", "dim-product")
+    p = products(spark, sf_dir, item_rows)
+    clearance = F.when(F.col("product_id") % 4 == 0, F.lit("clearance")).otherwise(F.col("category"))
+    tracked = ["category", "unit_price_cents", "weight_g"]
+    return _two_snapshots(spark, p, "category", clearance, "product_id", tracked, "product_sk", "dim-product")
 
 
 def dim_customer_history(spark, sf_dir) -> DataFrame:
@@ -302,13 +312,15 @@ def fact_orders(spark, sf_dir, by_month: bool = False) -> DataFrame:
 
 def fact_orders_history(spark, sf_dir) -> DataFrame:
     """The fact over written dimensions: two versions of customers and products, upserted
-    sellers and geography, and the payment allocated to the items."""
+    sellers and geography, and the payment allocated to the items. The items are written
+    once, for the products' prices, the payments' shares and the fact."""
+    item_rows = _stored(spark, items(spark, sf_dir), "fact-items")
     return _fact(
         spark,
         sf_dir,
-        items(spark, sf_dir),
+        item_rows,
         customer_history(spark, sf_dir).read_as_of(),
-        product_history(spark, sf_dir).read_as_of(),
+        product_history(spark, sf_dir, item_rows).read_as_of(),
         dim_seller_upsert(spark, sf_dir),
         dim_geography_upsert(spark, sf_dir),
         allocate_payments=True,
