@@ -95,9 +95,13 @@ def apply_contract(
     typed = {f.name: typed_value(raw[f.name], f.type, contract.timestamp_format) for f in contract.fields}
     has_corrupt = corrupt_col is not None and corrupt_col in raw_df.columns
     corrupt = F.col(corrupt_col) if has_corrupt else None
+    # Conversions come in a step of their own: in the branches of the reason Spark would
+    # convert every cell again.
+    converted = {f"_typed_{f.name}": typed[f.name] for f in contract.fields if f.type != "string"}
+    typed = {f.name: F.col(f"_typed_{f.name}") if f.type != "string" else raw[f.name] for f in contract.fields}
     cols = [typed[f.name].alias(f.name) for f in contract.fields]
     cols += [F.col(c) for c in (keep or [])]
     if has_corrupt:
         cols.append(F.col(corrupt_col))
     cols.append(reason_column(contract, raw, typed, corrupt).alias(REASON_COL))
-    return raw_df.select(*cols)
+    return raw_df.select("*", *[c.alias(n) for n, c in converted.items()]).select(*cols)

@@ -106,7 +106,7 @@ def silver_upsert(
         table.load(staged, notes)
     elif latest_wins:
         # A stored row yields only to one that is later in the same order.
-        table.merge_latest(staged, order_by, notes, gone)
+        table.merge_latest(staged, order_by, notes, gone, staged=True)
     else:
         table.merge_scd1(staged, notes)
     return table, report

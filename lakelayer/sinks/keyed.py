@@ -117,12 +117,15 @@ class KeyedTable:
             self._commit(kept.select(*cols, STATE, BUCKET).unionByName(changed), touched, notes)
         return touched
 
-    def merge_latest(self, rows: DataFrame, order_by: list, notes: dict | None = None, gone: DataFrame | None = None) -> list[int]:
+    def merge_latest(self, rows: DataFrame, order_by: list, notes: dict | None = None, gone: DataFrame | None = None, staged: bool = False) -> list[int]:
         """Upsert in which a stored row yields only to a row of its key that is later in
-        ``order_by``. Stored rows of the keys ``gone`` are taken out first. Returns the
+        ``order_by``. Stored rows of the keys ``gone`` are taken out first. ``staged``: the
+        rows are materialised, one per key, and are not written aside again. Returns the
         rewritten buckets."""
         cols = self._columns(rows)
-        incoming = self._checkpoint(self._placed(dedup_latest(self._cast(rows, cols), self.keys, order_by)))
+        incoming = self._placed(self._cast(rows, cols))
+        if not staged:
+            incoming = self._checkpoint(self._placed(dedup_latest(self._cast(rows, cols), self.keys, order_by)))
         touched = self._buckets(incoming)
         if gone is not None:
             gone = self._checkpoint(self._placed(gone.select(*self.keys).distinct()))
