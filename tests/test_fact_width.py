@@ -77,3 +77,19 @@ def test_order_columns_are_packed_once(spark):
     assert rows(out) == rows(spark.createDataFrame([(1, "c", 3, None), (2, None, None, "z"), (None, "n", 1, "w")], df.schema))
     packed = re.search(r"struct\(([^)]*)\)", plan_of(out)).group(1)
     assert packed.count("#") == 3
+
+
+def test_stored_fact_is_compact_and_whole(spark):
+    """A quarter of the stored fact has the rows of the fact itself; its files are zstd, one to a month."""
+    import pyarrow.parquet as pq
+
+    from lakelayer.plans.catalog import QUERIES
+
+    months = ["1997-10", "1997-11", "1997-12"]
+    quarter = QUERIES["fact_quarter_pruned"](spark, SF)
+    fact = W.fact_orders(spark, SF).filter(F.col("order_year_month").isin(months))
+    assert rows(quarter.select(*fact.columns)) == rows(fact) != []
+    t = W.stored_fact(spark, SF)
+    files = [f.removeprefix("file://") for f in t.read().inputFiles()]
+    assert len(files) == len(t.partitions())
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
