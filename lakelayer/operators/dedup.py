@@ -6,6 +6,10 @@ does not depend on partitioning or retries). It is an aggregation,
 ``max(struct(order..., rest...))`` grouped by the key, not a window: Spark
 combines rows map-side before the shuffle, so a key that holds a third of the
 input is reduced to one row per map task instead of being sorted in one task.
+
+With ``partition_by`` (some of the keys) the rows are shuffled by those alone and a join on
+them needs no second shuffle of the result. Nothing is combined before that shuffle then:
+it suits keys with few duplicates.
 """
 
 from __future__ import annotations
@@ -14,8 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_latest(df: DataFrame, keys: str | list[str], order_by: list[str | Column]) -> DataFrame:
+def dedup_latest(df: DataFrame, keys: str | list[str], order_by: list[str | Column], partition_by: str | None = None) -> DataFrame:
     ks = [keys] if isinstance(keys, str) else list(keys)
+    if partition_by is not None:
+        if partition_by not in ks:
+            raise ValueError(f"'{partition_by}' is not one of the keys")
+        df = df.repartition(F.col(partition_by))
     order_cols = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order_by)]
     rest = [c for c in df.columns if c not in ks]
     # The row itself follows the order fields and breaks their ties, in column order. A

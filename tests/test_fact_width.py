@@ -93,3 +93,37 @@ def test_stored_fact_is_compact_and_whole(spark):
     files = [f.removeprefix("file://") for f in t.read().inputFiles()]
     assert len(files) == len(t.partitions())
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_items_are_shuffled_once_up_to_the_order_join(spark):
+    """The shuffle that removes duplicates serves the join with the orders too."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_of(W.fact_orders(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"hashpartitioning\(((?:l_orderkey|l_linenumber|order_id)#[^)]*), \d+\)", text)
+    assert [re.sub(r"#\d+L?", "", k) for k in keys] == ["l_orderkey", "order_id"]
+
+
+def test_items_by_order_are_the_same_items(spark, tmp):
+    day = dt.datetime(2024, 5, 1)
+    li = [(1, 7, 5, 1, 2.0, 10.0, 0.1, 0.0, day), (1, 8, 5, 1, 2.0, 10.0, 0.1, 0.0, day), (1, 7, 5, 2, 1.0, 5.0, None, 0.1, None), (None, 7, 5, 1, 1.0, 1.0, 0.0, 0.0, day)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp"
+    spark.createDataFrame(li + li[2:], schema).write.parquet(f"{tmp}/lineitem.parquet")
+    plain, by_order = W.items(spark, tmp), W.items(spark, tmp, by_order=True)
+    assert by_order.columns == plain.columns
+    assert rows(by_order) == rows(plain) and by_order.count() == 3
+
+
+def test_stored_fact_is_sorted_by_order(spark):
+    import pyarrow.parquet as pq
+
+    files = [f.removeprefix("file://") for f in W.stored_fact(spark, SF).read().inputFiles()]
+    for f in files:
+        # A file alone: the folders' names are not read as columns.
+        t = pq.ParquetFile(f).read(["order_id", "order_item_id"])
+        keys = list(zip(t["order_id"].to_pylist(), t["order_item_id"].to_pylist()))
+        assert keys == sorted(keys)
+    assert files
