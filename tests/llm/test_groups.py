@@ -182,6 +182,37 @@ def test_shards_agree_for_every_size_of_matrix_and_batch(cells, held, monkeypatc
     assert rounded(got) == rounded(plain_search(rows, 10))
 
 
+@pytest.mark.parametrize("at_once", [1, 7, 256])
+def test_rows_of_a_batch_are_scored_together(at_once, monkeypatch):
+    """One exact scoring for a batch, in stretches that also cut a query's rows; a given threshold is kept."""
+    monkeypatch.setattr(search, "EXACT_ROWS", at_once, raising=False)
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices([f"w{j}" for j in range(300)], k=rng.randint(1, 60))) for _ in range(400)]
+    texts += [texts[3]] * 20
+    held = [search._terms(t) for t in texts]
+    shard = search.Shard([*range(len(texts))], [x[2] for x in held], [x[0] for x in held], [x[1] for x in held], 30.0)
+    asked = [*range(0, 100, 5), 3]
+    cut = np.concatenate([[0], np.cumsum([len(held[n][0]) for n in asked])])
+    terms = np.concatenate([held[n][0] for n in asked])
+    weights = np.random.default_rng(7).random(len(terms)) + 0.1
+
+    def score(i, d):
+        weight = dict(zip(terms[cut[i]:cut[i + 1]].tolist(), weights[cut[i]:cut[i + 1]].tolist()))
+        norm = 1.2 * (0.25 + 0.75 * held[d][2] / 30.0)
+        return sum(weight[t] * c * 2.2 / (c + norm) for t, c in zip(held[d][0].tolist(), held[d][1].tolist()) if t in weight)
+
+    calls, exact = [], search.Shard.exact
+    monkeypatch.setattr(search.Shard, "exact", lambda *a: calls.append(1) or exact(*a))
+    least = np.array([0.0, 5.0, 1e9] * 7)
+    got = {i: (d.tolist(), x.tolist()) for i, d, x in shard.top(np.array(asked), cut, terms, weights, 10, least)}
+    assert len(calls) == 1
+    for i, own in enumerate(asked):
+        every = sorted((-round(score(i, d), 6), d) for d in range(len(texts)) if d != own)
+        want = [(d, -x) for x, d in every[:10] if -x > 0 and -x >= least[i]]
+        docs, scores = got.get(i, ([], []))
+        assert docs == [d for d, _ in want] and scores == pytest.approx([x for _, x in want])
+
+
 def test_search_odd_rows(spark):
     rows = [(20, "a b"), (20, "c"), (1, None), (2, ""), (None, "a c"), (3, "B a"), (3, "b a"), (40, "nothing shared"), (60, None), (4, "a " * 50_000)]
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, score int")
