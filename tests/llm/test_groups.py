@@ -213,6 +213,23 @@ def test_rows_of_a_batch_are_scored_together(at_once, monkeypatch):
         assert docs == [d for d, _ in want] and scores == pytest.approx([x for _, x in want])
 
 
+@pytest.mark.parametrize("part", [1, 2, 10])
+def test_rows_are_searched_once(spark, part, monkeypatch):
+    """Rows of the seed search are not searched again; its hits are merged with those of the rest."""
+    monkeypatch.setattr(search, "SEED", part)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(None if i % 50 == 7 else i, " ".join(rng.choices(words, k=rng.randint(3, 40)))) for i in range(1, 500)]
+    rows += [(600 + i, rows[19][1]) for i in range(15)] + rows[100:120] + [(700, None), (None, None)]
+    searched, best_of = [], search._best_of
+    monkeypatch.setattr(search, "_best_of", lambda some, *more: searched.append(some.count()) or best_of(some, *more))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = search.search(df, F.col("doc_id") % 20 == 0).collect()
+    assert sum(searched) == len(rows)
+    # Rows of one id are several hits and one query.
+    assert rounded((r.query_id, r.rank, r.doc_id, r.score) for r in got) == rounded(plain_search(rows, 10))
+
+
 def test_search_odd_rows(spark):
     rows = [(20, "a b"), (20, "c"), (1, None), (2, ""), (None, "a c"), (3, "B a"), (3, "b a"), (40, "nothing shared"), (60, None), (4, "a " * 50_000)]
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, score int")
