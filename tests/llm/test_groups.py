@@ -4,8 +4,10 @@ import collections
 import math
 import random
 import re
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -213,6 +215,59 @@ def test_rows_of_a_batch_are_scored_together(at_once, monkeypatch):
         assert docs == [d for d, _ in want] and scores == pytest.approx([x for _, x in want])
 
 
+def test_short_lists_are_read_once(monkeypatch):
+    """A query reads its short lists in one piece, and its common words only for the blocks that it may enter."""
+    rng = random.Random(9)
+    kinds = [[f"{kind}{j}" for j in range(400)] for kind in "ab"]
+    rows = [(i, " ".join(rng.choices(kinds[i % 2], [1 / (j + 1) for j in range(400)], k=rng.randint(20, 60)))) for i in range(2000)]
+    rows += [(3000 + i, rows[20 + i % 2][1]) for i in range(40)]
+    held = [search._terms(t) for _, t in rows]
+    mean = sum(x[2] for x in held) / len(rows)
+    df = collections.Counter(t for x in held for t in x[0].tolist())
+    shard = search.Shard([i for i, _ in rows], [x[2] for x in held], [x[0] for x in held], [x[1] for x in held], mean)
+    asked = [n for n, (i, _) in enumerate(rows) if i % 20 == 0]
+    cut = np.concatenate([[0], np.cumsum([len(held[n][0]) for n in asked])])
+    terms = np.concatenate([held[n][0] for n in asked])
+    weights = np.array([math.log(1 + (len(rows) - df[t] + 0.5) / (df[t] + 0.5)) for t in terms.tolist()])
+    reads, read = [], search.Shard._read
+    monkeypatch.setattr(search.Shard, "_read", lambda *a: reads.append(1) or read(*a))
+    own = np.array([rows[n][0] for n in asked])
+    got = [(int(own[i]), r + 1, d, float(x)) for i, docs, scores in shard.top(own, cut, terms, weights, 10) for r, (d, x) in enumerate(zip(docs, scores))]
+    assert len(reads) <= len(asked)
+    assert rounded(got) == rounded(plain_search(rows, 10))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 1000, 5000])
+def test_words_are_found_by_their_first_bits(n):
+    rng = np.random.default_rng(n)
+    words = np.unique(np.concatenate([rng.integers(-(2**63), 2**63 - 1, n), [-(2**63), 2**63 - 1, 0, -1][:n]]))
+    words = np.append(words, words[-1:] - np.arange(1, 30)) if n == 5000 else words  # many of one beginning
+    words = np.unique(words)
+    shard = search.Shard([1], [len(words)], [words], [np.ones(len(words), np.int32)], 10.0)
+    asked = rng.permutation(np.concatenate([words, words + np.where(words < 2**63 - 1, 1, 0), rng.integers(-(2**63), 2**63 - 1, 500)]))
+    place = {w: i for i, w in enumerate(words.tolist())}
+    assert shard.find(asked).tolist() == [place.get(w, -1) for w in asked.tolist()]
+    assert shard.find(asked[:0]).tolist() == []
+
+
+def test_queries_alike_are_read_together(spark, monkeypatch):
+    """Queries are written in the order of their commonest words, so that a batch holds queries alike."""
+    rng = random.Random(10)
+    rows = [(i, "every " + " ".join([f"the{i // 20 % 4}"] * 2 + [f"of{i // 20 % 4}"] + rng.choices([f"w{i // 20 % 4}_{j}" for j in range(300)], k=30))) for i in range(20, 1620)]
+    folders, path = [], search.scratch_path
+    monkeypatch.setattr(search, "scratch_path", lambda spark, name: folders.append(path(spark, name)) or folders[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = search.search(df, F.col("doc_id") % 20 == 0)
+    kind = {search._terms(f"the{k}")[0][0]: k for k in range(4)}
+    assert len(folders) == 2
+    for folder in folders:
+        files = sorted(Path(folder.removeprefix("file:")).glob("*.parquet"))
+        terms = [x for f in files for x in pq.read_table(f, columns=["terms"])["terms"].to_pylist()]
+        kinds = [next(kind[t] for t in x if t in kind) for x in terms]
+        assert len(kinds) == 80 and sum(a != b for a, b in zip(kinds, kinds[1:])) == 3
+    assert rounded((r.query_id, r.rank, r.doc_id, r.score) for r in got.collect()) == rounded(plain_search(rows, 10))
+
+
 @pytest.mark.parametrize("part", [1, 2, 10])
 def test_rows_are_searched_once(spark, part, monkeypatch):
     """Rows of the seed search are not searched again; its hits are merged with those of the rest."""
